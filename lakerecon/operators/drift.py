@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DataType, MapType, StructType
 
 from ..functions.schemas import as_nullable, as_struct
-from ..sources.files import _not_found
+from ..sources.files import _no_data
 from ..sources.listing import list_files
 
 
@@ -77,7 +77,7 @@ class SchemaRegistry:
         try:
             known = self.spark.read.parquet(self.path)
         except AnalysisException as error:
-            if _not_found(error):
+            if _no_data(error):
                 return None
             raise
         row = known.filter((F.col("feed") == feed) & (F.col("kind") == kind)).agg(

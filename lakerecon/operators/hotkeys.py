@@ -53,13 +53,20 @@ def find_hot_keys(
         .groupBy("g")
         .agg(F.count("*").alias("n"), F.expr(f"approx_top_k_accumulate({_HASH}, {tracked})").alias("s"))
     )
-    found = groups.agg(
-        F.sum("n").alias("n"), F.expr(f"approx_top_k_estimate(approx_top_k_combine(s, {tracked}), {top})").alias("top")
-    ).first()
-    rows = found["n"] or 0
-    floor = max(share * rows, min_rows)
+    # Grouped by a constant: without input there is then no row, where a bare combine would fail.
+    found = (
+        groups.groupBy(F.lit("all"))
+        .agg(
+            F.sum("n").alias("n"),
+            F.expr(f"approx_top_k_estimate(approx_top_k_combine(s, {tracked}), {top})").alias("top"),
+        )
+        .first()
+    )
+    if found is None:
+        return HotKeys(tuple(keys), {})
+    floor = max(share * found["n"], min_rows)
     per_task = max(1, min_rows // 5)
-    salts = {i["item"]: math.ceil(i["count"] / per_task) for i in (found["top"] or []) if i["count"] >= floor}
+    salts = {i["item"]: math.ceil(i["count"] / per_task) for i in found["top"] if i["count"] >= floor}
     return HotKeys(tuple(keys), salts)
 
 

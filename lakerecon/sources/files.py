@@ -35,8 +35,9 @@ def read_events(
     return reader.load([paths] if isinstance(paths, str) else list(paths))
 
 
-def _not_found(error: AnalysisException) -> bool:
-    return (error.getCondition() or "").startswith("PATH_NOT_FOUND")
+def _no_data(error: AnalysisException) -> bool:
+    """A directory that is absent, or there but without files."""
+    return (error.getCondition() or "").startswith(("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"))
 
 
 def partition_glob(root: str, values: Iterable[date | str], partition: str = PARTITION_COLUMN) -> str:
@@ -69,7 +70,7 @@ def read_partitions(
             spark, partition_glob(root, values, partition), fmt, schema, basePath=root, **options
         )
     except AnalysisException as error:
-        if _not_found(error):
+        if _no_data(error):
             return None
         raise
     return df.filter(F.col(partition).isin([date.fromisoformat(v) for v in values]))
@@ -82,7 +83,7 @@ def partition_exists(
     try:
         found = spark.read.format("binaryFile").load(partition_glob(root, values, partition))
     except AnalysisException as error:
-        if _not_found(error):
+        if _no_data(error):
             return False
         raise
     return has_rows(found.select("path"))

@@ -8,7 +8,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
-from .files import _not_found
+from .files import _no_data
 
 
 def read_increment(df: DataFrame, keys: Sequence[str], after: Row | dict | None) -> DataFrame:
@@ -55,7 +55,7 @@ class HighWater:
         try:
             marks = self.spark.read.parquet(self.path)
         except AnalysisException as error:
-            if _not_found(error):
+            if _no_data(error):
                 return None
             raise
         return marks.orderBy(F.desc("version")).first()

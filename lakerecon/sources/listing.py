@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, LongType, StringType, StructField, StructType, TimestampType
 
 from ..model import PARTITION_COLUMN
-from .files import _not_found, calendar_date
+from .files import _no_data, calendar_date
 
 _FILES = StructType(
     [
@@ -24,7 +24,7 @@ def list_files(spark: SparkSession, root: str) -> DataFrame:
     try:
         files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
     except AnalysisException as error:
-        if _not_found(error):
+        if _no_data(error):
             return spark.createDataFrame([], _FILES)
         raise
     return files.select("path", "modificationTime", "length")

@@ -112,7 +112,7 @@ def read_dated(spark, root):
 @query(_DATED)
 def compact_incremental(spark, sf):
     history = landing.partial_history(spark, sf)
-    spec = CompactionSpec(schema=landing.EVENT_SCHEMA, rows_per_file=100)
+    spec = CompactionSpec(schema=landing.EVENT_SCHEMA, rows_per_file=1000)
     compact(spark, landing.raw_events(spark, sf), history, spec)
     return read_dated(spark, history)
 
