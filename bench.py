@@ -24,9 +24,9 @@ HEADLINES = [
     "recon_summary_lines",
     "line_differences",
     "missing_lines",
-    "recon_summary_24h",
-    "missing_records_all",
-    "column_diff_long",
+    "recon_summary",
+    "missing_records",
+    "column_diff",
     "count_recon_composite",
     "dq_failures",
     "dq_summary",
@@ -38,7 +38,7 @@ HEADLINES = [
     "unbox_payload",
     "quarantine_split",
     "ingest_increments",
-    "load_history_frame",
+    "load_history",
     "redact_text",
     "stream_ingest",
     "stream_stats",

@@ -59,6 +59,10 @@ class ReconSpec:
         """The first field carries the event time on both sides."""
         return self.source_fields[0]
 
+    @property
+    def compared_columns(self) -> list[str]:
+        return [c for c in (self.compare or self.source_fields) if c not in self.keys]
+
 
 @dataclass(frozen=True)
 class CountReconSpec:
@@ -87,7 +91,12 @@ class DQRule:
 
 @dataclass(frozen=True)
 class CompactionSpec:
-    """How a dated directory is rewritten into fewer files."""
+    """How a dated directory is rewritten into fewer files.
+
+    ``shuffle`` spreads rows evenly over the planned files; without it whole input files are put
+    together, which moves no data between executors. None chooses per run from the sizes of the
+    input files.
+    """
 
     mode: str = "incremental"
     strategy: str = "from_second_latest"
@@ -98,6 +107,7 @@ class CompactionSpec:
     rows_per_file: int = ROWS_PER_FILE
     tiers: Sequence[tuple[int | None, int]] | None = None
     max_rows_per_file: int = MAX_ROWS_PER_FILE
+    shuffle: bool | None = None
     drop: Sequence[str] = ()
     write_options: Mapping[str, str] = field(default_factory=dict)
 
@@ -119,7 +129,7 @@ class IngestSpec:
     partition: str = PARTITION_COLUMN
     partition_value: str | date | None = None
     min_partitions: int | None = None
-    max_files: int | None = None
+    files: int | None = None
 
 
 @dataclass(frozen=True)

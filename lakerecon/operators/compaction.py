@@ -1,22 +1,46 @@
-"""Small-file compaction of dated directories, one write job for all partitions that are due."""
+"""Small-file compaction of dated directories.
+
+Partitions are planned from their row counts and written many at a time. Where a large partition
+consists of small, even files, whole files are put together and no row moves between executors;
+otherwise rows are spread evenly over the planned files.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
-from dataclasses import dataclass, replace
+import math
+from collections.abc import Callable, Iterable, Iterator, Sequence
+from dataclasses import dataclass
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..model import FIXED_FILES, CompactionSpec
 from ..sinks.files import MICROSECONDS, write_history
 from ..sources.files import read_calendar, read_events, read_partitions
-from ..sources.listing import list_calendar, list_partitions
+from ..sources.listing import list_calendar, list_files, list_partitions
 from .layout import compaction_plan, files_for, pending_partitions
 
-# The per-partition plan is broadcast up to this many partitions (about 4 MB).
+# Write tasks per job: the blocks of a shuffle grow with the product of its two sides.
+MAX_TASKS = 20_000
+# Partitions per job when whole files are put together, each being a scan of its own.
+MAX_SCANS = 64
+# The per-partition plan of a job is broadcast up to this many partitions (about 4 MB).
 MAX_BROADCAST_PARTITIONS = 100_000
+# Below this size a partition's scan of its own costs more than shuffling it.
+WHOLE_BYTES = 1024 * 1024 * 1024
+# What one read task takes of a file that can be split.
+SPLIT_BYTES = 128 * 1024 * 1024
+
+
+@dataclass(frozen=True)
+class PartitionPlan:
+    value: date
+    rows: int
+    files: int
+    whole: bool = False
 
 
 @dataclass(frozen=True)
@@ -26,53 +50,110 @@ class CompactionResult:
     files: int
 
 
+NOTHING = CompactionResult((), 0, 0)
+
+
 def _distinct_roots(source: str, target: str) -> None:
     a, b = (p.rstrip("/") + "/" for p in (source, target))
     if a.startswith(b) or b.startswith(a):
         raise ValueError("compaction must not overwrite the directory it reads")
 
 
-def spread_over_files(df: DataFrame, plan: Sequence[tuple[date, int, int]], partition: str) -> DataFrame:
-    """Send each row to one of its partition's files, one task per file.
+def due_partitions(listing: DataFrame, partition: str) -> list[date]:
+    """Bring a listing's partition values to the driver: one small value per directory."""
+    return sorted(r[0] for r in listing.select(partition).distinct().collect())
 
-    ``plan`` holds (partition, rows, files). Every partition owns a range of task numbers; rows
-    take the numbers of their range in turn, so a partition holding most of the rows, or many
-    copies of one row, is spread as evenly as any other.
+
+def _fit(files: int, inputs: int, size: int, largest: int, shuffle: bool | None) -> tuple[int, bool]:
+    """(number of files, put whole input files together?).
+
+    Unless rows are to be spread, there are never more files than the input has pieces. Whole files
+    are even enough when none is larger than two average output files, and worth it for partitions
+    of some size.
+    """
+    if shuffle:
+        return files, False
+    files = min(files, max(inputs, math.ceil(size / SPLIT_BYTES)))
+    return files, shuffle is False or (size >= WHOLE_BYTES and largest * files <= 2 * size)
+
+
+def _plan(df: DataFrame, sizes: DataFrame, spec: CompactionSpec) -> list[PartitionPlan]:
+    """One small row per partition, from the row counts and the listing."""
+    counted = compaction_plan(df, spec.partition, spec.rows_per_file, spec.tiers, spec.max_rows_per_file)
+    listed = {r[spec.partition]: (r["files"], r["bytes"], r["largest"]) for r in sizes.collect()}
+    plan = []
+    for row in counted.collect():
+        value = row[spec.partition]
+        if value not in listed:
+            raise ValueError(f"rows with {spec.partition} = {value} lie outside dated directories")
+        files, whole = _fit(row["files"], *listed[value], spec.shuffle)
+        plan.append(PartitionPlan(value, row["rows"], files, whole))
+    return sorted(plan, key=lambda p: p.value)
+
+
+def _jobs(plan: Sequence[PartitionPlan], most_partitions: int) -> Iterator[list[PartitionPlan]]:
+    """Group partitions into jobs of bounded size; a partition is never divided."""
+    job, tasks = [], 0
+    for part in plan:
+        if job and (tasks + part.files > MAX_TASKS or len(job) == most_partitions):
+            yield job
+            job, tasks = [], 0
+        job.append(part)
+        tasks += part.files
+    if job:
+        yield job
+
+
+def spread_over_files(df: DataFrame, plan: Sequence[PartitionPlan], partition: str, per_task: int = 1) -> DataFrame:
+    """Send each row to one of its partition's files, one task per file (or per ``per_task`` files).
+
+    Every partition owns a range of task numbers; rows take the numbers of their range in turn, so
+    a partition holding most of the rows, or many copies of one row, is spread as evenly as any.
     """
     ranges, offset = [], 0
-    for value, _, files in plan:
-        ranges.append((value, offset, files))
-        offset += files
-    schema = f"`{partition}` {df.schema[partition].dataType.simpleString()}, _offset bigint, _files bigint"
+    for part in plan:
+        tasks = math.ceil(part.files / per_task)
+        ranges.append((part.value, offset, tasks))
+        offset += tasks
+    schema = f"`{partition}` {df.schema[partition].dataType.simpleString()}, _offset bigint, _tasks bigint"
     lookup = df.sparkSession.createDataFrame(ranges, schema)
     if len(ranges) <= MAX_BROADCAST_PARTITIONS:
         lookup = F.broadcast(lookup)
     # The row number inside an input split is the same when the split is read again.
-    turn = F.monotonically_increasing_id()
-    numbered = df.withColumn("_turn", turn).join(lookup, partition)
-    target = (F.col("_offset") + F.pmod("_turn", "_files")).cast("int")
-    return numbered.repartitionById(offset, target).drop("_turn", "_offset", "_files")
+    numbered = df.withColumn("_turn", F.monotonically_increasing_id()).join(lookup, partition)
+    target = (F.col("_offset") + F.pmod("_turn", "_tasks")).cast("int")
+    return numbered.repartitionById(offset, target).drop("_turn", "_offset", "_tasks")
 
 
-def due_partitions(listing: DataFrame, partition: str) -> list[date]:
-    """Bring a listing's partition values to the driver: one small value per directory."""
-    return sorted(r[0] for r in listing.select(partition).distinct().collect())
+Reader = Callable[[Sequence[date], StructType | str | None], DataFrame]
 
 
-def _rewrite(df: DataFrame, source: str, target: str, spec: CompactionSpec) -> CompactionResult:
-    """Count per partition, then write all partitions in one job."""
-    df = df.drop(*spec.drop)
-    planned = compaction_plan(df, spec.partition, spec.rows_per_file, spec.tiers, spec.max_rows_per_file)
-    plan = [(r[spec.partition], r["rows"], r["files"]) for r in planned.collect()]
-    if any(value is None for value, _, _ in plan):
-        raise ValueError(f"{source} has files outside dated directories")
-    plan.sort()
-    if not plan:
-        return CompactionResult((), 0, 0)
-    sized = spread_over_files(df, plan, spec.partition)
-    fmt = spec.target_format or spec.source_format
-    write_history(sized, target, [spec.partition], fmt, **spec.write_options)
-    return CompactionResult(tuple(p[0] for p in plan), sum(p[1] for p in plan), sum(p[2] for p in plan))
+def _rewrite(
+    read: Reader, sizes: Callable[[Sequence[date]], DataFrame], values: Sequence[date], target: str, spec: CompactionSpec
+) -> CompactionResult:
+    """Count per partition, then write the partitions, each of them once and whole.
+
+    A run that stops half way has finished some partitions; the next run does them again or goes on
+    after them, depending on the strategy.
+    """
+    df = read(values, spec.schema)
+    # An inferred schema is inferred once.
+    schema = spec.schema or StructType([f for f in df.schema if f.name != spec.partition])
+    plan = _plan(df, sizes(values), spec)
+    options = {**spec.write_options}
+
+    def write(frame: DataFrame, **more: str) -> None:
+        fmt = spec.target_format or spec.source_format
+        write_history(frame.drop(*spec.drop), target, [spec.partition], fmt, **options, **more)
+
+    for job in _jobs([p for p in plan if p.whole], MAX_SCANS):
+        write(reduce(DataFrame.unionAll, [read([p.value], schema).coalesce(p.files) for p in job]))
+    for job in _jobs([p for p in plan if not p.whole], MAX_BROADCAST_PARTITIONS):
+        rows, files = sum(p.rows for p in job), sum(p.files for p in job)
+        per_task = math.ceil(files / MAX_TASKS)
+        limit = {"maxRecordsPerFile": str(math.ceil(rows / files))} if per_task > 1 else {}
+        write(spread_over_files(read([p.value for p in job], schema), job, spec.partition, per_task), **limit)
+    return CompactionResult(tuple(p.value for p in plan), sum(p.rows for p in plan), sum(p.files for p in plan))
 
 
 def compact(
@@ -82,11 +163,11 @@ def compact(
     spec: CompactionSpec = CompactionSpec(),
     partitions: Iterable[date] | None = None,
 ) -> CompactionResult:
-    """Rewrite ``source`` into ``target`` with few, evenly filled files.
+    """Rewrite ``source`` into ``target`` with few files.
 
     Incremental mode takes the partitions that are due by ``spec.strategy`` (or ``partitions``) and
     replaces each of them whole, so a repeated run changes nothing. Full mode rewrites everything
-    into one flat directory.
+    into one flat directory. ``source_format="text"`` moves JSON lines without parsing them.
     """
     _distinct_roots(source, target)
     if spec.mode == "full":
@@ -99,21 +180,37 @@ def compact(
             spec.partition,
         )
         partitions = due_partitions(due, spec.partition)
-    df = read_partitions(spark, source, partitions, spec.source_format, spec.schema, spec.partition)
-    return CompactionResult((), 0, 0) if df is None else _rewrite(df, source, target, spec)
+    values = sorted(set(partitions))
+
+    def read(days, schema):
+        return read_partitions(spark, source, days, spec.source_format, schema, spec.partition)
+
+    def sizes(days):
+        return list_partitions(spark, source, spec.partition, days)
+
+    if not values or read(values, spec.schema or "value STRING") is None:
+        return NOTHING
+    return _rewrite(read, sizes, values, target, spec)
 
 
 def _compact_full(spark: SparkSession, source: str, target: str, spec: CompactionSpec) -> CompactionResult:
-    df = read_events(spark, source, spec.source_format, spec.schema).drop(*spec.drop)
-    sized = df.agg(F.count("*").alias("rows")).withColumn(
-        "files", files_for(F.col("rows"), spec.rows_per_file, spec.tiers, spec.max_rows_per_file)
+    df = read_events(spark, source, spec.source_format, spec.schema)
+    rows, planned = (
+        df.agg(F.count("*").alias("rows"))
+        .withColumn("files", files_for(F.col("rows"), spec.rows_per_file, spec.tiers, spec.max_rows_per_file))
+        .first()
     )
-    rows, files = sized.first()
     if not rows:
-        return CompactionResult((), 0, 0)
+        return NOTHING
+    listed = list_files(spark, source).agg(F.count("*"), F.sum("length"), F.max("length")).first()
+    files, whole = _fit(planned, *listed, spec.shuffle)
     fmt = spec.target_format or spec.source_format
     options = {**(MICROSECONDS if fmt in ("json", "csv") else {}), **spec.write_options}
-    df.repartition(files).write.mode("overwrite").options(**options).format(fmt).save(target)
+    tasks = min(files, MAX_TASKS)
+    if tasks < files:
+        options["maxRecordsPerFile"] = str(math.ceil(rows / files))
+    sized = df.coalesce(tasks) if whole else df.repartition(tasks)
+    sized.drop(*spec.drop).write.mode("overwrite").options(**options).format(fmt).save(target)
     return CompactionResult((), rows, files)
 
 
@@ -122,7 +219,7 @@ def rekey_calendar_paths(
     root: str,
     days: Iterable[date] | None = None,
     fmt: str = "json",
-    schema=None,
+    schema: StructType | str | None = None,
     partition: str = CompactionSpec.partition,
 ) -> DataFrame:
     """Rows of ``root/yyyy/mm/dd`` directories with the directory's date as a partition column."""
@@ -146,8 +243,12 @@ def compact_calendar(
             spec.partition,
         )
         days = due_partitions(due, spec.partition)
-    days = list(days)
-    if not days:
-        return CompactionResult((), 0, 0)
-    df = rekey_calendar_paths(spark, source, days, spec.source_format, spec.schema, spec.partition)
-    return _rewrite(df, source, target, replace(spec, mode="incremental"))
+    values = sorted(set(days))
+
+    def read(wanted, schema):
+        return rekey_calendar_paths(spark, source, wanted, spec.source_format, schema, spec.partition)
+
+    def sizes(wanted):
+        return list_calendar(spark, source, spec.partition, wanted)
+
+    return _rewrite(read, sizes, values, target, spec) if values else NOTHING

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from .hotkeys import HotKeys, find_hot_keys, join_to_unique
 
 AUTO = "auto"
+KEY = "_key"
 
 # The words around the two values in a difference text.
 SOURCE_WORD = "src1"
@@ -30,18 +31,16 @@ def missing_records(
     """
     present = target.select(*keys).distinct()
     if null_safe:
-        return _null_safe_anti(source, present, keys)
+        # Inside a struct nulls are equal, and a struct is still a key Spark can hash and sort.
+        key = F.struct(*keys).alias(KEY)
+        keyed = source.withColumn(KEY, key)
+        hot = find_hot_keys(keyed, [KEY]) if hot == AUTO else None
+        return join_to_unique(keyed, present.select(key), [KEY], "left_anti", hot).drop(KEY)
     if hot == AUTO:
         hot = find_hot_keys(source, keys)
     return join_to_unique(source, present, keys, "left_anti", hot)
 
 
-def _null_safe_anti(source: DataFrame, present: DataFrame, keys: Sequence[str]) -> DataFrame:
-    other = present.select(*[F.col(k).alias(f"_t_{k}") for k in keys])
-    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_t_{k}")) for k in keys])
-    return source.join(other, same, "left_anti")
-
-
 def _differs(column: str, null_safe: bool) -> Column:
     left, right = F.col(f"_src.{column}"), F.col(f"_tgt.{column}")
     if null_safe:
@@ -56,18 +55,21 @@ def compare_rows(
     columns: Sequence[str],
     null_safe: bool = True,
     hot: HotKeys | str | None = AUTO,
+    carry: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Pair source and target rows by key.
+    """Pair source and target rows by key and compare ``columns``.
 
     ``source`` must hold one row per key (see ``latest_per_key``); the target may repeat keys, and
     each of its rows is compared. Result: the keys, both sides as structs ``_src`` and ``_tgt``,
     ``present_in`` (both, source, target) and ``is_mismatch``, which is true only for paired rows
     with a differing column. With ``null_safe`` a null differs from a value; without, it does not.
+    ``carry`` are the columns the structs hold, by default the compared ones.
 
     ``hot`` takes care of keys repeated many times in the target, see ``missing_records``.
     """
-    src = source.select(*keys, F.struct(*columns).alias("_src"))
-    tgt = target.select(*keys, F.struct(*columns).alias("_tgt"))
+    carry = list(dict.fromkeys([*(carry or ()), *columns]))
+    src = source.select(*keys, F.struct(*carry).alias("_src"))
+    tgt = target.select(*keys, F.struct(*carry).alias("_tgt"))
     if hot == AUTO:
         hot = find_hot_keys(target, keys)
     if hot:

@@ -34,22 +34,12 @@ def count_recon(
     and fails. A null key matches nothing unless ``null_safe``.
     """
     left_count, right_count = f"{left_prefix}{count}", f"{right_prefix}{count}"
-    if len(keys) == 1 and not null_safe:
-        joined = left.join(right, list(keys), "full_outer")
+    if len(keys) == 1:
+        joined = _join_on_shared(left, right, keys[0], null_safe)
     else:
-        def pair(key):
-            if len(keys) > 1:
-                return left[f"{left_prefix}{key}"], right[f"{right_prefix}{key}"]
-            return left[key], right[key]
-
-        pairs = [pair(k) for k in keys]
-        same = [a.eqNullSafe(b) if null_safe else a == b for a, b in pairs]
-        joined = left.join(right, reduce(lambda a, b: a & b, same), "full_outer")
-        if len(keys) == 1:
-            key = F.coalesce(*pairs[0]).alias(keys[0])
-            joined = joined.select(
-                key, *[left[c] for c in left.columns if c != keys[0]], *[right[c] for c in right.columns if c != keys[0]]
-            )
+        pairs = [(F.col(f"{left_prefix}{k}"), F.col(f"{right_prefix}{k}")) for k in keys]
+        same = [x.eqNullSafe(y) if null_safe else x == y for x, y in pairs]
+        joined = left.join(right, reduce(lambda x, y: x & y, same), "full_outer")
     a, b = F.col(left_count).cast("long"), F.col(right_count).cast("long")
     return joined.withColumns(
         {
@@ -62,6 +52,14 @@ def count_recon(
     )
 
 
+def _join_on_shared(left: DataFrame, right: DataFrame, key: str, null_safe: bool) -> DataFrame:
+    if not null_safe:
+        return left.join(right, key, "full_outer")
+    other = f"_right_{key}"
+    joined = left.join(right.withColumnRenamed(key, other), F.col(key).eqNullSafe(F.col(other)), "full_outer")
+    return joined.withColumn(key, F.coalesce(key, other)).drop(other)
+
+
 def failed_groups(recon: DataFrame) -> DataFrame:
     """The groups a control did not pass."""
     return recon.filter(F.col("run_status") == FAILURE)

@@ -1,9 +1,13 @@
 from .batch import run_batch, run_sql_step
 from .ingest import IngestResult, ingest_history
 from .load import load_frame, load_history
-from .reconcile import RowRecon, prepare_source, prepare_target, row_recon, run_count_controls
+from .registered import compact_registered
+from .reconcile import PublishedRecon, RowRecon, prepare_source, prepare_target, publish_recon, row_recon, run_count_controls
 
 __all__ = [
+    "PublishedRecon",
+    "compact_registered",
+    "publish_recon",
     "IngestResult",
     "RowRecon",
     "ingest_history",

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.payload import PAYLOAD, flatten_payload, is_bad, quarantine_rows, unbox
 from ..model import IngestSpec
-from ..operators.layout import cap_partitions, grow_partitions
+from ..operators.layout import grow_partitions
 from ..operators.stats import counted
 from ..sinks.files import quarantine, write_raw
 from ..sources.increments import HighWater, highest_key, read_increment, read_up_to
@@ -32,10 +32,11 @@ def ingest_history(source: DataFrame, spec: IngestSpec, marks: HighWater, run_da
     """
     keys = list(spec.bookmark_keys)
     fresh = read_increment(source, keys, marks.load())
-    wide = cap_partitions(grow_partitions(fresh, spec.min_partitions), spec.max_files)
-    parsed, seen = counted(
-        unbox(wide, spec.payload, spec.payload_schema), "read", bad=F.count_if(is_bad()), mark=highest_key(keys)
-    )
+    parsed = unbox(grow_partitions(fresh, spec.min_partitions), spec.payload, spec.payload_schema)
+    if spec.files:
+        # A shuffle, so that reading and parsing keep their parallelism.
+        parsed = parsed.repartition(spec.files)
+    parsed, seen = counted(parsed, "read", bad=F.count_if(is_bad()), mark=highest_key(keys))
     value = spec.partition_value if spec.partition_value is not None else run_date
     landed = flatten_payload(parsed.filter(~is_bad()), PAYLOAD)
     write_raw(landed, spec.out, [spec.partition], fixed_value=str(value))

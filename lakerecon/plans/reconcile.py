@@ -8,6 +8,7 @@ from datetime import datetime
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..functions.align import align_names, align_types, normalise_ts, project_exprs, within_window
 from ..model import CountReconSpec, ReconSpec
@@ -15,12 +16,14 @@ from ..operators.compare import AUTO, column_diff, compare_rows, missing_records
 from ..operators.counts import count_recon
 from ..operators.hotkeys import HotKeys
 from ..operators.latest import latest_per_key
+from ..operators.stats import counted
 
 
 @dataclass(frozen=True)
 class RowRecon:
     """The frames of one reconciliation; each is lazy."""
 
+    spec: ReconSpec
     source: DataFrame
     latest: DataFrame
     target: DataFrame
@@ -58,11 +61,12 @@ def row_recon(
     latest = latest_per_key(src, spec.keys, [spec.event_time], spec.tie_break)
     latest = normalise_ts(latest, spec.timestamps)
     aligned = align_types(latest, tgt, [*spec.keys, *spec.source_fields])
-    columns = [c for c in (spec.compare or spec.source_fields) if c not in spec.keys]
+    columns = spec.compared_columns
     compared = compare_rows(aligned, tgt, spec.keys, columns, hot=hot)
     return RowRecon(
+        spec=spec,
         source=src,
-        latest=latest,
+        latest=aligned,
         target=tgt,
         missing=missing_records(aligned, tgt, spec.keys, hot=None),
         compared=compared,
@@ -71,6 +75,46 @@ def row_recon(
     )
 
 
+@dataclass(frozen=True)
+class PublishedRecon:
+    """A reconciliation that has been run: its counts, and the rows that are not equal."""
+
+    counts: dict[str, object]
+    exceptions: DataFrame
+    missing: DataFrame
+    differences: DataFrame
+
+
+def publish_recon(recon: RowRecon, out: str, hot: HotKeys | str | None = AUTO) -> PublishedRecon:
+    """Run a reconciliation with one join: count all pairs, keep only those that are not equal.
+
+    The rows of ``out`` are normally few; the missing records and the differences are read from
+    there. The frames of ``recon`` would each run the join again.
+    """
+    spec, keys, columns = recon.spec, list(recon.spec.keys), recon.spec.compared_columns
+    compared = compare_rows(recon.latest, recon.target, keys, columns, hot=hot, carry=spec.source_fields)
+    compared, seen = counted(
+        compared,
+        "pairs",
+        target_row_count=F.count_if(F.col("present_in") != "source"),
+        missing_record_count=F.count_if(F.col("present_in") == "source"),
+        mismatched_record_count=F.count_if("is_mismatch"),
+    )
+    compared.filter((F.col("present_in") != "both") | F.col("is_mismatch")).write.mode("overwrite").parquet(out)
+    exceptions = recon.source.sparkSession.read.schema(compared.schema).parquet(out)
+    per_key = recon.source.groupBy(*keys).agg(F.count("*").alias("n"))
+    records, rows = per_key.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
+    observed = {k: v for k, v in seen.get.items() if k != "pairs"}
+    return PublishedRecon(
+        counts={"table_name": spec.table, "source_record_count": records, "source_row_count": rows, **observed},
+        exceptions=exceptions,
+        missing=exceptions.filter("present_in = 'source'").select(
+            *keys, *[F.col(f"_src.{c}").alias(c) for c in spec.source_fields]
+        ),
+        differences=column_diff(exceptions, keys, columns),
+    )
+
+
 def run_count_controls(
     spark: SparkSession,
     specs: Sequence[CountReconSpec],

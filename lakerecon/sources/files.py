@@ -94,6 +94,11 @@ def has_rows(df: DataFrame) -> bool:
     return not df.isEmpty()
 
 
+def calendar_glob(root: str, days: Iterable[date]) -> str:
+    """A path pattern naming the given ``yyyy/mm/dd`` directories."""
+    return f"{root.rstrip('/')}/{{{','.join(d.strftime('%Y/%m/%d') for d in sorted(days))}}}"
+
+
 def read_calendar(
     spark: SparkSession,
     root: str,
@@ -106,8 +111,7 @@ def read_calendar(
 
     ``days`` narrows the listing to those directories.
     """
-    root = root.rstrip("/")
-    path = root if days is None else f"{root}/{{{','.join(d.strftime('%Y/%m/%d') for d in sorted(days))}}}"
+    path = root if days is None else calendar_glob(root, days)
     df = read_events(spark, path, fmt, schema, recursiveFileLookup="true")
     return df.withColumn(partition, calendar_date(F.col("_metadata.file_path")))
 

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+from datetime import date
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, LongType, StringType, StructField, StructType, TimestampType
 
 from ..model import PARTITION_COLUMN
-from .files import _no_data, calendar_date
+from .files import _no_data, calendar_date, calendar_glob, partition_glob
 
 _FILES = StructType(
     [
@@ -37,19 +40,30 @@ def _summarise(files: DataFrame, partition: str) -> DataFrame:
         .agg(
             F.count("*").alias("files"),
             F.sum("length").alias("bytes"),
+            F.max("length").alias("largest"),
             F.max("modificationTime").alias("last_modified"),
+            F.max_by("path", F.struct("modificationTime", "path")).alias("newest"),
         )
     )
 
 
-def list_partitions(spark: SparkSession, root: str, partition: str = PARTITION_COLUMN) -> DataFrame:
-    """One row per ``partition=value`` directory, with file count, bytes and latest change."""
+def list_partitions(
+    spark: SparkSession, root: str, partition: str = PARTITION_COLUMN, values: Iterable[date | str] | None = None
+) -> DataFrame:
+    """One row per ``partition=value`` directory: files, bytes, largest file, latest change, newest file.
+
+    ``values`` narrows the listing to those directories.
+    """
+    path = root if values is None else partition_glob(root, values, partition)
     value = F.regexp_extract("path", rf"/{partition}=([^/]+)/", 1)
     return _summarise(
-        list_files(spark, root).withColumn(partition, F.nullif(value, F.lit("")).cast(DateType())), partition
+        list_files(spark, path).withColumn(partition, F.nullif(value, F.lit("")).cast(DateType())), partition
     )
 
 
-def list_calendar(spark: SparkSession, root: str, partition: str = PARTITION_COLUMN) -> DataFrame:
+def list_calendar(
+    spark: SparkSession, root: str, partition: str = PARTITION_COLUMN, values: Iterable[date] | None = None
+) -> DataFrame:
     """The same for ``yyyy/mm/dd`` directories."""
-    return _summarise(list_files(spark, root).withColumn(partition, calendar_date(F.col("path"))), partition)
+    path = root if values is None else calendar_glob(root, values)
+    return _summarise(list_files(spark, path).withColumn(partition, calendar_date(F.col("path"))), partition)

@@ -30,7 +30,8 @@ from lakerecon import (
     write_history,
 )
 from lakerecon.model import PARTITION_COLUMN
-from lakerecon.operators.compaction import spread_over_files
+from lakerecon.operators import compaction
+from lakerecon.operators.compaction import PartitionPlan, spread_over_files
 from lakerecon.operators.layout import files_for
 
 SCHEMA = "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING"
@@ -114,12 +115,13 @@ def files_of(root, day="*"):
     return [f for f in glob.glob(f"{root}/{PARTITION_COLUMN}={day}/*") if not os.path.basename(f).startswith(("_", "."))]
 
 
-def test_compaction_keeps_rows_and_is_repeatable(spark, raw, folder):
-    spec = CompactionSpec(schema=SCHEMA, rows_per_file=500)
+@pytest.mark.parametrize("shuffle", [True, False, None])
+def test_compaction_keeps_rows_and_is_repeatable(spark, raw, folder, shuffle):
+    spec = CompactionSpec(schema=SCHEMA, rows_per_file=500, shuffle=shuffle)
     first = compact(spark, raw, folder, spec)
     assert first.rows == 15_000 and len(first.partitions) == 30
     assert data(read(spark, folder)) == data(read(spark, raw))
-    assert len(files_of(folder)) == first.files < len(files_of(raw)) * 2
+    assert len(files_of(folder)) == first.files <= len(files_of(raw))
     before = data(read(spark, folder))
     again = compact(spark, raw, folder, spec)
     assert [str(p) for p in again.partitions] == ["2024-01-29", "2024-01-30"]
@@ -129,7 +131,7 @@ def test_compaction_keeps_rows_and_is_repeatable(spark, raw, folder):
 
 
 def test_a_day_of_copies_is_spread_over_its_files(spark, raw, folder):
-    compact(spark, raw, folder, CompactionSpec(schema=SCHEMA, rows_per_file=500))
+    compact(spark, raw, folder, CompactionSpec(schema=SCHEMA, rows_per_file=500, shuffle=True))
     sizes = [sum(1 for _ in open(f)) for f in files_of(folder, "2024-01-01")]
     assert len(sizes) == 11 and max(sizes) <= 600
 
@@ -174,15 +176,61 @@ def test_unknown_mode():
 
 
 def test_large_plans_are_not_broadcast(spark, raw, monkeypatch):
-    from lakerecon.operators import compaction
-
-    plan = [(date(2024, 1, 1), 5333, 11), (date(2024, 1, 2), 333, 1)]
+    plan = [PartitionPlan(date(2024, 1, 1), 5333, 11), PartitionPlan(date(2024, 1, 2), 333, 1)]
     df = read(spark, raw).filter(F.col(PARTITION_COLUMN) <= date(2024, 1, 2))
     want = data(df)
     monkeypatch.setattr(compaction, "MAX_BROADCAST_PARTITIONS", 1)
     assert data(spread_over_files(df, plan, PARTITION_COLUMN)) == want
 
 
+def test_jobs_are_bounded(spark, raw, folder, monkeypatch):
+    """Several jobs, and a partition with more files than a job may have tasks."""
+    monkeypatch.setattr(compaction, "MAX_TASKS", 4)
+    monkeypatch.setattr(compaction, "MAX_SCANS", 7)
+    jobs = []
+    write = compaction.write_history
+    monkeypatch.setattr(compaction, "write_history", lambda df, *a, **k: (jobs.append(k), write(df, *a, **k)))
+    for shuffle, n in ((True, 9), (False, 15)):
+        jobs.clear()
+        out = f"{folder}/{shuffle}"
+        compact(spark, raw, out, CompactionSpec(schema=SCHEMA, rows_per_file=500, shuffle=shuffle))
+        assert len(jobs) >= 8
+        assert any("maxRecordsPerFile" in k for k in jobs) == shuffle
+        assert data(read(spark, out)) == data(read(spark, raw))
+    sizes = [sum(1 for _ in open(f)) for f in files_of(f"{folder}/True", "2024-01-01")]
+    assert max(sizes) <= 500 and len(sizes) >= 11
+
+
+def test_whole_files_are_put_together_when_they_are_even():
+    fit = compaction._fit
+    gb = 1024**3
+    assert fit(3, 30, 3 * gb, gb // 10, None) == (3, True)
+    assert fit(3, 30, 3 * gb, 25 * gb // 10, None) == (3, False)
+    assert fit(3, 30, gb // 2, gb // 60, None) == (3, False)
+    assert fit(100, 40, 4 * gb, gb // 10, None) == (40, True)
+    assert fit(100, 40, 4 * gb, gb // 10, True) == (100, False)
+    assert fit(10, 1, 1000 * compaction.SPLIT_BYTES, 1000 * compaction.SPLIT_BYTES, None) == (10, False)
+
+
+def test_an_inferred_schema_holds_for_all_partitions(spark, folder):
+    spark.createDataFrame([(1, "x", None, "2024-01-01"), (2, None, 5, "2024-01-02")], f"id int, a string, b int, {PARTITION_COLUMN} string").write.partitionBy(
+        PARTITION_COLUMN
+    ).json(f"{folder}/in")
+    compact(spark, f"{folder}/in", f"{folder}/out", CompactionSpec())
+    got = spark.read.json(f"{folder}/out").select("id", "a", "b").orderBy("id").collect()
+    assert [tuple(r) for r in got] == [(1, "x", None), (2, None, 5)]
+
+
+def test_lines_are_moved_as_they_are(spark, folder):
+    os.makedirs(f"{folder}/in/{PARTITION_COLUMN}=2024-01-01")
+    lines = ['{"a": 1.50}', "not json", '{"b":  "é"}']
+    with open(f"{folder}/in/{PARTITION_COLUMN}=2024-01-01/x.json", "w") as f:
+        f.write("\n".join(lines) + "\n")
+    spec = CompactionSpec(source_format="text", schema="value STRING")
+    assert compact(spark, f"{folder}/in", f"{folder}/out", spec).rows == 3
+    assert [r["value"] for r in spark.read.text(f"{folder}/out").select("value").collect()] == lines
+
+
 def _calendar(spark, root, texts):
     for i, text in enumerate(texts):
         spark.range(i + 1).write.json(f"{root}/{text}")

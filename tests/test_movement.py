@@ -76,7 +76,7 @@ def test_ingest_lands_quarantines_and_moves_on(spark, feed, folder):
 
 
 def test_ingest_into_one_partition_with_other_task_counts(spark, feed, folder):
-    one = spec(folder, partition_value="initial", min_partitions=3, max_files=1)
+    one = spec(folder, partition_value="initial", min_partitions=3, files=1)
     ingest_history(feed, one, HighWater(spark, f"{folder}/marks", "j"), date(2024, 2, 1))
     assert len(glob.glob(f"{folder}/raw/event_creation_time=initial/*.json.gz")) == 1
 

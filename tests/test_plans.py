@@ -67,7 +67,7 @@ def test_totals_do_not_double_the_rows(lines):
 
 
 @pytest.mark.parametrize(
-    "name", ["recon_summary_lines", "column_diff_long", "quarantine_split", "dq_failures", "landing_stats_total", "load_history_frame"]
+    "name", ["recon_summary_lines", "column_diff", "quarantine_split", "dq_failures", "landing_stats_total", "load_history"]
 )
 def test_no_python_in_the_plan(spark, name):
     text = plan(entry_point.queries()[name](spark, DATA))

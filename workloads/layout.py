@@ -10,10 +10,12 @@ from pyspark.sql import functions as F
 from lakerecon import (
     FILE_TIERS,
     CompactionSpec,
+    SchemaRegistry,
     cap_partitions,
     catalog_view,
     compact,
     compact_calendar,
+    compact_registered,
     compaction_plan,
     grow_partitions,
     latest_schema,
@@ -126,6 +128,19 @@ def compact_lines(spark, sf):
     return read_dated(spark, history)
 
 
+@query(_DATED)
+def compact_registered_feed(spark, sf):
+    """Two runs over Parquet: the first registers the schema, the second finds it known."""
+    root = shared_dir(spark, "registered")
+    landing.dated(spark, sf).write.partitionBy(PARTITION_COLUMN).parquet(f"{root}/in")
+    registry = SchemaRegistry(spark, f"{root}/schemas")
+    spec = CompactionSpec(source_format="parquet")
+    for _ in range(2):
+        compact_registered(spark, f"{root}/in", f"{root}/out", registry, "events", pairs.AS_OF, spec)
+    out = spark.read.parquet(f"{root}/out")
+    return out.withColumn(PARTITION_COLUMN, F.col(PARTITION_COLUMN).cast("string"))
+
+
 @query(_EVENTS.replace(", props", ""))
 def compact_full(spark, sf):
     out = shared_dir(spark, "full")
@@ -172,7 +187,7 @@ def scan_inferred_json(spark, sf):
     return df.withColumn(PARTITION_COLUMN, F.col(PARTITION_COLUMN).cast("string"))
 
 
-@query(f"SELECT strftime(ts, '%Y-%m-%d') AS {PARTITION_COLUMN}, count(*) AS rows FROM events GROUP BY 1")
+@query(f"SELECT strftime(ts, '%Y-%m-%d') AS {PARTITION_COLUMN}, count(*) AS rows FROM events GROUP BY 1", name="repair_table")
 def repaired_table(spark, sf):
     raw = landing.raw_events(spark, sf)
     out = shared_dir(spark, "repaired")

@@ -38,7 +38,7 @@ def extract_key(spark, sf):
 
 @query("""
 SELECT event_id, json_extract_string(props, '$.k') AS k, json_extract_string(props, '$.absent') AS absent FROM events
-""")
+""", name="extract_keys")
 def extract_many_keys(spark, sf):
     paths = {"$.k": "k", "$.absent": "absent"}
     return extract_keys(table(spark, sf, "events").select("event_id", "props"), "props", paths).drop("props")
@@ -84,7 +84,7 @@ def increment_scan(spark, sf):
 @query("""
 SELECT slice, count(*) AS orders, sum(o_orderkey) AS key_sum
 FROM (SELECT o_orderkey, abs(o_orderkey % 7) AS slice FROM orders) GROUP BY slice
-""")
+""", name="jdbc_hash_slices")
 def hash_slices(spark, sf):
     """The conditions of a parallel relational scan, applied to the orders table."""
     parts = [F.when(F.expr(p), F.lit(i).cast("bigint")) for i, p in enumerate(hash_predicates("o_orderkey", 7))]
@@ -112,7 +112,7 @@ def ingest_increments(spark, sf):
         bookmark_keys=["ts", "event_id"],
         out=f"{root}/raw",
         quarantine=f"{root}/error",
-        max_files=4,
+        files=4,
     )
     marks = HighWater(spark, f"{root}/marks", spec.job)
     for day in (date(2024, 2, 1), date(2024, 2, 2)):
@@ -162,7 +162,7 @@ def batch_write(spark, sf):
 @query("""
 SELECT event_id, CAST(user_id AS VARCHAR) AS policy_number, event_type, CAST(json_extract_string(props, '$.k') AS INT) AS k
 FROM events WHERE event_type <> 'error'
-""")
+""", name="load_history")
 def load_history_frame(spark, sf):
     """Everything of a relational load but the database."""
     return load_frame(

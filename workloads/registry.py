@@ -13,13 +13,14 @@ _QUERIES: dict[str, Query] = {}
 _ORACLES: dict[str, str] = {}
 
 
-def query(oracle: str | None = None) -> Callable[[Query], Query]:
-    """Register a function under its own name."""
+def query(oracle: str | None = None, name: str | None = None) -> Callable[[Query], Query]:
+    """Register a function under its own name, or under ``name``."""
 
     def add(function: Query) -> Query:
-        _QUERIES[function.__name__] = function
+        key = name or function.__name__
+        _QUERIES[key] = function
         if oracle:
-            _ORACLES[function.__name__] = oracle
+            _ORACLES[key] = oracle
         return function
 
     return add

@@ -27,6 +27,7 @@ from lakerecon import (
     missing_records,
     normalise_ts,
     project_exprs,
+    publish_recon,
     recon_alerts,
     redact,
     row_recon,
@@ -86,7 +87,7 @@ def latest_line_per_order(spark, sf):
 
 @query(pairs.CTES + """
 SELECT * FROM src WHERE NOT EXISTS (SELECT 1 FROM tgt WHERE tgt.event_id = src.event_id)
-""")
+""", name="missing_records")
 def missing_records_all(spark, sf):
     return missing_records(pairs.source(spark, sf), pairs.target(spark, sf), ["event_id"])
 
@@ -127,7 +128,7 @@ def _compared(spark, sf, null_safe=True):
     )
 
 
-@query(pairs.CTES + _EVENT_DIFFS)
+@query(pairs.CTES + _EVENT_DIFFS, name="column_diff")
 def column_diff_long(spark, sf):
     return column_diff(_compared(spark, sf), ["event_id"], EVENT_SPEC.compare)
 
@@ -185,7 +186,7 @@ SELECT '{table_name}' AS table_name,
     5,
     "sl.user_id IS DISTINCT FROM t.user_id OR sl.event_type IS DISTINCT FROM t.event_type OR sl.amount IS DISTINCT FROM t.amount",
     "event_id",
-))
+), name="recon_summary")
 def recon_summary_24h(spark, sf):
     return row_recon(pairs.source(spark, sf), pairs.target(spark, sf), EVENT_SPEC, pairs.AS_OF).summary
 
@@ -225,6 +226,28 @@ def line_differences(spark, sf):
     return line_recon(spark, sf).differences
 
 
+@query(_LINE_CTES + """
+SELECT 'counts' AS part, (SELECT count(*) FROM s) AS a, (SELECT count(*) FROM sl) AS b, (SELECT count(*) FROM t) AS c
+UNION ALL
+SELECT 'missing', count(*), CAST(sum(l_orderkey) AS BIGINT), CAST(sum(l_quantity) AS BIGINT) FROM sl ANTI JOIN t USING (l_orderkey, l_linenumber)
+UNION ALL
+SELECT 'differences', count(*), CAST(sum(l_orderkey) AS BIGINT), NULL FROM (
+  SELECT l_orderkey FROM sl JOIN t USING (l_orderkey, l_linenumber) WHERE sl.l_shipdate IS DISTINCT FROM t.shipped
+  UNION ALL
+  SELECT l_orderkey FROM sl JOIN t USING (l_orderkey, l_linenumber) WHERE sl.l_quantity IS DISTINCT FROM t.quantity)
+""")
+def recon_published(spark, sf):
+    """One pass over both sides; everything else comes from the rows that are not equal."""
+    done = publish_recon(line_recon(spark, sf), shared_dir(spark, "exceptions"), hot=None)
+    n = F.count("*")
+    counts = [("counts", *(done.counts[c] for c in ("source_record_count", "source_row_count", "target_row_count")))]
+    return (
+        spark.createDataFrame(counts, "part string, a bigint, b bigint, c bigint")
+        .unionAll(done.missing.agg(F.lit("missing"), n, F.sum("l_orderkey"), F.sum("l_quantity").cast("long")))
+        .unionAll(done.differences.agg(F.lit("differences"), n, F.sum("l_orderkey"), F.lit(None).cast("long")))
+    )
+
+
 @query(_LINE_CTES + "SELECT * FROM sl ANTI JOIN t USING (l_orderkey, l_linenumber)")
 def missing_lines(spark, sf):
     return line_recon(spark, sf).missing
@@ -292,7 +315,7 @@ SELECT ctrl_name, '{"rule_name":"events_by_day",'
   || '"job_run_time":"2024-01-15T17:00:00.123456Z","job_run_time_est":"2024-01-15T12:00:00.123456Z",'
   || '"content_type":"reconciliation_data","run_id":"r1"}' AS alert
 FROM recon WHERE run_status = 'Failure'
-""")
+""", name="recon_alerts")
 def recon_alerts_failed(spark, sf):
     return recon_alerts(failed_groups(_recon_by_day(spark, sf)), ["left_event_type", "left_day"], STAMP)
 
@@ -422,7 +445,7 @@ def snapshots(spark, sf):
 _GROUPS = "SELECT CAST(user_id AS VARCHAR) AS \"correlationId\", event_type AS \"eventName\", 'web' AS name, count(*) AS rows"
 
 
-@query(f"{_GROUPS} FROM events GROUP BY ALL")
+@query(f"{_GROUPS} FROM events GROUP BY ALL", name="landing_stats")
 def landing_stats_groups(spark, sf):
     return landing_stats(snapshots(spark, sf), _NESTED)
 
@@ -466,7 +489,7 @@ def align_names_exprs(spark, sf):
 @query("""
 SELECT event_id, ts, TRY_CAST(props AS BIGINT) AS props, user_id,
        CASE WHEN TRY_CAST(props AS BIGINT) IS NULL AND props IS NOT NULL THEN 1 ELSE 0 END AS lost FROM events
-""")
+""", name="align_types")
 def align_types_text(spark, sf):
     events = table(spark, sf, "events")
     text = events.select(
@@ -481,7 +504,7 @@ def align_types_text(spark, sf):
 
 @query(pairs.CTES + """
 SELECT * FROM src WHERE NOT EXISTS (SELECT 1 FROM tgt WHERE tgt.event_id = src.event_id)
-""")
+""", name="export_missing")
 def export_missing_csv(spark, sf):
     path = shared_dir(spark, "missing")
     missing = missing_records(pairs.source(spark, sf), pairs.target(spark, sf), ["event_id"])
