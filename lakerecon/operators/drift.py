@@ -69,13 +69,14 @@ class SchemaRegistry:
     """
 
     OBSERVED, READER = "observed", "reader"
+    COLUMNS = "feed string, kind string, version bigint, schema string, saved_at timestamp_ntz"
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path
 
     def _latest(self, feed: str, kind: str):
         try:
-            known = self.spark.read.parquet(self.path)
+            known = self.spark.read.schema(self.COLUMNS).parquet(self.path)
         except AnalysisException as error:
             if _no_data(error):
                 return None
@@ -90,14 +91,13 @@ class SchemaRegistry:
         return StructType.fromJson(json.loads(row["schema"])) if row else None
 
     def versions(self, feed: str) -> DataFrame:
-        return self.spark.read.parquet(self.path).filter(F.col("feed") == feed)
+        return self.spark.read.schema(self.COLUMNS).parquet(self.path).filter(F.col("feed") == feed)
 
     def save(self, feed: str, kind: str, schema: StructType, at: datetime) -> int:
         row = self._latest(feed, kind)
         version = row["version"] + 1 if row else 1
         rows = [(feed, kind, version, schema.json(), at)]
-        columns = "feed string, kind string, version bigint, schema string, saved_at timestamp_ntz"
-        self.spark.createDataFrame(rows, columns).coalesce(1).write.mode("append").parquet(self.path)
+        self.spark.createDataFrame(rows, self.COLUMNS).coalesce(1).write.mode("append").parquet(self.path)
         return version
 
     def reader_schema(self, feed: str, observed: StructType, at: datetime) -> StructType:
