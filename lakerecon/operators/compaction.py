@@ -10,7 +10,7 @@ from __future__ import annotations
 import math
 from collections.abc import Callable, Iterable, Iterator, Sequence
 from dataclasses import dataclass
-from datetime import date
+from datetime import date, timedelta
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,7 +21,8 @@ from ..model import FIXED_FILES, CompactionSpec
 from ..sinks.files import MICROSECONDS, write_history
 from ..sources.files import read_calendar, read_events, read_partitions
 from ..sources.listing import list_calendar, list_files, list_partitions
-from .layout import compaction_plan, files_for, pending_partitions
+from .layout import compaction_plan, files_for, partition_mark, pending_partitions
+from .stats import counted
 
 # Write tasks per job: the blocks of a shuffle grow with the product of its two sides.
 MAX_TASKS = 20_000
@@ -37,8 +38,10 @@ SPLIT_BYTES = 128 * 1024 * 1024
 
 @dataclass(frozen=True)
 class PartitionPlan:
+    """``rows`` is None when the plan was made from file sizes."""
+
     value: date
-    rows: int
+    rows: int | None
     files: int
     whole: bool = False
 
@@ -78,16 +81,19 @@ def _fit(files: int, inputs: int, size: int, largest: int, shuffle: bool | None)
 
 
 def _plan(df: DataFrame, sizes: DataFrame, spec: CompactionSpec) -> list[PartitionPlan]:
-    """One small row per partition, from the row counts and the listing."""
-    counted = compaction_plan(df, spec.partition, spec.rows_per_file, spec.tiers, spec.max_rows_per_file)
+    """One small row per partition, from the listing and, unless sizes decide, the row counts."""
     listed = {r[spec.partition]: (r["files"], r["bytes"], r["largest"]) for r in sizes.collect()}
+    if spec.bytes_per_file:
+        wanted = [(day, None, max(1, math.ceil(sized[1] / spec.bytes_per_file))) for day, sized in listed.items()]
+    else:
+        counted_rows = compaction_plan(df, spec.partition, spec.rows_per_file, spec.tiers, spec.max_rows_per_file)
+        wanted = [(r[spec.partition], r["rows"], r["files"]) for r in counted_rows.collect()]
     plan = []
-    for row in counted.collect():
-        value = row[spec.partition]
+    for value, rows, files in wanted:
         if value not in listed:
             raise ValueError(f"rows with {spec.partition} = {value} lie outside dated directories")
-        files, whole = _fit(row["files"], *listed[value], spec.shuffle)
-        plan.append(PartitionPlan(value, row["rows"], files, whole))
+        files, whole = _fit(files, *listed[value], spec.shuffle)
+        plan.append(PartitionPlan(value, rows, files, whole))
     return sorted(plan, key=lambda p: p.value)
 
 
@@ -104,6 +110,11 @@ def _jobs(plan: Sequence[PartitionPlan], most_partitions: int) -> Iterator[list[
         yield job
 
 
+def _days_from_mark(done: DataFrame, spec: CompactionSpec, until: date) -> list[date] | None:
+    mark = partition_mark(done, spec.strategy, spec.partition).first()["mark"]
+    return None if mark is None else [mark + timedelta(days=i) for i in range((until - mark).days + 1)]
+
+
 def spread_over_files(df: DataFrame, plan: Sequence[PartitionPlan], partition: str, per_task: int = 1) -> DataFrame:
     """Send each row to one of its partition's files, one task per file (or per ``per_task`` files).
 
@@ -140,20 +151,25 @@ def _rewrite(
     # An inferred schema is inferred once.
     schema = spec.schema or StructType([f for f in df.schema if f.name != spec.partition])
     plan = _plan(df, sizes(values), spec)
-    options = {**spec.write_options}
+    written = 0
 
     def write(frame: DataFrame, **more: str) -> None:
+        nonlocal written
         fmt = spec.target_format or spec.source_format
-        write_history(frame.drop(*spec.drop), target, [spec.partition], fmt, **options, **more)
+        frame, seen = counted(frame)
+        write_history(frame.drop(*spec.drop), target, [spec.partition], fmt, **spec.write_options, **more)
+        written += seen.get["rows"]
 
     for job in _jobs([p for p in plan if p.whole], MAX_SCANS):
         write(reduce(DataFrame.unionAll, [read([p.value], schema).coalesce(p.files) for p in job]))
     for job in _jobs([p for p in plan if not p.whole], MAX_BROADCAST_PARTITIONS):
-        rows, files = sum(p.rows for p in job), sum(p.files for p in job)
-        per_task = math.ceil(files / MAX_TASKS)
-        limit = {"maxRecordsPerFile": str(math.ceil(rows / files))} if per_task > 1 else {}
+        files = sum(p.files for p in job)
+        per_task, limit = math.ceil(files / MAX_TASKS), {}
+        if per_task > 1 and job[0].rows is not None:
+            # Only a partition with more files than a job has tasks gets here, and it is alone.
+            limit["maxRecordsPerFile"] = str(math.ceil(job[0].rows / files))
         write(spread_over_files(read([p.value for p in job], schema), job, spec.partition, per_task), **limit)
-    return CompactionResult(tuple(p.value for p in plan), sum(p.rows for p in plan), sum(p.files for p in plan))
+    return CompactionResult(tuple(p.value for p in plan), written, sum(p.files for p in plan))
 
 
 def compact(
@@ -162,16 +178,22 @@ def compact(
     target: str,
     spec: CompactionSpec = CompactionSpec(),
     partitions: Iterable[date] | None = None,
+    until: date | None = None,
 ) -> CompactionResult:
     """Rewrite ``source`` into ``target`` with few files.
 
     Incremental mode takes the partitions that are due by ``spec.strategy`` (or ``partitions``) and
     replaces each of them whole, so a repeated run changes nothing. Full mode rewrites everything
     into one flat directory. ``source_format="text"`` moves JSON lines without parsing them.
+
+    With ``until``, the day of the run, a strategy that starts at a target partition lists only the
+    days from there on instead of the whole source; later days are left for later runs.
     """
     _distinct_roots(source, target)
     if spec.mode == "full":
         return _compact_full(spark, source, target, spec)
+    if partitions is None and until is not None and spec.strategy != "missing":
+        partitions = _days_from_mark(list_partitions(spark, target, spec.partition), spec, until)
     if partitions is None:
         due = pending_partitions(
             list_partitions(spark, source, spec.partition),
@@ -179,7 +201,7 @@ def compact(
             spec.strategy,
             spec.partition,
         )
-        partitions = due_partitions(due, spec.partition)
+        partitions = [day for day in due_partitions(due, spec.partition) if until is None or day <= until]
     values = sorted(set(partitions))
 
     def read(days, schema):
@@ -195,23 +217,25 @@ def compact(
 
 def _compact_full(spark: SparkSession, source: str, target: str, spec: CompactionSpec) -> CompactionResult:
     df = read_events(spark, source, spec.source_format, spec.schema)
-    rows, planned = (
-        df.agg(F.count("*").alias("rows"))
-        .withColumn("files", files_for(F.col("rows"), spec.rows_per_file, spec.tiers, spec.max_rows_per_file))
-        .first()
-    )
-    if not rows:
+    inputs, size, largest = list_files(spark, source).agg(
+        F.count("*"), F.coalesce(F.sum("length"), F.lit(0)), F.coalesce(F.max("length"), F.lit(0))
+    ).first()
+    if spec.bytes_per_file:
+        rows, planned = None, max(1, math.ceil(size / spec.bytes_per_file))
+    else:
+        planned = files_for(F.col("rows"), spec.rows_per_file, spec.tiers, spec.max_rows_per_file)
+        rows, planned = df.agg(F.count("*").alias("rows")).select("rows", planned).first()
+    if not inputs or rows == 0:
         return NOTHING
-    listed = list_files(spark, source).agg(F.count("*"), F.sum("length"), F.max("length")).first()
-    files, whole = _fit(planned, *listed, spec.shuffle)
+    files, whole = _fit(planned, inputs, size, largest, spec.shuffle)
     fmt = spec.target_format or spec.source_format
     options = {**(MICROSECONDS if fmt in ("json", "csv") else {}), **spec.write_options}
     tasks = min(files, MAX_TASKS)
-    if tasks < files:
+    if tasks < files and rows is not None:
         options["maxRecordsPerFile"] = str(math.ceil(rows / files))
-    sized = df.coalesce(tasks) if whole else df.repartition(tasks)
+    sized, seen = counted(df.coalesce(tasks) if whole else df.repartition(tasks))
     sized.drop(*spec.drop).write.mode("overwrite").options(**options).format(fmt).save(target)
-    return CompactionResult((), rows, files)
+    return CompactionResult((), seen.get["rows"], files)
 
 
 def rekey_calendar_paths(

@@ -14,6 +14,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DataType, MapType, StructType, VariantType
 
 SALT = "_salt"
 _HASH = "_key_hash"
@@ -81,13 +82,22 @@ def _salt_counts(df: DataFrame, hot: HotKeys) -> DataFrame:
     )
 
 
+def _hashable(kind: DataType) -> bool:
+    if isinstance(kind, StructType):
+        return all(_hashable(f.dataType) for f in kind)
+    if isinstance(kind, ArrayType):
+        return _hashable(kind.elementType)
+    return not isinstance(kind, (MapType, VariantType))
+
+
 def spread(df: DataFrame, hot: HotKeys) -> DataFrame:
     """Salt the side that may hold many rows per key.
 
     The salt depends on the row and on the input task, so that identical copies are spread too, and
     it comes out the same when a lost task is run again.
     """
-    salt = F.pmod(F.xxhash64(F.spark_partition_id(), *df.columns), F.col("_salts"))
+    content = [f.name for f in df.schema if _hashable(f.dataType)]
+    salt = F.pmod(F.xxhash64(F.spark_partition_id(), *content), F.col("_salts"))
     return _salt_counts(df, hot).withColumn(SALT, salt).drop("_salts")
 
 

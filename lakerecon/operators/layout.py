@@ -55,12 +55,17 @@ def pending_partitions(
         raise ValueError(f"unknown strategy {strategy!r}")
     if strategy == "missing":
         return source.join(target.select(partition).distinct(), partition, "left_anti")
-    steps = 1 if strategy == "from_latest" else 2
-    newest = target.select(partition).distinct().orderBy(F.desc(partition)).limit(steps)
-    mark = newest.agg(F.min(partition).alias("mark")).scalar()
+    mark = partition_mark(target, strategy, partition).scalar()
     return source.filter(mark.isNull() | (F.col(partition) >= mark))
 
 
+def partition_mark(target: DataFrame, strategy: str, partition: str = PARTITION_COLUMN) -> DataFrame:
+    """The target partition to start from, as one row; null when the target is empty."""
+    steps = {"from_latest": 1, "from_second_latest": 2}[strategy]
+    newest = target.select(partition).distinct().orderBy(F.desc(partition)).limit(steps)
+    return newest.agg(F.min(partition).alias("mark"))
+
+
 def cap_partitions(df: DataFrame, n: int | None) -> DataFrame:
     """At most ``n`` tasks, without a shuffle; never raises the number.
 

@@ -88,3 +88,9 @@ def test_composite_keys(skewed):
     assert isinstance(hot, HotKeys) and hot
     got, want = (join_to_unique(skewed, right, ["user_id", "event_type"], "left_anti", h) for h in (hot, None))
     assert rows(got) == rows(want)
+
+
+def test_columns_without_a_hash_are_left_out_of_the_salt(spark, skewed, users, hot):
+    left = skewed.withColumn("m", F.create_map("event_type", "value"))
+    right = users.select("user_id", F.col("value").alias("top"))
+    assert join_to_unique(left, right, ["user_id"], "left", hot).count() == left.count()

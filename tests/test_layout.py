@@ -1,6 +1,7 @@
 """Plans, pending partitions and compaction."""
 
 import glob
+import math
 import os
 import time
 from datetime import date, datetime
@@ -212,6 +213,35 @@ def test_whole_files_are_put_together_when_they_are_even():
     assert fit(10, 1, 1000 * compaction.SPLIT_BYTES, 1000 * compaction.SPLIT_BYTES, None) == (10, False)
 
 
+@pytest.mark.parametrize("mode", ["incremental", "full"])
+def test_plans_from_file_sizes_read_the_input_once(spark, raw, folder, mode, monkeypatch):
+    monkeypatch.setattr(compaction, "compaction_plan", None)
+    monkeypatch.setattr(compaction, "files_for", None)
+    sizes = {r[PARTITION_COLUMN]: r["bytes"] for r in list_partitions(spark, raw).collect()}
+    out = f"{folder}/out"
+    got = compact(spark, raw, out, CompactionSpec(mode=mode, schema=SCHEMA, bytes_per_file=50_000))
+    assert got.rows == 15_000
+    if mode == "full":
+        assert got.files == len(glob.glob(f"{out}/part-*")) == math.ceil(sum(sizes.values()) / 50_000)
+    else:
+        assert got.files == sum(min(math.ceil(b / 50_000), 4) for b in sizes.values())
+        assert data(read(spark, out)) == data(read(spark, raw))
+
+
+def test_until_lists_only_recent_days(spark, raw, folder, monkeypatch):
+    spec = CompactionSpec(schema=SCHEMA)
+    compact(spark, raw, folder, spec, until=date(2024, 1, 20))
+    assert list_partitions(spark, folder).count() == 20
+    listed = []
+    real = compaction.list_partitions
+    monkeypatch.setattr(compaction, "list_partitions", lambda s, root, *a: (listed.append((root, len(a) > 1)), real(s, root, *a))[1])
+    got = compact(spark, raw, folder, spec, until=date(2024, 1, 25))
+    assert [d.day for d in got.partitions] == [19, 20, 21, 22, 23, 24, 25]
+    assert (raw, False) not in listed
+    assert compact(spark, raw, folder, spec, until=date(2024, 1, 1)) == compaction.NOTHING
+    assert compact(spark, raw, folder, spec, until=date(2025, 1, 1)).partitions[-1] == date(2024, 1, 30)
+
+
 def test_an_inferred_schema_holds_for_all_partitions(spark, folder):
     spark.createDataFrame([(1, "x", None, "2024-01-01"), (2, None, 5, "2024-01-02")], f"id int, a string, b int, {PARTITION_COLUMN} string").write.partitionBy(
         PARTITION_COLUMN
