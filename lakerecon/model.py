@@ -120,7 +120,11 @@ class CompactionSpec:
 
 @dataclass(frozen=True)
 class IngestSpec:
-    """Incremental ingest of rows whose payload column is a JSON string."""
+    """Incremental ingest of rows whose payload column is a JSON string.
+
+    Each run writes a sub-partition ``batch_column`` of its own, so that a repeated run replaces its
+    files. None appends plainly instead; a repeated run then doubles its rows.
+    """
 
     job: str
     payload: str
@@ -132,6 +136,7 @@ class IngestSpec:
     partition_value: str | date | None = None
     min_partitions: int | None = None
     files: int | None = None
+    batch_column: str | None = "ingest_batch"
 
 
 @dataclass(frozen=True)

@@ -8,11 +8,13 @@ from datetime import date
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.align import tag
 from ..functions.payload import PAYLOAD, flatten_payload, is_bad, quarantine_rows, unbox
 from ..model import IngestSpec
 from ..operators.layout import grow_partitions
 from ..operators.stats import counted
-from ..sinks.files import quarantine, write_raw
+from ..sinks.files import write_history, write_raw
+from ..sources.files import has_rows
 from ..sources.increments import HighWater, highest_key, read_increment, read_up_to
 
 
@@ -28,23 +30,34 @@ def ingest_history(source: DataFrame, spec: IngestSpec, marks: HighWater, run_da
 
     One pass over the source: the counts and the new mark are observed while the files are written.
     A second pass happens only if there are rows to quarantine, and is bounded by the new mark so
-    that it sees the same rows. The mark moves last; a run that failed before is repeated.
+    that it sees the same rows. The mark moves last.
     """
     keys = list(spec.bookmark_keys)
     fresh = read_increment(source, keys, marks.load())
+    if not has_rows(fresh):
+        return IngestResult(0, 0, 0)
     parsed = unbox(grow_partitions(fresh, spec.min_partitions), spec.payload, spec.payload_schema)
     if spec.files:
         # A shuffle, so that reading and parsing keep their parallelism.
         parsed = parsed.repartition(spec.files)
     parsed, seen = counted(parsed, "read", bad=F.count_if(is_bad()), mark=highest_key(keys))
     value = spec.partition_value if spec.partition_value is not None else run_date
-    landed = flatten_payload(parsed.filter(~is_bad()), PAYLOAD)
-    write_raw(landed, spec.out, [spec.partition], fixed_value=str(value))
+    version, value = marks.begin(str(value))
+    batch = {spec.batch_column: f"{spec.job}-{version}"} if spec.batch_column else {}
+    landed = flatten_payload(parsed.filter(~is_bad()), PAYLOAD, **batch)
+    _land(landed, spec.out, spec.partition, value, batch)
     read, bad, mark = (seen.get[n] for n in ("read", "bad", "mark"))
-    if read == 0:
-        return IngestResult(0, 0, 0)
     if bad:
         again = unbox(read_up_to(fresh, keys, mark), spec.payload, spec.payload_schema)
-        quarantine(quarantine_rows(again, spec.payload), f"{spec.quarantine.rstrip('/')}/{value}")
+        rejected = tag(quarantine_rows(again, spec.payload), **batch)
+        _land(rejected, spec.quarantine, spec.partition, value, batch)
     marks.commit(mark, source.select(*keys).schema)
     return IngestResult(read, read - bad, bad)
+
+
+def _land(rows: DataFrame, root: str, partition: str, value: str, batch: dict[str, str]) -> None:
+    rows = rows.withColumn(partition, F.lit(value))
+    if batch:
+        write_history(rows, root, [partition, *batch], compression="gzip")
+    else:
+        write_raw(rows, root, [partition])

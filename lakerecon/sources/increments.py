@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from .files import _no_data
 
@@ -42,33 +43,47 @@ def highest_key(keys: Sequence[str]):
 
 
 class HighWater:
-    """Committed key values per job, as an append-only Parquet table with typed key columns.
+    """Committed key values per job, as append-only Parquet tables with typed key columns.
 
-    Commit after the sink has succeeded: a failed run is repeated, so delivery is at least once and
-    the sink must tolerate a repeat.
+    A run first states what it is about to write (``begin``) and commits the mark after the sink has
+    succeeded. A run that failed in between is repeated under the same batch number and value, so a
+    sink that replaces the batch's own files holds every row once.
     """
 
     def __init__(self, spark: SparkSession, root: str, job: str):
-        self.spark, self.path = spark, f"{root.rstrip('/')}/job={job}"
+        self.spark = spark
+        self.path = f"{root.rstrip('/')}/marks/job={job}"
+        self.intents = f"{root.rstrip('/')}/intents/job={job}"
 
-    def _latest(self) -> Row | None:
+    def _newest(self, path: str) -> Row | None:
         try:
-            marks = self.spark.read.parquet(self.path)
+            return self.spark.read.parquet(path).orderBy(F.desc("version")).first()
         except AnalysisException as error:
             if _no_data(error):
                 return None
             raise
-        return marks.orderBy(F.desc("version")).first()
 
     def load(self) -> Row | None:
-        row = self._latest()
+        row = self._newest(self.path)
         return row["mark"] if row else None
 
-    def commit(self, mark: Row, schema) -> None:
+    def next_version(self) -> int:
+        row = self._newest(self.path)
+        return row["version"] + 1 if row else 1
+
+    def begin(self, value: str) -> tuple[int, str]:
+        """Batch number and value to write under: those of the unfinished run if there is one."""
+        version, last = self.next_version(), self._newest(self.intents)
+        if last and last["version"] == version:
+            return version, last["value"]
+        row = self.spark.createDataFrame([(version, value)], "version bigint, value string")
+        row.coalesce(1).write.mode("append").parquet(self.intents)
+        return version, value
+
+    def commit(self, mark: Row, schema: StructType) -> None:
         """Append a new mark; ``schema`` holds the key columns' types."""
-        row = self._latest()
-        version = row["version"] + 1 if row else 1
         fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
         names = [f.name for f in schema.fields]
-        flat = self.spark.createDataFrame([(version, *[mark[n] for n in names])], f"version bigint, {fields}")
+        row = (self.next_version(), *[mark[n] for n in names])
+        flat = self.spark.createDataFrame([row], f"version bigint, {fields}")
         flat.select("version", F.struct(*names).alias("mark")).coalesce(1).write.mode("append").parquet(self.path)

@@ -70,22 +70,39 @@ def test_ingest_lands_quarantines_and_moves_on(spark, feed, folder):
     assert (third.read, third.quarantined) == (1, 0)
     landed = read_events(spark, f"{folder}/raw", schema="k BIGINT, event_creation_time DATE")
     assert sorted((r[0], str(r[1])) for r in landed.collect()) == [(1, "2024-02-01"), (4, "2024-02-01"), (5, "2024-02-03")]
-    assert glob.glob(f"{folder}/raw/event_creation_time=2024-02-01/*.json.gz")
-    bad = spark.read.json(f"{folder}/err/2024-02-01")
+    assert glob.glob(f"{folder}/raw/event_creation_time=2024-02-01/ingest_batch=j-1/*.json.gz")
+    bad = spark.read.json(f"{folder}/err")
+    assert {str(r["event_creation_time"]) for r in bad.collect()} == {"2024-02-01"}
     assert sorted(r["id"] for r in bad.collect()) == [10, 20]
 
 
+@pytest.mark.parametrize("batch_column, rows", [("ingest_batch", 3), (None, 5)])
+def test_a_run_repeated_on_another_day(spark, feed, folder, batch_column, rows):
+    """The mark could not be written: the next run replaces the files, unless it appends plainly."""
+    marks, plan = HighWater(spark, f"{folder}/marks", "j"), spec(folder, batch_column=batch_column)
+    marks.commit, real = (lambda *a: (_ for _ in ()).throw(OSError("no space"))), marks.commit
+    with pytest.raises(OSError):
+        ingest_history(feed, plan, marks, date(2024, 2, 1))
+    marks.commit = real
+    more = feed.unionAll(spark.createDataFrame([(datetime(2024, 1, 1, 5), 50, '{"k": 5}')], feed.schema))
+    assert ingest_history(more, plan, marks, date(2024, 2, 2)).written == 3
+    landed = spark.read.json(f"{folder}/raw")
+    assert landed.count() == rows
+    assert {str(r["event_creation_time"]) for r in landed.collect()} == {"2024-02-01"}
+    assert spark.read.json(f"{folder}/err").count() == (2 if batch_column else 4)
+
+
 def test_ingest_into_one_partition_with_other_task_counts(spark, feed, folder):
     one = spec(folder, partition_value="initial", min_partitions=3, files=1)
     ingest_history(feed, one, HighWater(spark, f"{folder}/marks", "j"), date(2024, 2, 1))
-    assert len(glob.glob(f"{folder}/raw/event_creation_time=initial/*.json.gz")) == 1
+    assert len(glob.glob(f"{folder}/raw/event_creation_time=initial/*/*.json.gz")) == 1
 
 
 def test_ingest_of_null_keys_loses_nothing(spark, folder):
     df = spark.createDataFrame([(None, 1, '{"k": 1}'), (None, 2, "broken"), (datetime(2024, 1, 1), 3, '{"k": 3}')], "at timestamp_ntz, id bigint, payload string")
     got = ingest_history(df, spec(folder), HighWater(spark, f"{folder}/marks", "j"), date(2024, 2, 1))
     assert (got.written, got.quarantined) == (2, 1)
-    assert spark.read.json(f"{folder}/err/2024-02-01").count() == 1
+    assert spark.read.json(f"{folder}/err").count() == 1
 
 
 def test_a_failed_sink_does_not_move_the_mark(spark, feed, folder):

@@ -118,7 +118,7 @@ def ingest_increments(spark, sf):
     for day in (date(2024, 2, 1), date(2024, 2, 2)):
         ingest_history(landing.broken_events(spark, sf), spec, marks, day)
     landed = read_events(spark, spec.out, schema=f"k BIGINT, {PARTITION_COLUMN} DATE")
-    rejected = spark.read.schema("event_id BIGINT, error STRING").option("recursiveFileLookup", "true").json(spec.quarantine)
+    rejected = read_events(spark, spec.quarantine, schema="event_id BIGINT, error STRING")
     return landed.agg(
         F.lit("landed").alias("place"), F.count("*").alias("rows"), F.sum("k").alias("k_sum")
     ).unionAll(rejected.agg(F.lit("quarantined"), F.count("event_id"), F.lit(None).cast("long")))
