@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, StringType, TimestampNTZType, TimestampType
 
+from .schemas import wall_clock
+
 
 def align_names(df: DataFrame, keys: Sequence[str], source: Sequence[str], target: Sequence[str]) -> DataFrame:
     """Keep the keys and rename ``target[i]`` to ``source[i]``."""
@@ -38,13 +40,13 @@ def tag(df: DataFrame, **constants: object) -> DataFrame:
 def within_window(df: DataFrame, column: str, as_of: datetime, hours: int = 24) -> DataFrame:
     """Rows of the half-open window ``[as_of - hours, as_of)``.
 
-    For a timestamp column the bounds are literals of the column's own type, so that the
-    comparison reaches the scan. Text columns are parsed first.
+    ``as_of`` is read on the session's clock. For a timestamp column the bounds are literals of the
+    column's own type, so that the comparison reaches the scan. Text columns are parsed first.
     """
     kind = df.schema[column].dataType
     value = as_local_timestamp(F.col(column), kind)
     bound_type = kind if isinstance(kind, (TimestampType, TimestampNTZType)) else TimestampNTZType()
-    low, high = (F.lit(t).cast(bound_type) for t in (as_of - timedelta(hours=hours), as_of))
+    low, high = (wall_clock(t, bound_type) for t in (as_of - timedelta(hours=hours), as_of))
     return df.filter((value >= low) & (value < high))
 
 

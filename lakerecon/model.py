@@ -166,7 +166,7 @@ class BatchSpec:
 
 @dataclass(frozen=True)
 class AuditStamp:
-    """Run identity attached to every audit row."""
+    """Run identity attached to every audit row; ``at`` is UTC, without a zone."""
 
     run_id: str
     at: datetime

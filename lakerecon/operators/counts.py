@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.schemas import wall_clock
 from ..functions.times import eastern_text
 from ..model import AuditStamp
 
@@ -67,7 +68,7 @@ def failed_groups(recon: DataFrame) -> DataFrame:
 
 def recon_alerts(recon: DataFrame, fields: Sequence[str], stamp: AuditStamp) -> DataFrame:
     """One JSON text per group: control, difference, chosen fields, run id, run time in both zones."""
-    at = F.lit(stamp.at).cast("timestamp")
+    at = wall_clock(stamp.at)
     body = F.struct(
         F.col("ctrl_name").alias("rule_name"),
         "differences",

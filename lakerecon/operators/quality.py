@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.schemas import wall_clock
 from ..functions.times import eastern_text
 from ..model import AuditStamp, DQRule
 from ..sinks.audit import append_audit
@@ -24,7 +25,7 @@ def run_rules(
 
     ``views`` are the frames a rule names as ``{name}``, ``params`` the values it names as ``:name``.
     """
-    at = F.lit(stamp.at).cast("timestamp")
+    at = wall_clock(stamp.at)
     failures = [
         spark.sql(rule.sql, args=dict(params or {}), **(views or {})).select(
             F.lit(rule.name).alias("rule_name"),

@@ -16,6 +16,7 @@ def local_session(app: str = "lakerecon", cpus: str | int = "*", **conf: str) ->
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.shuffle.partitions": "8",
         "spark.sql.adaptive.enabled": "true",
+        "spark.sql.maxConcurrentOutputFileWriters": "64",
         "spark.driver.memory": "8g",
         **conf,
     }

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.schemas import wall_clock
 from ..functions.times import eastern_time
 from ..model import AuditStamp
 
@@ -12,7 +13,7 @@ from ..model import AuditStamp
 def audit_rows(df: DataFrame, stamp: AuditStamp) -> DataFrame:
     """Add the run id and the audit wall-clock time."""
     return df.withColumns(
-        {"run_time": eastern_time(F.lit(stamp.at).cast("timestamp")).cast("timestamp_ntz"), "run_id": F.lit(stamp.run_id)}
+        {"run_time": eastern_time(wall_clock(stamp.at)).cast("timestamp_ntz"), "run_id": F.lit(stamp.run_id)}
     )
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from ..functions.schemas import typed_literal
 from .files import _no_data
 
 
@@ -21,7 +22,7 @@ def read_increment(df: DataFrame, keys: Sequence[str], after: Row | dict | None)
     if after is None:
         return df
     mark = after.asDict() if isinstance(after, Row) else dict(after)
-    values = {k: F.lit(mark[k]).cast(df.schema[k].dataType) for k in keys}
+    values = {k: typed_literal(mark[k], df.schema[k].dataType) for k in keys}
     beyond = F.lit(False)
     for key in reversed(keys):
         beyond = (F.col(key) > values[key]) | ((F.col(key) == values[key]) & beyond)
@@ -31,7 +32,7 @@ def read_increment(df: DataFrame, keys: Sequence[str], after: Row | dict | None)
 def read_up_to(df: DataFrame, keys: Sequence[str], mark: Row | dict) -> DataFrame:
     """Rows whose key tuple is at most ``mark``, null keys included."""
     mark = mark.asDict() if isinstance(mark, Row) else dict(mark)
-    values = {k: F.lit(mark[k]).cast(df.schema[k].dataType) for k in keys}
+    values = {k: typed_literal(mark[k], df.schema[k].dataType) for k in keys}
     first = F.col(keys[0])
     top = F.struct(*[values[k].alias(k) for k in keys])
     return df.filter((first.isNull() | (first <= values[keys[0]])) & (F.struct(*keys) <= top))

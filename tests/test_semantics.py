@@ -24,6 +24,7 @@ from lakerecon import (
     missing_records,
     normalise_ts,
     project_exprs,
+    read_increment,
     recon_dates,
     redact,
     row_recon,
@@ -35,6 +36,9 @@ from lakerecon import (
     within_window,
 )
 
+from lakerecon.sinks.audit import audit_rows
+from lakerecon.sources.increments import read_up_to
+
 
 def rows(df):
     return sorted((tuple(r) for r in df.collect()), key=repr)
@@ -278,3 +282,27 @@ def test_null_groups_are_told_from_the_total(spark):
 def test_timestamp_columns_are_left_as_they_are(spark):
     df = spark.sql("SELECT TIMESTAMP_NTZ '2024-01-15 10:00:00' AS t")
     assert df.select(as_local_timestamp(F.col("t"), df.schema["t"].dataType)).dtypes[0][1] == "timestamp_ntz"
+
+
+@pytest.fixture(params=["America/New_York", "Asia/Tokyo"])
+def elsewhere(spark, request):
+    spark.conf.set("spark.sql.session.timeZone", request.param)
+    yield request.param
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_results_do_not_depend_on_the_session_zone(spark, elsewhere):
+    df = spark.sql("SELECT TIMESTAMP_NTZ '2024-01-15 11:59:59' AS n, TIMESTAMP '2024-01-15 11:59:59' AS z, '2024-01-15T11:59:59' AS s")
+    for column in df.columns:
+        assert within_window(df, column, datetime(2024, 1, 15, 12)).count() == 1
+        assert within_window(df, column, datetime(2024, 1, 15, 11, 59, 59)).count() == 0
+    for column in ("n", "z"):
+        mark = df.select(column).first()
+        assert read_increment(df, [column], mark).isEmpty()
+        assert read_up_to(df, [column], mark).count() == 1
+    stamp = AuditStamp("r", datetime(2024, 7, 1, 12, 0, 0, 250000))
+    audited = audit_rows(df.select("s"), stamp).select(F.col("run_time").cast("string")).first()[0]
+    assert audited == "2024-07-01 08:00:00"
+    t = spark.createDataFrame([(1,)], "id int")
+    row = run_rules(spark, [DQRule("r", "SELECT * FROM {t}", ["id"])], stamp, {"t": t}).first()
+    assert (row["job_run_time"], row["job_run_time_est"]) == ("2024-07-01T12:00:00.250000Z", "2024-07-01T08:00:00.250000Z")

@@ -125,7 +125,7 @@ def ingest_increments(spark, sf):
 
 
 @query("""
-SELECT c_mktsegment, count(*) AS orders, CAST(round(sum(CAST(o_totalprice AS DECIMAL(18, 2))), 2) AS DECIMAL(28, 2)) AS revenue
+SELECT c_mktsegment, count(*) AS orders, CAST(sum(CAST(o_totalprice AS DECIMAL(18, 2))) AS DOUBLE) AS revenue
 FROM orders JOIN customer ON o_custkey = c_custkey WHERE o_totalprice >= 1000 GROUP BY c_mktsegment
 """)
 def sql_step(spark, sf):
@@ -133,7 +133,7 @@ def sql_step(spark, sf):
         spark,
         """
         SELECT c_mktsegment, count(*) AS orders,  -- comments and line breaks are kept
-               CAST(round(sum(CAST(o_totalprice AS DECIMAL(18, 2))), 2) AS DECIMAL(28, 2)) AS revenue
+               CAST(sum(CAST(o_totalprice AS DECIMAL(18, 2))) AS DOUBLE) AS revenue
         FROM {orders} JOIN {customer} ON o_custkey = c_custkey
         WHERE o_totalprice >= :floor GROUP BY c_mktsegment
         """,

@@ -85,11 +85,17 @@ def latest_line_per_order(spark, sf):
     return latest_per_key(table(spark, sf, "lineitem"), ["l_orderkey", "l_linenumber"], ["l_shipdate"])
 
 
+def _plain(df):
+    """Amounts as doubles, which both engines hand out alike."""
+    return df.withColumn("amount", F.col("amount").cast("double"))
+
+
 @query(pairs.CTES + """
-SELECT * FROM src WHERE NOT EXISTS (SELECT 1 FROM tgt WHERE tgt.event_id = src.event_id)
+SELECT event_id, ts, user_id, event_type, CAST(amount AS DOUBLE) AS amount, props FROM src
+WHERE NOT EXISTS (SELECT 1 FROM tgt WHERE tgt.event_id = src.event_id)
 """, name="missing_records")
 def missing_records_all(spark, sf):
-    return missing_records(pairs.source(spark, sf), pairs.target(spark, sf), ["event_id"])
+    return _plain(missing_records(pairs.source(spark, sf), pairs.target(spark, sf), ["event_id"]))
 
 
 @query("""
@@ -103,11 +109,11 @@ def orders_missing_lines(spark, sf):
 @query(pairs.CTES + """
 , s AS (SELECT * FROM src WHERE ts >= TIMESTAMP '2024-01-14 12:00:00' AND ts < TIMESTAMP '2024-01-15 12:00:00'),
   t AS (SELECT * FROM tgt WHERE ts >= TIMESTAMP '2024-01-14 12:00:00' AND ts < TIMESTAMP '2024-01-15 12:00:00')
-SELECT event_id, ts, user_id, event_type, amount FROM s
+SELECT event_id, ts, user_id, event_type, CAST(amount AS DOUBLE) AS amount FROM s
 WHERE NOT EXISTS (SELECT 1 FROM t WHERE t.event_id = s.event_id)
 """)
 def missing_records_24h(spark, sf):
-    return row_recon(pairs.source(spark, sf), pairs.target(spark, sf), EVENT_SPEC, pairs.AS_OF).missing
+    return _plain(row_recon(pairs.source(spark, sf), pairs.target(spark, sf), EVENT_SPEC, pairs.AS_OF).missing)
 
 
 _EVENT_DIFFS = """
@@ -405,7 +411,6 @@ WITH f AS (
 
 def _failures(spark, sf):
     views = {n: table(spark, sf, n) for n in ("orders", "lineitem", "customer")}
-    # A rule may use only some of the views.
     return run_rules(spark, RULES, STAMP, views, {"floor": 0})
 
 
@@ -487,30 +492,33 @@ def align_names_exprs(spark, sf):
 
 
 @query("""
-SELECT event_id, ts, TRY_CAST(props AS BIGINT) AS props, user_id,
-       CASE WHEN TRY_CAST(props AS BIGINT) IS NULL AND props IS NOT NULL THEN 1 ELSE 0 END AS lost FROM events
+SELECT event_id, ts, TRY_CAST(k AS BIGINT) AS k, user_id,
+       CASE WHEN TRY_CAST(k AS BIGINT) IS NULL AND k IS NOT NULL THEN 1 ELSE 0 END AS lost
+FROM (SELECT *, CASE WHEN event_type = 'error' THEN props ELSE json_extract_string(props, '$.k') END AS k FROM events)
 """, name="align_types")
 def align_types_text(spark, sf):
+    """Everything arrives as text; errors bring the whole payload where a number is expected."""
     events = table(spark, sf, "events")
+    k = F.when(F.col("event_type") == "error", F.col("props")).otherwise(F.get_json_object("props", "$.k"))
     text = events.select(
         F.col("event_id").cast("string").alias("event_id"),
         F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("ts"),
-        "props",
+        k.alias("k"),
         F.col("user_id").cast("string").alias("user_id"),
     )
-    typed = events.select("event_id", "user_id", F.lit(0).cast("long").alias("props"))
-    return align_types(normalise_ts(text, ["ts"]), typed, ["event_id", "user_id", "props"], lost="lost")
+    typed = events.select("event_id", "user_id", F.lit(0).cast("long").alias("k"))
+    return align_types(normalise_ts(text, ["ts"]), typed, ["event_id", "user_id", "k"], lost="lost")
 
 
 @query(pairs.CTES + """
-SELECT * FROM src WHERE NOT EXISTS (SELECT 1 FROM tgt WHERE tgt.event_id = src.event_id)
+SELECT event_id, ts, user_id, event_type, CAST(amount AS DOUBLE) AS amount, props FROM src
+WHERE NOT EXISTS (SELECT 1 FROM tgt WHERE tgt.event_id = src.event_id)
 """, name="export_missing")
 def export_missing_csv(spark, sf):
     path = shared_dir(spark, "missing")
     missing = missing_records(pairs.source(spark, sf), pairs.target(spark, sf), ["event_id"])
     export_missing(missing, path)
-    # JSON text holds quotes, which the writer escapes by a backslash.
-    return spark.read.schema(missing.schema).csv(path, header=True)
+    return _plain(spark.read.schema(missing.schema).csv(path, header=True))
 
 
 @query("""
