@@ -82,7 +82,7 @@ def increment_scan(spark, sf):
 
 
 @query("""
-SELECT slice, count(*) AS orders, sum(o_orderkey) AS key_sum
+SELECT slice, count(*) AS orders, CAST(sum(o_orderkey) AS BIGINT) AS key_sum
 FROM (SELECT o_orderkey, abs(o_orderkey % 7) AS slice FROM orders) GROUP BY slice
 """, name="jdbc_hash_slices")
 def hash_slices(spark, sf):
@@ -100,7 +100,7 @@ def hash_slices(spark, sf):
 @query(f"""
 WITH b AS ({landing.BROKEN}), p AS (SELECT payload, coalesce(json_valid(payload), false) AS ok FROM b)
 SELECT 'landed' AS place, count(*) AS rows, CAST(sum(CAST(json_extract(CASE WHEN ok THEN payload END, '$.k') AS BIGINT)) AS BIGINT) AS k_sum FROM p WHERE ok
-UNION ALL SELECT 'quarantined', count(*), NULL FROM p WHERE NOT ok
+UNION ALL SELECT 'quarantined', count(*), 0 FROM p WHERE NOT ok
 """)
 def ingest_increments(spark, sf):
     """Two runs, the second of which finds nothing beyond the mark of the first."""
@@ -121,7 +121,7 @@ def ingest_increments(spark, sf):
     rejected = read_events(spark, spec.quarantine, schema="event_id BIGINT, error STRING")
     return landed.agg(
         F.lit("landed").alias("place"), F.count("*").alias("rows"), F.sum("k").alias("k_sum")
-    ).unionAll(rejected.agg(F.lit("quarantined"), F.count("event_id"), F.lit(None).cast("long")))
+    ).unionAll(rejected.agg(F.lit("quarantined"), F.count("event_id"), F.lit(0).cast("long")))
 
 
 @query("""

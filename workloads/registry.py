@@ -38,6 +38,11 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf.rstrip('/')}/{name}.parquet")
 
 
+def as_text(df: DataFrame, *columns: str) -> DataFrame:
+    """Whole numbers that may be null as text, because the engines hand them out differently."""
+    return df.withColumns({c: df[c].cast("string") for c in columns})
+
+
 def once_per_application(build):
     """Directories that queries only read are written once per application and input."""
     made: dict[tuple[str, str], str] = {}

@@ -9,12 +9,12 @@ from lakerecon.model import PARTITION_COLUMN
 
 from . import landing
 from .layout import read_dated
-from .registry import query
+from .registry import as_text, query
 
 
 @query(f"""
 WITH b AS ({landing.BROKEN})
-SELECT event_id, CAST(json_extract(CASE WHEN json_valid(payload) THEN payload END, '$.k') AS BIGINT) AS k,
+SELECT event_id, json_extract_string(CASE WHEN json_valid(payload) THEN payload END, '$.k') AS k,
        strftime(ts, '%Y-%m-%d') AS {PARTITION_COLUMN},
        CASE WHEN json_valid(payload) THEN 'landed' ELSE 'rejected' END AS place
 FROM b
@@ -40,7 +40,7 @@ def stream_ingest(spark, sf):
     out = landed.select("event_id", "k", PARTITION_COLUMN, "place").unionByName(
         rejected.select("event_id", "k", PARTITION_COLUMN, "place")
     )
-    return out.withColumn(PARTITION_COLUMN, F.col(PARTITION_COLUMN).cast("string"))
+    return as_text(out, "k", PARTITION_COLUMN)
 
 
 @query(f"SELECT *, strftime(ts, '%Y-%m-%d') AS {PARTITION_COLUMN} FROM events")

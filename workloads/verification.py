@@ -39,7 +39,7 @@ from lakerecon import (
 )
 
 from . import pairs
-from .registry import query, table
+from .registry import as_text, query, table
 
 STAMP = AuditStamp("r1", datetime(2024, 1, 15, 17, 0, 0, 123456))
 
@@ -237,7 +237,7 @@ SELECT 'counts' AS part, (SELECT count(*) FROM s) AS a, (SELECT count(*) FROM sl
 UNION ALL
 SELECT 'missing', count(*), CAST(sum(l_orderkey) AS BIGINT), CAST(sum(l_quantity) AS BIGINT) FROM sl ANTI JOIN t USING (l_orderkey, l_linenumber)
 UNION ALL
-SELECT 'differences', count(*), CAST(sum(l_orderkey) AS BIGINT), NULL FROM (
+SELECT 'differences', count(*), CAST(sum(l_orderkey) AS BIGINT), 0 FROM (
   SELECT l_orderkey FROM sl JOIN t USING (l_orderkey, l_linenumber) WHERE sl.l_shipdate IS DISTINCT FROM t.shipped
   UNION ALL
   SELECT l_orderkey FROM sl JOIN t USING (l_orderkey, l_linenumber) WHERE sl.l_quantity IS DISTINCT FROM t.quantity)
@@ -250,7 +250,7 @@ def recon_published(spark, sf):
     return (
         spark.createDataFrame(counts, "part string, a bigint, b bigint, c bigint")
         .unionAll(done.missing.agg(F.lit("missing"), n, F.sum("l_orderkey"), F.sum("l_quantity").cast("long")))
-        .unionAll(done.differences.agg(F.lit("differences"), n, F.sum("l_orderkey"), F.lit(None).cast("long")))
+        .unionAll(done.differences.agg(F.lit("differences"), n, F.sum("l_orderkey"), F.lit(0).cast("long")))
     )
 
 
@@ -308,9 +308,16 @@ _BY_DAY_SQL = pairs.CTES + _COUNTS_BY_DAY + f"""
 """
 
 
-@query(_BY_DAY_SQL + "SELECT * FROM recon")
+_TEXT_COUNTS = """
+SELECT * REPLACE (CAST(left_count AS VARCHAR) AS left_count, CAST(right_count AS VARCHAR) AS right_count,
+                  CAST(differences AS VARCHAR) AS differences)
+"""
+_NULLABLE = ("left_count", "right_count", "differences")
+
+
+@query(_BY_DAY_SQL + _TEXT_COUNTS + "FROM recon")
 def count_recon_composite(spark, sf):
-    return _recon_by_day(spark, sf)
+    return as_text(_recon_by_day(spark, sf), *_NULLABLE)
 
 
 @query(_BY_DAY_SQL + """
@@ -326,9 +333,7 @@ def recon_alerts_failed(spark, sf):
     return recon_alerts(failed_groups(_recon_by_day(spark, sf)), ["left_event_type", "left_day"], STAMP)
 
 
-@query(_BY_DAY_SQL + """
-SELECT *, TIMESTAMP '2024-01-15 12:00:00' AS run_time, 'r1' AS run_id FROM recon
-""")
+@query(_BY_DAY_SQL + _TEXT_COUNTS + ", TIMESTAMP '2024-01-15 12:00:00' AS run_time, 'r1' AS run_id FROM recon")
 def audit_append(spark, sf):
     path = shared_dir(spark, "audit")
     name = "audit_" + path.rsplit("-", 1)[1]
@@ -337,9 +342,8 @@ def audit_append(spark, sf):
         f"CREATE TABLE {name} ({_ddl(empty)}, run_time TIMESTAMP_NTZ, run_id STRING) USING parquet LOCATION '{path}'"
     )
     append_audit(_recon_by_day(spark, sf), name, STAMP)
-    out = spark.read.parquet(path)
     spark.sql(f"DROP TABLE {name}")
-    return out
+    return as_text(spark.read.parquet(path), *_NULLABLE)
 
 
 def _ddl(df):
@@ -492,7 +496,7 @@ def align_names_exprs(spark, sf):
 
 
 @query("""
-SELECT event_id, ts, TRY_CAST(k AS BIGINT) AS k, user_id,
+SELECT event_id, ts, CAST(TRY_CAST(k AS BIGINT) AS VARCHAR) AS k, user_id,
        CASE WHEN TRY_CAST(k AS BIGINT) IS NULL AND k IS NOT NULL THEN 1 ELSE 0 END AS lost
 FROM (SELECT *, CASE WHEN event_type = 'error' THEN props ELSE json_extract_string(props, '$.k') END AS k FROM events)
 """, name="align_types")
@@ -507,7 +511,7 @@ def align_types_text(spark, sf):
         F.col("user_id").cast("string").alias("user_id"),
     )
     typed = events.select("event_id", "user_id", F.lit(0).cast("long").alias("k"))
-    return align_types(normalise_ts(text, ["ts"]), typed, ["event_id", "user_id", "k"], lost="lost")
+    return as_text(align_types(normalise_ts(text, ["ts"]), typed, ["event_id", "user_id", "k"], lost="lost"), "k")
 
 
 @query(pairs.CTES + """
