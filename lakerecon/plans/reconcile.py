@@ -14,7 +14,7 @@ from ..functions.align import align_names, align_types, normalise_ts, project_ex
 from ..model import CountReconSpec, ReconSpec
 from ..operators.compare import AUTO, column_diff, compare_rows, missing_records, recon_summary
 from ..operators.counts import count_recon
-from ..operators.hotkeys import HotKeys
+from ..operators.hotkeys import HotKeys, find_hot_keys
 from ..operators.latest import latest_per_key
 from ..operators.stats import counted
 
@@ -24,6 +24,7 @@ class RowRecon:
     """The frames of one reconciliation; each is lazy."""
 
     spec: ReconSpec
+    hot: HotKeys | None
     source: DataFrame
     latest: DataFrame
     target: DataFrame
@@ -62,9 +63,12 @@ def row_recon(
     latest = normalise_ts(latest, spec.timestamps)
     aligned = align_types(latest, tgt, [*spec.keys, *spec.source_fields])
     columns = spec.compared_columns
+    if hot == AUTO:
+        hot = find_hot_keys(tgt, spec.keys)
     compared = compare_rows(aligned, tgt, spec.keys, columns, hot=hot)
     return RowRecon(
         spec=spec,
+        hot=hot,
         source=src,
         latest=aligned,
         target=tgt,
@@ -85,14 +89,14 @@ class PublishedRecon:
     differences: DataFrame
 
 
-def publish_recon(recon: RowRecon, out: str, hot: HotKeys | str | None = AUTO) -> PublishedRecon:
+def publish_recon(recon: RowRecon, out: str) -> PublishedRecon:
     """Run a reconciliation with one join: count all pairs, keep only those that are not equal.
 
     The rows of ``out`` are normally few; the missing records and the differences are read from
     there. The frames of ``recon`` would each run the join again.
     """
     spec, keys, columns = recon.spec, list(recon.spec.keys), recon.spec.compared_columns
-    compared = compare_rows(recon.latest, recon.target, keys, columns, hot=hot, carry=spec.source_fields)
+    compared = compare_rows(recon.latest, recon.target, keys, columns, hot=recon.hot, carry=spec.source_fields)
     compared, seen = counted(
         compared,
         "pairs",

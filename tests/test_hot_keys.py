@@ -1,10 +1,22 @@
 """Spread joins give the rows of plain joins, and the spreading does spread."""
 
+from datetime import datetime
+
 import pytest
 from conftest import DATA
 from pyspark.sql import functions as F
 
-from lakerecon import HotKeys, column_diff, compare_rows, find_hot_keys, join_to_unique, missing_records
+from lakerecon import (
+    HotKeys,
+    ReconSpec,
+    column_diff,
+    compare_rows,
+    find_hot_keys,
+    join_to_unique,
+    missing_records,
+    publish_recon,
+    row_recon,
+)
 from lakerecon.operators.hotkeys import SALT, replicate, spread
 
 
@@ -90,6 +102,19 @@ def test_composite_keys(skewed):
     assert rows(got) == rows(want)
 
 
+def test_reconciliation_with_hot_target_keys(spark, skewed, users, hot, folder):
+    at = F.lit("2024-01-15 10:00:00").cast("timestamp_ntz")
+    source, target = (df.withColumn("at", at) for df in (users.unionAll(users), skewed))
+    fields = ["at", "event_type", "value"]
+    spec = ReconSpec("t", ["user_id"], fields, fields)
+    plain, salted = (row_recon(source, target, spec, datetime(2024, 1, 15, 12), hot=h) for h in (None, hot))
+    assert plain.summary.collect() == salted.summary.collect()
+    assert plain.summary.first()["target_row_count"] == 10_000
+    one, other = (publish_recon(r, f"{folder}/{i}") for i, r in enumerate((plain, salted)))
+    assert one.counts == other.counts
+    assert rows(one.exceptions) == rows(other.exceptions)
+
+
 def test_columns_without_a_hash_are_left_out_of_the_salt(spark, skewed, users, hot):
     left = skewed.withColumn("m", F.create_map("event_type", "value"))
     right = users.select("user_id", F.col("value").alias("top"))

@@ -244,7 +244,7 @@ SELECT 'differences', count(*), CAST(sum(l_orderkey) AS BIGINT), 0 FROM (
 """)
 def recon_published(spark, sf):
     """One pass over both sides; everything else comes from the rows that are not equal."""
-    done = publish_recon(line_recon(spark, sf), shared_dir(spark, "exceptions"), hot=None)
+    done = publish_recon(line_recon(spark, sf), shared_dir(spark, "exceptions"))
     n = F.count("*")
     counts = [("counts", *(done.counts[c] for c in ("source_record_count", "source_row_count", "target_row_count")))]
     return (
