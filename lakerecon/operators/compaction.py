@@ -132,8 +132,8 @@ def spread_over_files(df: DataFrame, plan: Sequence[PartitionPlan], partition: s
         lookup = F.broadcast(lookup)
     # The row number inside an input split is the same when the split is read again.
     numbered = df.withColumn("_turn", F.monotonically_increasing_id()).join(lookup, partition)
-    target = (F.col("_offset") + F.pmod("_turn", "_tasks")).cast("int")
-    return numbered.repartitionById(offset, target).drop("_turn", "_offset", "_tasks")
+    task = (F.col("_offset") + F.pmod("_turn", "_tasks")).cast("int").alias("_task")
+    return numbered.select(*df.columns, task).repartitionById(offset, F.col("_task")).drop("_task")
 
 
 Reader = Callable[[Sequence[date], StructType | str | None], DataFrame]
