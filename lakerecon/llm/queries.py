@@ -7,18 +7,103 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakerecon.llm import bottomk
+from lakerecon.llm import arc, bottomk, chat, factorisation, mixing, rule_ledger, string_kernel, url_filter
+from lakerecon.llm.frames import cut, remainder
+from lakerecon.session import shared_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+URL_RULES = [
+    ("com", "/", "allow"),
+    ("example.com", "/en/", "block"),
+    ("www.example.com", "/en/", "allow"),
+    ("net", "/es/", "block"),
+    ("net", "/fr/", "block"),
+]
+
 
 def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf.rstrip('/')}/{name}.parquet")
 
 
+def op2_arc_to_warc(spark: SparkSession, sf: str) -> DataFrame:
+    """Pages as ARC archives of both versions, converted to WARC, and the WARC archives read back."""
+    size = F.octet_length(F.coalesce("html", F.lit("")))
+    head = F.concat(
+        F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=UTF-8\r\nContent-Length: "), size.cast("string"),
+        F.coalesce(F.concat(F.lit("\r\nX-Page-Id: "), F.col("page_id").cast("string")), F.lit("")), F.lit("\r\n\r\n"),
+    )
+    contents = _table(spark, sf, "pages").select(
+        F.col("page_id"), "url", F.lit("20240101000000").alias("date"), F.lit("text/html").alias("content_type"),
+        F.concat(head, F.coalesce("html", F.lit(""))).cast("binary").alias("body"),
+    )
+    odd = F.coalesce(F.col("page_id") % 2 != 0, F.lit(False))
+    archives = arc.pack(contents.filter(odd), "pages", 1).union(arc.pack(contents.filter(~odd), "pages", 2))
+    path = shared_dir(spark, "op2-warc")
+    arc.convert(archives, arc.http_header("head", "X-Page-Id").cast("long"), path)
+    read = arc.read_warc(spark, path, payloads=False).filter("type IN ('response', 'revisit')")
+    found = cut(
+        read.select(
+            arc.http_header("head", "X-Page-Id").cast("long").alias("page_id"), "payload_bytes", "payload_digest",
+            F.col("type").alias("record_type"), "record_id", F.col("refers_to").alias("target"),
+        ),
+        "op2-records",
+    )
+    targets = found.filter("record_type = 'response'").select(F.col("record_id").alias("target"), F.col("page_id").alias("refers_to"))
+    return found.join(targets, "target", "left").select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op3_source_mixing(spark: SparkSession, sf: str) -> DataFrame:
+    mixed = mixing.mix(_table(spark, sf, "documents").select("doc_id", "text", "source"))
+    return mixed.select("row.doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
+
+
+def op4_perspective_rotation(spark: SparkSession, sf: str) -> DataFrame:
+    found = chat.rotate(_table(spark, sf, "conversations"))
+    return found.select(
+        "conv_id",
+        "perspective",
+        F.col("block").cast("string").alias("block"),
+        F.col("part").alias("part"),
+        F.size("messages").cast("long").alias("n_messages"),
+        "text",
+        F.array_join(F.transform("spans", lambda s: F.concat(s["start"].cast("string"), F.lit("-"), s["end"].cast("string"))), ",").alias("assistant_spans"),
+    )
+
+
+def op5_url_filters(spark: SparkSession, sf: str) -> DataFrame:
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    return url_filter.judge(_table(spark, sf, "pages"), rules)
+
+
+def op6_factorisation_machine(spark: SparkSession, sf: str) -> DataFrame:
+    documents, fifth = _table(spark, sf, "documents"), remainder("doc_id", 5)
+    model = factorisation.fit(documents.filter(fifth != 0), _table(spark, sf, "labels"))
+    found = factorisation.score(documents, model)
+    predicted = F.when(F.col("score") >= factorisation.THRESHOLD, 1).otherwise(0)
+    return found.select("doc_id", (fifth == 0).alias("held_out"), "score", predicted.cast("int").alias("predicted"))
+
+
+def op7_rule_ledger(spark: SparkSession, sf: str) -> DataFrame:
+    kept = rule_ledger.ledger(_table(spark, sf, "documents"))
+    return kept.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        (~rule_ledger.passes(rule_ledger.BASE)).alias("base_failed"),
+        rule_ledger.passes(rule_ledger.POLICIES[rule_ledger.CURRENT]).alias("kept"),
+        "fail_bits",
+    )
+
+
+def op9_string_kernel(spark: SparkSession, sf: str) -> DataFrame:
+    documents, fourth = _table(spark, sf, "documents"), remainder("doc_id", 4)
+    model = string_kernel.fit(documents.filter(fourth != 2), key=F.col("doc_id"))
+    found = string_kernel.predict(documents, model)
+    return found.select("doc_id", (fourth == 2).alias("held_out"), "lang_pred", "score")
+
+
 def op10_minhash_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
     found = bottomk.near_duplicates(_table(spark, sf, "documents"), width=2, percent=80)
-    return found.withColumn("kept", F.col("doc_id") == F.col("component_id"))
+    return found.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
 def registered() -> dict[str, Query]:
@@ -29,4 +114,127 @@ def oracles() -> dict[str, str]:
     return dict(SQL)
 
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op2_arc_to_warc": """
+        WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+        m AS (SELECT html, max(page_id) AS first FROM p GROUP BY html)
+        SELECT page_id, octet_length(encode(p.html)) AS payload_bytes, base32.digest AS payload_digest,
+               CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+               CASE WHEN page_id <> first THEN first END AS refers_to
+        FROM p JOIN m ON p.html = m.html
+        JOIN (
+            SELECT html, (
+                SELECT string_agg(substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ('0b' || substr(bits, 5 * i + 1, 5))::INT + 1, 1), '' ORDER BY i)
+                FROM range(32) AS r(i)
+            ) AS digest
+            FROM (SELECT html, (
+                SELECT string_agg(lpad(bin(('0x' || substr(sha1(html), 2 * j + 1, 2))::INT), 8, '0'), '' ORDER BY j) FROM range(20) AS q(j)
+            ) AS bits FROM m)
+        ) AS base32 ON base32.html = p.html
+    """,
+    "op3_source_mixing": r"""
+        WITH d AS (
+            SELECT doc_id, source, md5('1:' || coalesce(doc_id::VARCHAR, '')) AS key,
+                   coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size
+            FROM documents
+        ),
+        s AS (
+            SELECT source, sum(size)::BIGINT AS source_size, count(*) AS docs,
+                   [3.0, 1.0, 2.0][((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1)::INT]::DOUBLE AS weight,
+                   row_number() OVER (ORDER BY source NULLS LAST) AS place
+            FROM d GROUP BY source
+        ),
+        l AS (
+            SELECT *, (sum(source_size) OVER () * 1.5::DOUBLE - coalesce(sum(2.0::DOUBLE * source_size) OVER w, 0))
+                      / (sum(weight) OVER () - coalesce(sum(weight) OVER w, 0)) AS level
+            FROM s WINDOW w AS (ORDER BY 2.0::DOUBLE * source_size / weight, place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+        ),
+        t AS (
+            SELECT source, source_size, docs,
+                   least(2.0::DOUBLE * source_size, min(CASE WHEN level <= 2.0::DOUBLE * source_size / weight THEN level END) OVER () * weight) AS target
+            FROM l
+        ),
+        e AS (
+            SELECT *, CASE WHEN source_size > 0 THEN floor(least(target / source_size, 2.0) * 4294967296.0) ELSE 0 END::HUGEINT AS each,
+                   ceil(docs / 8192.0)::BIGINT AS blocks,
+                   ('0x' || substr(md5('1:' || coalesce('s' || source, 'n')), 1, 5))::HUGEINT * 4096 AS start
+            FROM t
+        ),
+        p AS (
+            SELECT d.doc_id, d.size, e.source_size, e.target, e.each, e.start, row_number() OVER (
+                PARTITION BY d.source ORDER BY ('0x' || substr(d.key, 1, 8))::BIGINT % e.blocks, d.size, d.key) AS n
+            FROM d JOIN e ON d.source IS NOT DISTINCT FROM e.source
+        )
+        SELECT doc_id, size, source_size, target,
+               (size * ((n * each + start) // 4294967296 - ((n - 1) * each + start) // 4294967296))::BIGINT AS taken
+        FROM p
+    """,
+    "op4_perspective_rotation": r"""
+        WITH m AS (
+            SELECT conv_id, turn, coalesce(role, 'unknown') AS speaker, coalesce(text, '') AS content, floor(turn / 256)::BIGINT AS block
+            FROM conversations
+        ),
+        p AS (SELECT DISTINCT conv_id, speaker AS perspective FROM m WHERE speaker <> 'system'),
+        r AS (
+            SELECT m.conv_id, perspective, block, turn, speaker, content, speaker = perspective AS mine,
+                   '<|im_start|>' || CASE WHEN speaker = perspective THEN 'assistant' WHEN speaker = 'system' THEN 'system' ELSE 'user name=' || speaker END
+                   || chr(10) AS head, content || '<|im_end|>' || chr(10) AS body
+            FROM m JOIN p ON m.conv_id IS NOT DISTINCT FROM p.conv_id
+        ),
+        n AS (
+            SELECT *, sum(length(head) + length(body)) OVER (
+                PARTITION BY conv_id, perspective, block ORDER BY turn NULLS FIRST, speaker, content ROWS UNBOUNDED PRECEDING) AS stop
+            FROM r
+        )
+        SELECT conv_id, perspective, block::VARCHAR AS block, 0::BIGINT AS part, count(*) AS n_messages,
+               string_agg(head || body, '' ORDER BY turn NULLS FIRST, speaker, content) AS text,
+               coalesce(string_agg((stop - length(body))::BIGINT || '-' || (stop - 1)::BIGINT, ',' ORDER BY stop) FILTER (WHERE mine), '') AS assistant_spans
+        FROM n GROUP BY conv_id, perspective, block
+    """,
+    "op5_url_filters": r"""
+        WITH u AS (
+            SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages
+        ),
+        p AS (
+            SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+                   regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
+            FROM u
+        ),
+        r(r_host, r_path, r_verdict) AS (VALUES ('com', '/', 'allow'), ('example.com', '/en/', 'block'), ('www.example.com', '/en/', 'allow'),
+            ('net', '/es/', 'block'), ('net', '/fr/', 'block')),
+        f AS (
+            SELECT page_id, arg_max(r_host || r_path, length(r_host) + length(r_path)) AS rule, arg_max(r_verdict, length(r_host) + length(r_path)) AS verdict
+            FROM p JOIN r ON (host = r_host OR ends_with(host, '.' || r_host)) AND starts_with(path, r_path) GROUP BY page_id
+        )
+        SELECT p.page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM p LEFT JOIN f ON p.page_id = f.page_id
+    """,
+    "op7_rule_ledger": r"""
+        WITH d AS (
+            SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words,
+                   list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
+            FROM documents
+        ),
+        w AS (SELECT doc_id, i, words[i:i + 2] AS three FROM (SELECT doc_id, words, unnest(range(1, len(words) - 1)) AS i FROM d WHERE len(words) > 2)),
+        c AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, three) AS n FROM w) WHERE n > 1),
+        t AS (SELECT doc_id, count(DISTINCT i + j) AS n_repeat_words FROM c, (VALUES (0), (1), (2)) AS o(j) GROUP BY doc_id),
+        m AS (
+            SELECT d.doc_id, len(words) AS n_words, length(regexp_replace(text, '[\x20\x09-\x0D]', '', 'g')) AS word_chars,
+                   length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS n_symbols,
+                   len(lines) AS n_lines, len(lines) - len(list_distinct(lines)) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words,
+                   length(text) - length(regexp_replace(text, '[A-Za-z]', '', 'g')) AS n_letters,
+                   length(text) - length(regexp_replace(text, '[A-Z]', '', 'g')) AS n_capitals
+            FROM d LEFT JOIN t ON d.doc_id = t.doc_id
+        ),
+        b AS (
+            SELECT *, (CASE WHEN n_words < 50 THEN 1 ELSE 0 END + CASE WHEN 100 * n_repeat_words > 50 * n_words THEN 2 ELSE 0 END
+                + CASE WHEN 100 * n_symbols > 20 * n_words THEN 4 ELSE 0 END
+                + CASE WHEN n_lines >= 4 AND 100 * n_dup_lines > 50 * n_lines THEN 8 ELSE 0 END
+                + CASE WHEN 100 * n_capitals > 50 * n_letters THEN 16 ELSE 0 END
+                + CASE WHEN word_chars > 20 * n_words THEN 32 ELSE 0 END + CASE WHEN word_chars < 2 * n_words THEN 64 ELSE 0 END)::BIGINT AS fail_bits
+            FROM m
+        )
+        SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_symbols::BIGINT AS n_symbols, n_dup_lines::BIGINT AS n_dup_lines,
+               n_repeat_words::BIGINT AS n_repeat_words, fail_bits & 3 <> 0 AS base_failed, fail_bits = 0 AS kept, fail_bits
+        FROM b
+    """,
+}
