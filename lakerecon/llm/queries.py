@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakerecon.llm import arc, bottomk, chat, factorisation, mixing, rule_ledger, string_kernel, url_filter
+from lakerecon.llm import arc, bottomk, chat, factorisation, lm_scoring, lsa, mixing, rule_ledger, string_kernel, url_filter
 from lakerecon.llm.frames import cut, remainder
 from lakerecon.session import shared_dir
 
@@ -26,6 +26,12 @@ def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf.rstrip('/')}/{name}.parquet")
 
 
+def op1_log_frequency_lm(spark: SparkSession, sf: str) -> DataFrame:
+    documents, tenth = _table(spark, sf, "documents"), remainder("doc_id", 10)
+    found = lm_scoring.score(documents, lm_scoring.train(documents.filter(tenth != 0)))
+    return found.select("doc_id", (tenth == 0).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op2_arc_to_warc(spark: SparkSession, sf: str) -> DataFrame:
     """Pages as ARC archives of both versions, converted to WARC, and the WARC archives read back."""
     size = F.octet_length(F.coalesce("html", F.lit("")))
@@ -94,6 +100,10 @@ def op7_rule_ledger(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op8_latent_decontamination(spark: SparkSession, sf: str) -> DataFrame:
+    return lsa.leaks(_table(spark, sf, "documents"), _table(spark, sf, "benchmark"))
+
+
 def op9_string_kernel(spark: SparkSession, sf: str) -> DataFrame:
     documents, fourth = _table(spark, sf, "documents"), remainder("doc_id", 4)
     model = string_kernel.fit(documents.filter(fourth != 2), key=F.col("doc_id"))

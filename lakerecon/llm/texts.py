@@ -53,15 +53,17 @@ def word_hashes(words: list[bytes]) -> np.ndarray:
     return np.fromiter(map(_hashes.__getitem__, words), np.uint64, len(words))
 
 
-def tokens(texts: list[bytes | None], lower: bool = True, end: bytes | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """(hashes, bounds): those of text i are hashes[bounds[i]:bounds[i + 1]]. ``end`` closes every text."""
+def tokens(texts: list[bytes | None], lower: bool = True, edge: bytes | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes, bounds): those of text i are hashes[bounds[i]:bounds[i + 1]]. ``edge`` opens and closes every text."""
     words: list[bytes] = []
     bounds = [0]
     for text in texts:
+        if edge is not None:
+            words.append(edge)
         if text:
             words += (text.lower() if lower else text).split()
-        if end is not None:
-            words.append(end)
+        if edge is not None:
+            words.append(edge)
         bounds.append(len(words))
     return word_hashes(words), np.array(bounds)
 
