@@ -6,10 +6,10 @@
    least ``t`` retained values (with k = 32 and t = 12 but for a chance below 1e-6; for sets of up to
    k shingles always). It is therefore enough to look at all but the t - 1 most frequent retained values of
    each class: two sketches that share t values share one of those. Frequent phrases drop out so.
-3. Lists are worked off by pivots. The most central class of a list is compared with all others; what
-   is linked needs no comparison among itself. Classes of other components become pivots in the next
-   rounds, one, then four, then sixteen of each component, until a list has no two components that
-   have not met. No list is cut, and no group is expanded into all its pairs.
+3. Lists are worked off by pivots. The most central class of a list is compared with all others; what is
+   linked needs no comparison among itself. In the second round it is the class nearest to the first
+   pivot, then 1, 4, 16, ... classes outside the largest component, until a list has no two components
+   that have not met. No list is cut; groups of edited copies take two rounds and not all their pairs.
 4. Union sketches estimate the similarity of a pair and reject the clearly different; the exact
    Jaccard similarity of the full sets decides.
 5. Components are found by alternating star contraction on the links.
@@ -98,19 +98,23 @@ def _full_sets(rows: DataFrame, width: int) -> DataFrame:
     return map_batches(rows, run, "node binary, values binary")
 
 
-def _confirm(pairs: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose full sets have 100 * intersection >= percent * union."""
+def _compared(pairs: DataFrame, percent: int) -> DataFrame:
+    """(a, b, similarity, linked) of pairs with their full sets; linked: 100 * intersection >= percent * union."""
 
     def run(batches):
         for batch in batches:
-            keep = []
+            similarity, linked = [], []
             for one, other in zip(batch.column(2), batch.column(3), strict=True):
                 x, y = (np.frombuffer(v.as_buffer(), np.uint64) for v in (one, other))
                 common = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(100 * common >= percent * (len(x) + len(y) - common))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
+                union = len(x) + len(y) - common
+                similarity.append(common / union)
+                linked.append(100 * common >= percent * union)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array(similarity, pa.float64()), pa.array(linked, pa.bool_())], names=["a", "b", "similarity", "linked"]
+            )
 
-    return map_batches(pairs, run, "a binary, b binary")
+    return map_batches(pairs, run, "a binary, b binary, similarity double, linked boolean")
 
 
 def postings(classes: DataFrame, k: int = K, shared: int = SHARED) -> DataFrame:
@@ -155,6 +159,29 @@ def _pairs(members: DataFrame, pivots: DataFrame, percent: int) -> DataFrame:
     return met.groupBy(F.least("a", "b"), F.greatest("a", "b")).agg(F.min(F.struct("a", "b")).alias("pair")).select("pair.*")
 
 
+def _pivots(members: DataFrame, step: int) -> DataFrame:
+    """The members (value, node, n, comp) that are compared with their lists in this round.
+
+    First the most central, whose retained values are the most frequent; then the one nearest to it, which in a group
+    of edited copies is the original; then 1, 4, 16, ... of those outside the largest component.
+    """
+    if step < 2:
+        rank = F.struct("weight", "node") if step == 0 else F.struct("near", "weight", "node")
+        return members.groupBy("value").agg(F.max_by(F.struct("node", "n", "comp"), rank).alias("p")).select("value", "p.*")
+    minor = members.filter("comp <> main")
+    first = minor.groupBy("value").agg(F.max_by("node", F.struct("weight", "node")).alias("first"))
+    chance = F.pmod(F.xxhash64("node", F.lit(step)), F.lit(1 << 30)) / float(1 << 30)
+    chosen = (F.col("node") == F.col("first")) | (chance * F.col("minor") < float(4 ** (step - 2) - 1))
+    return minor.join(first, "value").filter(chosen).select("value", "node", "n", "comp")
+
+
+def _nearness(members: DataFrame, pivots: DataFrame, compared: DataFrame) -> DataFrame:
+    """``near``: the similarity with the pivot of the list, 0 if it was not worth comparing."""
+    both = compared.select(F.col("a").alias("p_node"), F.col("b").alias("node"), "similarity").union(compared.select("b", "a", "similarity"))
+    met = members.join(pivots.select("value", "p_node"), "value").join(both, ["p_node", "node"], "left")
+    return met.select("value", "node", "n", "weight", F.coalesce("similarity", "near").alias("near"))
+
+
 def _alike(pairs: DataFrame, classes: DataFrame, k: int, shared: int) -> DataFrame:
     """Without the pairs whose union sketch holds too few common values."""
     one = classes.select(F.col("node").alias("a"), F.col("sketch").alias("sa"))
@@ -182,7 +209,7 @@ def near_duplicates(
         .agg(F.min("id").alias("rep"), F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch")),
         "bottomk-classes",
     )
-    left = cut(postings(classes, k, shared), "bottomk-postings")
+    left = cut(postings(classes, k, shared).withColumn("near", F.lit(0.0)), "bottomk-postings")
     sources = documents.select(F.col(id_column).alias("id"), F.col(text_column).cast("string").alias("text"))
     links, roots, step = None, None, 0
     while not left.isEmpty():
@@ -190,35 +217,29 @@ def near_duplicates(
             left.join(roots, "node", "left").withColumn("comp", F.coalesce("root", "node")).drop("root")
         )
         lists = members.groupBy("value", "comp").agg(F.count("*").alias("size")).groupBy("value").agg(
-            F.count("*").alias("comps"), F.max(F.struct("size", "comp")).alias("largest")
-        ).filter("comps > 1")
-        members = cut(members.join(lists.select("value", F.col("largest.comp").alias("main")), "value"), "bottomk-members")
+            F.sum("size").alias("size"), F.max(F.struct("size", "comp")).alias("largest"), F.count("*").alias("comps")
+        ).filter("comps > 1").select("value", F.col("largest.comp").alias("main"), (F.col("size") - F.col("largest.size")).alias("minor"))
+        members = cut(members.join(lists, "value"), "bottomk-members")
         if members.isEmpty():
             break
-        if step == 0:
-            pivots = members.groupBy("value").agg(F.max_by(F.struct("node", "n", "comp"), F.struct("weight", "node")).alias("p")).select("value", "p.*")
-        else:
-            minor = members.filter("comp <> main")
-            sizes = minor.groupBy("value", "comp").agg(F.count("*").alias("size"))
-            share = F.lit(float(4 ** (step - 1))) / F.col("size")
-            chance = F.pmod(F.xxhash64("node", F.lit(step)), F.lit(1 << 30)) / float(1 << 30)
-            first = minor.groupBy("value", "comp").agg(F.max_by("node", F.struct("weight", "node")).alias("first"))
-            pivots = minor.join(sizes, ["value", "comp"]).join(first, ["value", "comp"]).filter((F.col("node") == F.col("first")) | (chance < share)).select(
-                "value", "node", "n", "comp"
-            )
-        pivots = cut(pivots.select("value", F.col("node").alias("p_node"), F.col("n").alias("p_n"), F.col("comp").alias("p_comp")), "bottomk-pivots")
+        pivots = cut(_pivots(members, step).select("value", F.col("node").alias("p_node"), F.col("n").alias("p_n"), F.col("comp").alias("p_comp")), "bottomk-pivots")
         pairs = cut(_alike(_pairs(members, pivots, percent), classes, k, shared), "bottomk-pairs")
-        nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-        wanted = cut(classes.select("node", "rep").join(nodes, "node").select(F.col("rep").alias("id")).distinct(), "bottomk-wanted")
-        full = cut(_full_sets(sources.join(small(wanted), "id", "left_semi"), width).join(small(cut(nodes, "bottomk-nodes")), "node", "left_semi").dropDuplicates(["node"]), "bottomk-sets")
+        nodes = cut(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct(), "bottomk-nodes")
+        wanted = cut(classes.select("node", "rep").join(small(nodes), "node").select(F.col("rep").alias("id")).distinct(), "bottomk-wanted")
+        full = _full_sets(sources.join(small(wanted), "id", "left_semi"), width)
+        full = cut(full.join(small(nodes), "node", "left_semi").dropDuplicates(["node"]), "bottomk-sets")
         filled = pairs.join(full.select(F.col("node").alias("b"), F.col("values").alias("vb")), "b").join(
             full.select(F.col("node").alias("a"), F.col("values").alias("va")), "a"
         )
-        found = cut(_confirm(filled.select("a", "b", "va", "vb"), percent), "bottomk-links")
+        compared = cut(_compared(filled.select("a", "b", "va", "vb"), percent), "bottomk-compared")
+        found = compared.filter("linked").select("a", "b")
         links = found if links is None else links.union(found)
         if not found.isEmpty():
-            roots = stars(links if roots is None else roots.select(F.col("node").alias("a"), F.col("root").alias("b")).union(found))
-        left = members.join(pivots.select("value", F.col("p_node").alias("node")), ["value", "node"], "left_anti").select("value", "node", "n", "weight")
+            roots = stars(found if roots is None else roots.select(F.col("node").alias("a"), F.col("root").alias("b")).union(found))
+        left = members.join(pivots.select("value", F.col("p_node").alias("node")), ["value", "node"], "left_anti").select("value", "node", "n", "weight", "near")
+        if step == 0:
+            left = _nearness(left, pivots, compared)
+        left = cut(left, "bottomk-left")
         step += 1
     named = classes.select("node", "rep")
     if roots is not None:
