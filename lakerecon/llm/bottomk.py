@@ -3,15 +3,17 @@
 1. A document's set of word shingles is hashed once; the k smallest hashes are its sketch. Documents
    with equal sets form one class (a digest of the whole set), so copies never meet in pairs.
 2. A retained value points to the classes that retain it. Two sets of similarity 0.8 or more share at
-   least ``t`` retained values (with k = 32 and t = 12 but for a chance below 1e-6; for sets of up to
+   least ``t`` retained values (with k = 32 and t = 14 but for a chance of about 1e-6; for sets of up to
    k shingles always). It is therefore enough to look at all but the t - 1 most frequent retained values of
-   each class: two sketches that share t values share one of those. Frequent phrases drop out so.
-3. Lists are worked off by pivots. The most central class of a list is compared with all others; what is
-   linked needs no comparison among itself. In the second round it is the class nearest to the first
-   pivot, then 1, 4, 16, ... classes outside the largest component, until a list has no two components
-   that have not met. No list is cut; groups of edited copies take two rounds and not all their pairs.
-4. Union sketches estimate the similarity of a pair and reject the clearly different; the exact
-   Jaccard similarity of the full sets decides.
+   each class: two sketches that share t values share one of those. Frequent phrases drop out so. Classes that
+   share a list are given larger sketches (FINE values, the first of their full sets), whose lists go on.
+3. Of a list of LONG or more classes the most central is compared with all others, then the one nearest to
+   it, which in a group of edited copies is the original. Union sketches estimate the similarity of such pairs
+   and reject the clearly different; the exact Jaccard similarity of the full sets decides. What is
+   linked by then needs no comparison among itself, and a list of one component is done.
+4. Classes of the lists that are left are compared in blocks of about BLOCK shingles, each by matrix products of
+   full sets. A block gives a forest of links, so no group is expanded into its pairs. No list is cut: sets that
+   share one are compared exactly, or are in one component already.
 5. Components are found by alternating star contraction on the links.
 
 Null or empty texts, and texts without words, have an empty set and are linked with nothing. A
@@ -31,11 +33,19 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakerecon.llm import texts
-from lakerecon.llm.frames import cut, map_batches, small
+from lakerecon.llm.frames import cut, map_batches, map_groups, small
 
 #: Retained values, and how many of them similar sets share at least.
 K = 32
-SHARED = 12
+SHARED = 14
+#: The same for the classes that have anything in common with others by then; the larger sketch tells 0.6 from 0.8.
+FINE = 192
+FINE_SHARED = 122
+#: Classes from which a list is long, and shingles of a block.
+LONG = 256
+BLOCK = 400_000
+#: Shingles in at most so many sets of a block are counted pair by pair, others by matrix products.
+FEW = 12
 
 
 def _sets(batch: pa.RecordBatch, width: int) -> Iterator[np.ndarray | None]:
@@ -86,16 +96,22 @@ def sketches(documents: DataFrame, id_column: str, text_column: str, width: int,
 
 
 def _full_sets(rows: DataFrame, width: int) -> DataFrame:
-    """(node, values): the whole set of each document, as sorted hashes."""
+    """(node, n, sketch, values): the whole set of each document, as sorted hashes, its size and its FINE smallest."""
 
     def run(batches):
         for batch in batches:
             found = [x for x in _sets(batch, width) if x is not None]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([_digest(x) for x in found], pa.binary()), pa.array([x.tobytes() for x in found], pa.binary())], names=["node", "values"]
+                [
+                    pa.array([_digest(x) for x in found], pa.binary()),
+                    pa.array([len(x) for x in found], pa.int64()),
+                    pa.array([x[:FINE].view(np.int64) for x in found], pa.list_(pa.int64())),
+                    pa.array([x.tobytes() for x in found], pa.binary()),
+                ],
+                names=["node", "n", "sketch", "values"],
             )
 
-    return map_batches(rows, run, "node binary, values binary")
+    return map_batches(rows, run, "node binary, n long, sketch array<long>, values binary")
 
 
 def _compared(pairs: DataFrame, percent: int) -> DataFrame:
@@ -151,6 +167,13 @@ def stars(links: DataFrame) -> DataFrame:
         before = now
 
 
+def _joined(roots: DataFrame | None, links: DataFrame) -> DataFrame | None:
+    """Roots with more links taken in."""
+    if links.isEmpty():
+        return roots
+    return stars(links if roots is None else roots.select(F.col("node").alias("a"), F.col("root").alias("b")).union(links))
+
+
 def _pairs(members: DataFrame, pivots: DataFrame, percent: int) -> DataFrame:
     """Pivots with the members of their lists in other components whose sizes allow the similarity."""
     met = members.join(pivots, "value").filter("comp <> p_comp")
@@ -160,25 +183,15 @@ def _pairs(members: DataFrame, pivots: DataFrame, percent: int) -> DataFrame:
 
 
 def _pivots(members: DataFrame, step: int) -> DataFrame:
-    """The members (value, node, n, comp) that are compared with their lists in this round.
-
-    First the most central, whose retained values are the most frequent; then the one nearest to it, which in a group
-    of edited copies is the original; then 1, 4, 16, ... of those outside the largest component.
-    """
-    if step < 2:
-        rank = F.struct("weight", "node") if step == 0 else F.struct("near", "weight", "node")
-        return members.groupBy("value").agg(F.max_by(F.struct("node", "n", "comp"), rank).alias("p")).select("value", "p.*")
-    minor = members.filter("comp <> main")
-    first = minor.groupBy("value").agg(F.max_by("node", F.struct("weight", "node")).alias("first"))
-    chance = F.pmod(F.xxhash64("node", F.lit(step)), F.lit(1 << 30)) / float(1 << 30)
-    chosen = (F.col("node") == F.col("first")) | (chance * F.col("minor") < float(4 ** (step - 2) - 1))
-    return minor.join(first, "value").filter(chosen).select("value", "node", "n", "comp")
+    """The member of each list that is compared with the others in this round."""
+    rank = F.struct("weight", "node") if step == 0 else F.struct("near", "weight", "node")
+    return members.groupBy("value").agg(F.max_by(F.struct("node", "n", "comp"), rank).alias("p")).select("value", "p.*")
 
 
 def _nearness(members: DataFrame, pivots: DataFrame, compared: DataFrame) -> DataFrame:
     """``near``: the similarity with the pivot of the list, 0 if it was not worth comparing."""
     both = compared.select(F.col("a").alias("p_node"), F.col("b").alias("node"), "similarity").union(compared.select("b", "a", "similarity"))
-    met = members.join(pivots.select("value", "p_node"), "value").join(both, ["p_node", "node"], "left")
+    met = members.join(pivots.select("value", "p_node"), "value", "left").join(both, ["p_node", "node"], "left")
     return met.select("value", "node", "n", "weight", F.coalesce("similarity", "near").alias("near"))
 
 
@@ -192,6 +205,90 @@ def _alike(pairs: DataFrame, classes: DataFrame, k: int, shared: int) -> DataFra
     return both.filter(common * k >= F.size(union) * shared).select("a", "b")
 
 
+def _components(postings: DataFrame, roots: DataFrame | None) -> DataFrame:
+    """Postings with their present component, without the lists that are of one component."""
+    members = postings.withColumn("comp", F.col("node")) if roots is None else (
+        postings.join(roots, "node", "left").withColumn("comp", F.coalesce("root", "node")).drop("root")
+    )
+    lists = members.groupBy("value").agg(F.count("*").alias("size"), F.min("comp").alias("low"), F.max("comp").alias("high")).filter("low <> high")
+    return members.join(lists.select("value", "size"), "value")
+
+
+def _forest(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
+    """Links (positions) that connect what all links between similar sets would connect."""
+    sizes = np.array([len(x) for x in sets])
+    owner = np.repeat(np.arange(len(sets)), sizes)
+    elements, column, seen = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    common = np.zeros((len(sets), len(sets)), np.float32)
+    order = np.argsort(column, kind="stable")
+    starts = np.cumsum(seen) - seen
+    for times in range(2, FEW + 1):
+        rows = owner[order[starts[seen == times][:, None] + np.arange(times)]]
+        for i in range(times):
+            for j in range(i + 1, times):
+                np.add.at(common, (rows[:, i], rows[:, j]), 1)
+    common += common.T
+    usual = np.flatnonzero(seen > FEW)
+    place = np.full(len(elements), -1)
+    place[usual] = np.arange(len(usual))
+    at = place[column]
+    step = max(1, (1 << 24) // max(1, len(sets)))
+    for low in range(0, len(usual), step):
+        mine = (at >= low) & (at < low + step)
+        matrix = np.zeros((len(sets), min(step, len(usual) - low)), np.float32)
+        matrix[owner[mine], at[mine] - low] = 1
+        common += matrix @ matrix.T
+    linked = 100 * common >= percent * (sizes[:, None] + sizes[None, :] - common)
+    np.fill_diagonal(linked, True)
+    labels, before = np.arange(len(sets)), None
+    while before is None or (labels != before).any():
+        before = labels
+        labels = np.where(linked, labels[None, :], len(sets)).min(1)
+    return [(i, int(x)) for i, x in enumerate(labels) if i != x]
+
+
+def _linked_in_blocks(members: DataFrame, full: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) between the classes that share a list, compared block by block.
+
+    Classes that lists connect are a family. A family is cut into pieces of about BLOCK shingles, and two
+    pieces meet if they share a list; small families share a block. A task compares the full sets of its block by matrix
+    products and gives links that connect the same classes as all links of the block would.
+    """
+    near = members.groupBy("value").agg(F.min("node").alias("first"))
+    edges = members.join(near, "value").filter("node <> first").select(F.col("node").alias("a"), F.col("first").alias("b")).distinct()
+    nodes = members.select("node", "n").distinct()
+    families = nodes.join(stars(cut(edges, "bottomk-edges")), "node", "left").select("node", "n", F.coalesce("root", "node").alias("family"))
+    sums = families.groupBy("family").agg(F.sum("n").alias("shingles"))
+    blocks = F.greatest(F.lit(1), F.ceil(F.lit(nodes.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0] / BLOCK)))
+    placed = cut(
+        families.join(sums, "family").select(
+            "node", "family", F.pmod(F.xxhash64("family"), blocks).alias("bin"), F.pmod(F.xxhash64("node"), F.ceil(F.col("shingles") / BLOCK)).alias("piece")
+        ),
+        "bottomk-families",
+    )
+    lists = members.select("value", "node").join(placed, "node").select("value", "family", "bin", "piece").distinct()
+    other = lists.select("value", "family", F.col("piece").alias("with"))
+    meet = lists.join(other, ["value", "family"]).filter("piece <= with").select("family", "bin", "piece", "with").distinct()
+    sides = meet.select("family", "bin", F.col("piece").alias("i"), F.col("with").alias("j"), F.explode(F.array_distinct(F.array("piece", "with"))).alias("piece"))
+    held = sides.join(placed.select("node", "family", "piece"), ["family", "piece"]).join(full, "node")
+    whole = F.when((F.col("i") == 0) & (F.col("j") == 0), F.lit(None)).otherwise(F.col("family"))
+    keyed = held.select(F.struct("bin", "i", "j", whole.alias("own")).alias("block"), "family", "node", "values")
+
+    def run(table: pa.Table) -> pa.Table:
+        one, two = [], []
+        by: dict[bytes, list[int]] = {}
+        for i, family in enumerate(table.column("family").to_pylist()):
+            by.setdefault(family, []).append(i)
+        node, values = table.column("node").to_pylist(), table.column("values").to_pylist()
+        for rows in by.values():
+            for x, y in _forest([np.frombuffer(values[i], np.uint64) for i in rows], percent):
+                one.append(node[rows[x]])
+                two.append(node[rows[y]])
+        return pa.table({"a": pa.array(one, pa.binary()), "b": pa.array(two, pa.binary())})
+
+    return map_groups(keyed, "block", run, "a binary, b binary")
+
+
 def near_duplicates(
     documents: DataFrame, id_column: str = "doc_id", text_column: str = "text", width: int = 5, percent: int = 80, k: int = K, shared: int = SHARED
 ) -> DataFrame:
@@ -209,38 +306,28 @@ def near_duplicates(
         .agg(F.min("id").alias("rep"), F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch")),
         "bottomk-classes",
     )
-    left = cut(postings(classes, k, shared).withColumn("near", F.lit(0.0)), "bottomk-postings")
-    sources = documents.select(F.col(id_column).alias("id"), F.col(text_column).cast("string").alias("text"))
-    links, roots, step = None, None, 0
-    while not left.isEmpty():
-        members = left.withColumn("comp", F.col("node")) if roots is None else (
-            left.join(roots, "node", "left").withColumn("comp", F.coalesce("root", "node")).drop("root")
-        )
-        lists = members.groupBy("value", "comp").agg(F.count("*").alias("size")).groupBy("value").agg(
-            F.sum("size").alias("size"), F.max(F.struct("size", "comp")).alias("largest"), F.count("*").alias("comps")
-        ).filter("comps > 1").select("value", F.col("largest.comp").alias("main"), (F.col("size") - F.col("largest.size")).alias("minor"))
-        members = cut(members.join(lists, "value"), "bottomk-members")
+    nodes = cut(_components(postings(classes, k, shared), None).select("node").distinct(), "bottomk-nodes")
+    wanted = cut(classes.select("node", "rep").join(small(nodes), "node").select(F.col("rep").alias("id")).distinct(), "bottomk-wanted")
+    full = _full_sets(documents.select(F.col(id_column).alias("id"), F.col(text_column).cast("string").alias("text")).join(small(wanted), "id", "left_semi"), width)
+    full = cut(full.join(small(nodes), "node", "left_semi").dropDuplicates(["node"]), "bottomk-sets")
+    left = cut(postings(full, FINE, FINE_SHARED).withColumn("near", F.lit(0.0)), "bottomk-postings")
+    roots = None
+    for step in range(2):
+        members = cut(_components(left, roots).filter(F.col("size") >= LONG), "bottomk-members")
         if members.isEmpty():
             break
         pivots = cut(_pivots(members, step).select("value", F.col("node").alias("p_node"), F.col("n").alias("p_n"), F.col("comp").alias("p_comp")), "bottomk-pivots")
-        pairs = cut(_alike(_pairs(members, pivots, percent), classes, k, shared), "bottomk-pairs")
-        nodes = cut(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct(), "bottomk-nodes")
-        wanted = cut(classes.select("node", "rep").join(small(nodes), "node").select(F.col("rep").alias("id")).distinct(), "bottomk-wanted")
-        full = _full_sets(sources.join(small(wanted), "id", "left_semi"), width)
-        full = cut(full.join(small(nodes), "node", "left_semi").dropDuplicates(["node"]), "bottomk-sets")
+        pairs = cut(_alike(_pairs(members, pivots, percent), full, FINE, FINE_SHARED), "bottomk-pairs")
         filled = pairs.join(full.select(F.col("node").alias("b"), F.col("values").alias("vb")), "b").join(
             full.select(F.col("node").alias("a"), F.col("values").alias("va")), "a"
         )
         compared = cut(_compared(filled.select("a", "b", "va", "vb"), percent), "bottomk-compared")
-        found = compared.filter("linked").select("a", "b")
-        links = found if links is None else links.union(found)
-        if not found.isEmpty():
-            roots = stars(found if roots is None else roots.select(F.col("node").alias("a"), F.col("root").alias("b")).union(found))
-        left = members.join(pivots.select("value", F.col("p_node").alias("node")), ["value", "node"], "left_anti").select("value", "node", "n", "weight", "near")
-        if step == 0:
-            left = _nearness(left, pivots, compared)
-        left = cut(left, "bottomk-left")
-        step += 1
+        roots = _joined(roots, compared.filter("linked").select("a", "b"))
+        left = left.join(pivots.select("value", F.col("p_node").alias("node")), ["value", "node"], "left_anti").select("value", "node", "n", "weight", "near")
+        left = cut(_nearness(left, pivots, compared) if step == 0 else left, "bottomk-left")
+    rest = cut(_components(left, roots), "bottomk-rest")
+    if not rest.isEmpty():
+        roots = _joined(roots, cut(_linked_in_blocks(rest, full, percent), "bottomk-links"))
     named = classes.select("node", "rep")
     if roots is not None:
         named = named.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
