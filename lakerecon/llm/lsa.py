@@ -13,7 +13,7 @@
    last question mark or line break of the item, else its last third) is found to at least ANSWER.
 
 Benchmark items are worked off in blocks of ITEMS; up to BLOCKS blocks share one pass over the documents and one
-broadcast, whose size is bounded by these numbers. Case of A-Z and ASCII punctuation do not count. Items of fewer than SHORT words must be
+broadcast, whose size is bounded by these numbers. Case and ASCII punctuation do not count. Items of fewer than SHORT words must be
 found completely. Null and empty texts and items match nothing; repeated rows and items match as often as
 they occur; null ids are reported as null. Other columns are not looked at, or passed through by ``keep``.
 """
@@ -45,11 +45,12 @@ SHORT = 8
 ITEMS = 512
 BLOCKS = 8
 
-_PLAIN = bytes(32 if c < 0x80 and not chr(c).isalnum() else c + 32 if 65 <= c <= 90 else c for c in range(256))
+_PLAIN = bytes(32 if c < 0x80 and not chr(c).isalnum() else c for c in range(256))
 
 
 def _words(found: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
-    return texts.tokens([None if t is None else t.translate(_PLAIN) for t in found], lower=False)
+    """Words in lower case, whatever the alphabet, without ASCII punctuation."""
+    return texts.tokens([None if t is None else t.decode(errors="replace").lower().encode().translate(_PLAIN) for t in found], lower=False)
 
 
 def _slots(hashes: np.ndarray) -> np.ndarray:
@@ -121,6 +122,8 @@ class Index:
     sizes: list[int]
     before: list[int]
     marked: np.ndarray
+    #: For each term its largest share in any passage, as the latent space gives it.
+    most: np.ndarray
 
 
 def _vector(columns: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
@@ -203,9 +206,9 @@ def indexes(benchmark: DataFrame, idf: np.ndarray, id_column: str = "item_id", t
                     owner.append(i)
         marked = np.zeros(SLOTS, bool)
         marked[_slots(terms)] = True
-        made.append(
-            Index(terms, vectors, np.array(latent, np.float32), np.array(owner), [x for x, _ in items], masks, [len(x) for x in hashed], [_answer(t) for _, t in items], marked)
-        )
+        latent = np.array(latent, np.float32)
+        most = np.concatenate([(vectors[i : i + 4096] @ latent.T).max(1) for i in range(0, len(terms), 4096)]).clip(0)
+        made.append(Index(terms, vectors, latent, np.array(owner), [x for x, _ in items], masks, [len(x) for x in hashed], [_answer(t) for _, t in items], marked, most))
     return made
 
 
@@ -245,8 +248,8 @@ def _search(piece: list[bytes | None], blocks: list[Index], idf: np.ndarray, cos
         maybe = np.flatnonzero(block.marked[slots])
         at = np.minimum(np.searchsorted(block.terms, hashes[maybe]), len(block.terms) - 1)
         column[maybe] = np.where(block.terms[at] == hashes[maybe], at, -1)
-        mass = np.concatenate(([0.0], np.cumsum(np.where(column >= 0, weight**2, 0))))
-        hot = np.flatnonzero(mass[stop] - mass[start] >= cosine**2 * (all_mass[stop] - all_mass[start]))
+        gain = np.concatenate(([0.0], np.cumsum(np.where(column >= 0, weight * block.most[column], 0))))
+        hot = np.flatnonzero(gain[stop] - gain[start] >= cosine * np.sqrt(all_mass[stop] - all_mass[start]))
         term_weights = idf[_slots(block.terms)]
         for lo in range(0, len(hot), 512):
             some = hot[lo : lo + 512]
