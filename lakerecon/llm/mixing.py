@@ -55,12 +55,15 @@ def targets(sized: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float =
 
 def mix(
     documents: DataFrame, id_column: str = "doc_id", text_column: str = "text", source_column: str = "source",
-    weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, cap: float = CAP, seed: int = 1,
+    weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, cap: float = CAP, seed: int = 1, carry: list[str] | None = None,
 ) -> DataFrame:
-    """Every document as a struct ``row``, with size, source_size, target and ``copies``, the times the mix takes it."""
+    """Every document as a struct ``row``, with size, source_size, target and ``copies``, the times the mix takes it.
+
+    ``carry`` names the columns of ``row``, by default all; what is left out is not shuffled.
+    """
     key = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(id_column).cast("string"), F.lit(""))).cast("binary"))
     sized = documents.select(
-        F.struct(*documents.columns).alias("row"), F.col(source_column).cast("string").alias("source"), words(text_column).alias("size"), key.alias("key")
+        F.struct(*(carry or documents.columns)).alias("row"), F.col(source_column).cast("string").alias("source"), words(text_column).alias("size"), key.alias("key")
     )
     goals = targets(sized, weights, share, cap)
     goals = goals.withColumn(

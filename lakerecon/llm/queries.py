@@ -60,7 +60,7 @@ def op2_arc_to_warc(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def op3_source_mixing(spark: SparkSession, sf: str) -> DataFrame:
-    mixed = mixing.mix(_table(spark, sf, "documents").select("doc_id", "text", "source"))
+    mixed = mixing.mix(_table(spark, sf, "documents"), carry=["doc_id"])
     return mixed.select("row.doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
 
 
