@@ -1,19 +1,20 @@
 """Near duplicates by bottom-k sketches from one hash function.
 
-1. A document's set of word shingles is hashed once; the k smallest hashes are its sketch. Documents
+1. A document's set of word shingles is hashed once; the K smallest hashes are its sketch. Documents
    with equal sets form one class (a digest of the whole set), so copies never meet in pairs.
-2. A retained value points to the classes that retain it. Two sets of similarity 0.8 or more share at
-   least ``t`` retained values (with k = 32 and t = 14 but for a chance of about 1e-6; for sets of up to
-   k shingles always). It is therefore enough to look at all but the t - 1 most frequent retained values of
-   each class: two sketches that share t values share one of those. Frequent phrases drop out so. Classes that
-   share a list are given larger sketches (FINE values, the first of their full sets), whose lists go on.
+2. Inverted lists are kept by three retained values, as single ones are too frequent: each retained value that the
+   hash makes an anchor (a third of them) is joined with the two others that a hash of the pair puts first.
+   Two sets of similarity 0.8 or more have about 19 anchors in common, each with the same two others in 6 of 10
+   cases; that none has is a chance of about 1e-8. Sets of up to 48 shingles have only anchors. Sets of up to SMALL
+   shingles use single values: all but the ceil(0.8 n) - 1 most frequent of the set, one of which similar sets must share.
 3. Of a list of LONG or more classes the most central is compared with all others, then the one nearest to
    it, which in a group of edited copies is the original. Union sketches estimate the similarity of such pairs
    and reject the clearly different; the exact Jaccard similarity of the full sets decides. What is
    linked by then needs no comparison among itself, and a list of one component is done.
-4. Classes of the lists that are left are compared in blocks of about BLOCK shingles, each by matrix products of
-   full sets. A block gives a forest of links, so no group is expanded into its pairs. No list is cut: sets that
-   share one are compared exactly, or are in one component already.
+4. Classes of the lists that are left are compared in blocks of about BLOCK shingles, first by their sketches and
+   then, where these have half their values in common, by their full sets, both as matrix products. A block gives a
+   forest of links, so no group is expanded into its pairs. No list is cut: sets that share one are
+   compared, or are in one component already.
 5. Components are found by alternating star contraction on the links.
 
 Null or empty texts, and texts without words, have an empty set and are linked with nothing. A
@@ -35,15 +36,14 @@ from pyspark.sql import types as T
 from lakerecon.llm import texts
 from lakerecon.llm.frames import cut, map_batches, map_groups, small
 
-#: Retained values, and how many of them similar sets share at least.
-K = 32
-SHARED = 14
-#: The same for the classes that have anything in common with others by then; the larger sketch tells 0.6 from 0.8.
-FINE = 192
-FINE_SHARED = 122
-#: Classes from which a list is long, and shingles of a block.
+#: Retained values, those up to which all are anchors, and shingles up to which sets use single values.
+K = 64
+ANCHORS = 48
+SMALL = 20
+#: Classes from which a list is long, and shingles of a block; a small set counts as LEAST shingles.
 LONG = 256
 BLOCK = 400_000
+LEAST = 200
 #: Shingles in at most so many sets of a block are counted pair by pair, others by matrix products.
 FEW = 12
 
@@ -66,22 +66,39 @@ def _digest(values: np.ndarray) -> bytes:
     return blake2b(values.tobytes(), digest_size=16).digest()
 
 
-def sketches(documents: DataFrame, id_column: str, text_column: str, width: int, k: int = K) -> DataFrame:
-    """id, n_shingles, node (digest of the set, null if empty) and sketch of every document."""
+def _keys(values: np.ndarray) -> np.ndarray:
+    """One hash for each anchor among the retained values and the two values next to it."""
+    if len(values) <= SMALL:
+        return values[:0]
+    anchors = values if len(values) <= ANCHORS else values[values % np.uint64(3) == 0]
+    order = texts.mix(anchors[:, None] * np.uint64(0x9E3779B97F4A7C15) ^ values[None, :])
+    order[anchors[:, None] == values[None, :]] = np.uint64(2**64 - 1)
+    two = texts.mix(values[np.argpartition(order, 1, axis=1)[:, :2]])
+    return texts.mix(anchors * np.uint64(0xC2B2AE3D27D4EB4F) + two.sum(1, dtype=np.uint64)) >> np.uint64(1)
+
+
+def _lists(found: list[np.ndarray]) -> pa.ListArray:
+    ends = np.cumsum([0, *map(len, found)])
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([np.empty(0, np.uint64), *found]).view(np.int64)))
+
+
+def described(documents: DataFrame, id_column: str, text_column: str, width: int, k: int = K) -> DataFrame:
+    """id, n_shingles, node (digest of the set, null if empty), keys and singles (of inverted lists) of every document."""
     rows = documents.select(F.col(id_column).alias("id"), F.col(text_column).cast("string").alias("text"))
+    none = np.empty(0, np.uint64)
 
     def run(batches):
         for batch in batches:
-            sizes, nodes, kept, ends = [], [], [np.empty(0, np.uint64)], [0]
+            sizes, nodes, keys, singles = [], [], [], []
             for values in _sets(batch, width):
-                sizes.append(0 if values is None else len(values))
-                nodes.append(None if values is None else _digest(values))
-                if values is not None:
-                    kept.append(values[:k])
-                ends.append(ends[-1] + min(sizes[-1], k))
-            lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(kept).view(np.int64)))
+                size = 0 if values is None else len(values)
+                sizes.append(size)
+                nodes.append(_digest(values) if size else None)
+                keys.append(_keys(values[:k]) if size else none)
+                singles.append(values if 0 < size <= SMALL * 5 // 4 else none)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(nodes, pa.binary()), lists], names=["id", "n_shingles", "node", "sketch"]
+                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(nodes, pa.binary()), _lists(keys), _lists(singles)],
+                names=["id", "n_shingles", "node", "keys", "singles"],
             )
 
     schema = T.StructType(
@@ -89,14 +106,15 @@ def sketches(documents: DataFrame, id_column: str, text_column: str, width: int,
             T.StructField("id", rows.schema["id"].dataType),
             T.StructField("n_shingles", T.LongType()),
             T.StructField("node", T.BinaryType()),
-            T.StructField("sketch", T.ArrayType(T.LongType())),
+            T.StructField("keys", T.ArrayType(T.LongType())),
+            T.StructField("singles", T.ArrayType(T.LongType())),
         ]
     )
     return map_batches(rows, run, schema)
 
 
-def _full_sets(rows: DataFrame, width: int) -> DataFrame:
-    """(node, n, sketch, values): the whole set of each document, as sorted hashes, its size and its FINE smallest."""
+def _full_sets(rows: DataFrame, width: int, k: int) -> DataFrame:
+    """(node, sketch, values): the k smallest and all hashes of each document's set, ascending."""
 
     def run(batches):
         for batch in batches:
@@ -104,14 +122,13 @@ def _full_sets(rows: DataFrame, width: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array([_digest(x) for x in found], pa.binary()),
-                    pa.array([len(x) for x in found], pa.int64()),
-                    pa.array([x[:FINE].view(np.int64) for x in found], pa.list_(pa.int64())),
+                    pa.array([x[:k].view(np.int64) for x in found], pa.list_(pa.int64())),
                     pa.array([x.tobytes() for x in found], pa.binary()),
                 ],
-                names=["node", "n", "sketch", "values"],
+                names=["node", "sketch", "values"],
             )
 
-    return map_batches(rows, run, "node binary, n long, sketch array<long>, values binary")
+    return map_batches(rows, run, "node binary, sketch array<long>, values binary")
 
 
 def _compared(pairs: DataFrame, percent: int) -> DataFrame:
@@ -133,20 +150,18 @@ def _compared(pairs: DataFrame, percent: int) -> DataFrame:
     return map_batches(pairs, run, "a binary, b binary, similarity double, linked boolean")
 
 
-def postings(classes: DataFrame, k: int = K, shared: int = SHARED) -> DataFrame:
-    """(value, node, n, weight): the inverted lists of retained values that can bring similar sets together."""
-    retained = classes.select("node", "n", F.size("sketch").alias("length"), F.explode("sketch").alias("value"))
-    common = cut(retained.groupBy("value").count().filter("count > 1"), "bottomk-values")
-    least = F.when(F.col("length") < k, F.ceil(F.col("length") * 0.75)).otherwise(F.lit(shared)).cast("int")
-    mine = (
-        retained.join(small(common), "value")
-        .groupBy("node", "n", "length")
-        .agg(F.array_sort(F.collect_list(F.struct("count", "value"))).alias("values"), F.sum("count").alias("weight"))
-        .filter(F.size("values") >= least)
-    )
-    return mine.select("node", "n", "weight", F.explode(F.slice("values", F.lit(1), F.size("values") - least + 1)).alias("v")).select(
-        F.col("v.value").alias("value"), "node", "n", "weight"
+def postings(classes: DataFrame) -> DataFrame:
+    """(value, node, n, weight): the inverted lists of two or more classes; weight is the length of all lists of a class."""
+    every = classes.select("node", "n", F.explode("keys").alias("value"), F.lit(False).alias("single")).union(
+        classes.select("node", "n", F.explode("singles").alias("value"), F.lit(True))
     )
+    common = cut(every.groupBy("value").count().filter("count > 1"), "bottomk-values")
+    mine = cut(every.join(small(common), "value"), "bottomk-common")
+    needed = F.ceil(F.col("n") * 0.8).cast("int")
+    few = mine.filter("single").groupBy("node", "n").agg(F.array_sort(F.collect_list(F.struct("count", "value"))).alias("v")).filter(F.size("v") >= needed)
+    few = few.select("node", "n", F.explode(F.slice("v", F.lit(1), F.size("v") - needed + 1)).alias("v")).select("v.value", "node", "n", "v.count")
+    lists = mine.filter("NOT single").select("value", "node", "n", "count").union(few)
+    return lists.join(lists.groupBy("node").agg(F.sum("count").alias("weight")), "node").select("value", "node", "n", "weight")
 
 
 def stars(links: DataFrame) -> DataFrame:
@@ -195,14 +210,14 @@ def _nearness(members: DataFrame, pivots: DataFrame, compared: DataFrame) -> Dat
     return met.select("value", "node", "n", "weight", F.coalesce("similarity", "near").alias("near"))
 
 
-def _alike(pairs: DataFrame, classes: DataFrame, k: int, shared: int) -> DataFrame:
-    """Without the pairs whose union sketch holds too few common values."""
-    one = classes.select(F.col("node").alias("a"), F.col("sketch").alias("sa"))
-    other = classes.select(F.col("node").alias("b"), F.col("sketch").alias("sb"))
+def _alike(pairs: DataFrame, full: DataFrame, k: int) -> DataFrame:
+    """Without the pairs whose union sketch has less than half of its values in common."""
+    one = full.select(F.col("node").alias("a"), F.col("sketch").alias("sa"))
+    other = full.select(F.col("node").alias("b"), F.col("sketch").alias("sb"))
     both = pairs.join(one, "a").join(other, "b")
     union = F.slice(F.array_sort(F.array_union("sa", "sb")), 1, k)
     common = F.size(F.array_intersect(union, F.array_intersect("sa", "sb")))
-    return both.filter(common * k >= F.size(union) * shared).select("a", "b")
+    return both.filter(2 * common >= F.size(union)).select("a", "b")
 
 
 def _components(postings: DataFrame, roots: DataFrame | None) -> DataFrame:
@@ -214,10 +229,9 @@ def _components(postings: DataFrame, roots: DataFrame | None) -> DataFrame:
     return members.join(lists.select("value", "size"), "value")
 
 
-def _forest(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
-    """Links (positions) that connect what all links between similar sets would connect."""
-    sizes = np.array([len(x) for x in sets])
-    owner = np.repeat(np.arange(len(sets)), sizes)
+def _overlaps(sets: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of all sets; those with themselves may be too low."""
+    owner = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
     elements, column, seen = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
     common = np.zeros((len(sets), len(sets)), np.float32)
     order = np.argsort(column, kind="stable")
@@ -238,13 +252,26 @@ def _forest(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
         matrix = np.zeros((len(sets), min(step, len(usual) - low)), np.float32)
         matrix[owner[mine], at[mine] - low] = 1
         common += matrix @ matrix.T
+    return common
+
+
+def _forest(sets: list[np.ndarray], percent: int, k: int = K) -> list[tuple[int, int]]:
+    """Links (positions) that connect what all links between similar sets would connect."""
+    kept = np.array([min(k, len(x)) for x in sets])
+    maybe = 2 * _overlaps([x[:k] for x in sets]) >= np.maximum(kept[:, None], kept[None, :])
+    np.fill_diagonal(maybe, False)
+    some = np.flatnonzero(maybe.any(1))
+    if not len(some):
+        return []
+    sizes = np.array([len(sets[i]) for i in some])
+    common = _overlaps([sets[i] for i in some])
     linked = 100 * common >= percent * (sizes[:, None] + sizes[None, :] - common)
     np.fill_diagonal(linked, True)
-    labels, before = np.arange(len(sets)), None
+    labels, before = np.arange(len(some)), None
     while before is None or (labels != before).any():
         before = labels
-        labels = np.where(linked, labels[None, :], len(sets)).min(1)
-    return [(i, int(x)) for i, x in enumerate(labels) if i != x]
+        labels = np.where(linked, labels[None, :], len(some)).min(1)
+    return [(int(some[i]), int(some[x])) for i, x in enumerate(labels) if i != x]
 
 
 def _linked_in_blocks(members: DataFrame, full: DataFrame, percent: int) -> DataFrame:
@@ -258,8 +285,9 @@ def _linked_in_blocks(members: DataFrame, full: DataFrame, percent: int) -> Data
     edges = members.join(near, "value").filter("node <> first").select(F.col("node").alias("a"), F.col("first").alias("b")).distinct()
     nodes = members.select("node", "n").distinct()
     families = nodes.join(stars(cut(edges, "bottomk-edges")), "node", "left").select("node", "n", F.coalesce("root", "node").alias("family"))
-    sums = families.groupBy("family").agg(F.sum("n").alias("shingles"))
-    blocks = F.greatest(F.lit(1), F.ceil(F.lit(nodes.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0] / BLOCK)))
+    size = F.greatest("n", F.lit(LEAST))
+    sums = families.groupBy("family").agg(F.sum(size).alias("shingles"))
+    blocks = F.greatest(F.lit(1), F.ceil(F.lit(nodes.agg(F.coalesce(F.sum(size), F.lit(0))).first()[0] / BLOCK)))
     placed = cut(
         families.join(sums, "family").select(
             "node", "family", F.pmod(F.xxhash64("family"), blocks).alias("bin"), F.pmod(F.xxhash64("node"), F.ceil(F.col("shingles") / BLOCK)).alias("piece")
@@ -270,7 +298,7 @@ def _linked_in_blocks(members: DataFrame, full: DataFrame, percent: int) -> Data
     other = lists.select("value", "family", F.col("piece").alias("with"))
     meet = lists.join(other, ["value", "family"]).filter("piece <= with").select("family", "bin", "piece", "with").distinct()
     sides = meet.select("family", "bin", F.col("piece").alias("i"), F.col("with").alias("j"), F.explode(F.array_distinct(F.array("piece", "with"))).alias("piece"))
-    held = sides.join(placed.select("node", "family", "piece"), ["family", "piece"]).join(full, "node")
+    held = sides.join(placed.select("node", "family", "piece"), ["family", "piece"]).join(full.select("node", "values"), "node")
     whole = F.when((F.col("i") == 0) & (F.col("j") == 0), F.lit(None)).otherwise(F.col("family"))
     keyed = held.select(F.struct("bin", "i", "j", whole.alias("own")).alias("block"), "family", "node", "values")
 
@@ -290,7 +318,7 @@ def _linked_in_blocks(members: DataFrame, full: DataFrame, percent: int) -> Data
 
 
 def near_duplicates(
-    documents: DataFrame, id_column: str = "doc_id", text_column: str = "text", width: int = 5, percent: int = 80, k: int = K, shared: int = SHARED
+    documents: DataFrame, id_column: str = "doc_id", text_column: str = "text", width: int = 5, percent: int = 80, k: int = K
 ) -> DataFrame:
     """One row per document: id, n_shingles, component_id (smallest id reachable by links, itself included).
 
@@ -298,26 +326,27 @@ def near_duplicates(
     ``percent`` is 80 or more.
     """
     if percent < 80:
-        raise ValueError("the bounds on shared values hold from 80 per cent on")
-    described = cut(sketches(documents, id_column, text_column, width, k), "bottomk-sketches")
+        raise ValueError("sketches find links from 80 per cent on")
+    rows = cut(described(documents, id_column, text_column, width, k), "bottomk-described")
     classes = cut(
-        described.filter("node IS NOT NULL AND id IS NOT NULL")
+        rows.filter("node IS NOT NULL AND id IS NOT NULL")
         .groupBy("node")
-        .agg(F.min("id").alias("rep"), F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch")),
+        .agg(F.min("id").alias("rep"), F.first("n_shingles").alias("n"), F.first("keys").alias("keys"), F.first("singles").alias("singles")),
         "bottomk-classes",
     )
-    nodes = cut(_components(postings(classes, k, shared), None).select("node").distinct(), "bottomk-nodes")
+    left = cut(postings(classes).withColumn("near", F.lit(0.0)), "bottomk-postings")
+    nodes = cut(left.select("node").distinct(), "bottomk-nodes")
     wanted = cut(classes.select("node", "rep").join(small(nodes), "node").select(F.col("rep").alias("id")).distinct(), "bottomk-wanted")
-    full = _full_sets(documents.select(F.col(id_column).alias("id"), F.col(text_column).cast("string").alias("text")).join(small(wanted), "id", "left_semi"), width)
+    sources = documents.select(F.col(id_column).alias("id"), F.col(text_column).cast("string").alias("text"))
+    full = _full_sets(sources.join(small(wanted), "id", "left_semi"), width, k)
     full = cut(full.join(small(nodes), "node", "left_semi").dropDuplicates(["node"]), "bottomk-sets")
-    left = cut(postings(full, FINE, FINE_SHARED).withColumn("near", F.lit(0.0)), "bottomk-postings")
     roots = None
     for step in range(2):
         members = cut(_components(left, roots).filter(F.col("size") >= LONG), "bottomk-members")
         if members.isEmpty():
             break
         pivots = cut(_pivots(members, step).select("value", F.col("node").alias("p_node"), F.col("n").alias("p_n"), F.col("comp").alias("p_comp")), "bottomk-pivots")
-        pairs = cut(_alike(_pairs(members, pivots, percent), full, FINE, FINE_SHARED), "bottomk-pairs")
+        pairs = cut(_alike(_pairs(members, pivots, percent), full, k), "bottomk-pairs")
         filled = pairs.join(full.select(F.col("node").alias("b"), F.col("values").alias("vb")), "b").join(
             full.select(F.col("node").alias("a"), F.col("values").alias("va")), "a"
         )
@@ -333,7 +362,7 @@ def near_duplicates(
         named = named.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
         smallest = named.groupBy("root").agg(F.min("rep").alias("least"))
         named = named.join(smallest, "root").select("node", F.col("least").alias("rep"))
-    return described.join(named, "node", "left").select(
+    return rows.join(named, "node", "left").select(
         F.col("id").alias(id_column), "n_shingles", F.when(F.col("id").isNotNull(), F.coalesce("rep", "id")).alias("component_id")
     )
 

@@ -359,7 +359,7 @@ def score(documents: DataFrame, model: Model, id_column: str = "doc_id", text_co
                             before = batch.column(k)[at]
                             out.append((mine[k - 2] + (np.frombuffer(before.as_buffer(), kind) if before.is_valid else 0)).astype(kind).tobytes())
                         at += 1
-                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(counts_out, pa.binary()), pa.array(levels_out, pa.binary())], names=carried.columns)
+                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(counts_out, pa.binary()), pa.array(levels_out, pa.binary())], names=["id", "text", "counts", "levels"])
 
         carried = cut(map_batches(carried, gather, carried.schema), f"lm-part-{number}")
         sent.destroy()

@@ -1,0 +1,40 @@
+import os
+import random
+import sys
+from pathlib import Path
+
+import pytest
+
+sys.path.insert(0, str(Path(__file__).resolve().parent))
+os.environ.setdefault("TEST_SF_DIR", "/root/testdata/sf0.01")
+
+VOCABULARY = [a + b + c for a in ("ka", "to", "mi", "re", "lu", "é") for b in ("n", "s", "lt", "ß") for c in ("a", "o", "ist", "en", "ung")]
+
+
+def prose(seed, n):
+    rng = random.Random(seed)
+    return " ".join(rng.choice(VOCABULARY) + (rng.choice(VOCABULARY) if rng.random() < 0.5 else "") for _ in range(n))
+
+
+@pytest.fixture(scope="session")
+def odd_rows():
+    """Ids and texts with nulls, empty and very long texts, copies, near copies, ties and repeated rows."""
+    base = prose(1, 120)
+    near = [" ".join(w if i % 40 != k else "changed" + str(k) for i, w in enumerate(base.split())) for k in range(12)]
+    rows = [(i, prose(100 + i, 5 + 20 * i % 90)) for i in range(20)]
+    rows += [(100 + i, t) for i, t in enumerate(near)] + [(200, base), (201, base.upper()), (99, base)]
+    rows += [(300, None), (301, ""), (302, " \n\t"), (303, "one"), (304, "one"), (305, "One two"), (None, base), (None, None)]
+    rows += [(400, prose(7, 30_000)), (401, prose(7, 30_000) + " end"), (402, "x" * 300_000), (5, rows[5][1]), (5, rows[5][1])]
+    return rows
+
+
+@pytest.fixture(scope="session")
+def odd(spark, odd_rows):
+    """The same as a table whose other columns have the names that operators use."""
+    clash = [(i, t, "node", 1, "x", 2.0, "k") for i, t in odd_rows]
+    return spark.createDataFrame(clash, "doc_id long, text string, node string, n int, value string, score double, id string").repartition(5)
+
+
+@pytest.fixture(scope="session")
+def nothing(spark):
+    return spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long")
