@@ -78,6 +78,15 @@ def align_types(
     return out.withColumns(casts) if casts else out
 
 
+def misfit(df: DataFrame, reference: DataFrame, columns: Sequence[str]) -> Column:
+    """True for rows of ``df`` with a value in ``columns`` that has no equal in the type of ``reference``."""
+    lost = F.lit(False)
+    for c in columns:
+        if df.schema[c].dataType.simpleString() != reference.schema[c].dataType.simpleString():
+            lost = lost | (F.col(c).isNotNull() & F.col(c).try_cast(reference.schema[c].dataType).isNull())
+    return lost
+
+
 def normalise_ts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Make ``columns`` zoneless timestamps, so ``03.12`` and ``03.120`` are the same moment."""
     return df.withColumns(

@@ -19,7 +19,7 @@ from pyspark.sql.types import StructType
 
 from ..model import FIXED_FILES, CompactionSpec
 from ..sinks.files import MICROSECONDS, write_history
-from ..sources.files import read_calendar, read_events, read_partitions
+from ..sources.files import MERGEABLE, read_calendar, read_events, read_partitions
 from ..sources.listing import list_calendar, list_files, list_partitions
 from .layout import compaction_plan, files_for, partition_mark, pending_partitions
 from .stats import counted
@@ -205,7 +205,8 @@ def compact(
     values = sorted(set(partitions))
 
     def read(days, schema):
-        return read_partitions(spark, source, days, spec.source_format, schema, spec.partition)
+        merge = {"mergeSchema": "true"} if schema is None and spec.source_format in MERGEABLE else {}
+        return read_partitions(spark, source, days, spec.source_format, schema, spec.partition, **merge)
 
     def sizes(days):
         return list_partitions(spark, source, spec.partition, days)
@@ -216,7 +217,8 @@ def compact(
 
 
 def _compact_full(spark: SparkSession, source: str, target: str, spec: CompactionSpec) -> CompactionResult:
-    df = read_events(spark, source, spec.source_format, spec.schema)
+    merge = {"mergeSchema": "true"} if spec.schema is None and spec.source_format in MERGEABLE else {}
+    df = read_events(spark, source, spec.source_format, spec.schema, **merge)
     inputs, size, largest = list_files(spark, source).agg(
         F.count("*"), F.coalesce(F.sum("length"), F.lit(0)), F.coalesce(F.max("length"), F.lit(0))
     ).first()

@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .hotkeys import HotKeys, find_hot_keys, join_to_unique
+from .hotkeys import HotKeys, find_hot_keys, join_to_unique, same_key_types
 
 AUTO = "auto"
 KEY = "_key"
@@ -29,13 +29,15 @@ def missing_records(
     there are none, as after ``latest_per_key``. A null key equals nothing, hence is always missing,
     unless ``null_safe``.
     """
+    source, target = same_key_types(source, target, keys)
     present = target.select(*keys).distinct()
     if null_safe:
         # Inside a struct nulls are equal, and a struct is still a key Spark can hash and sort.
         key = F.struct(*keys).alias(KEY)
         keyed = source.withColumn(KEY, key)
-        hot = find_hot_keys(keyed, [KEY]) if hot == AUTO else None
-        return join_to_unique(keyed, present.select(key), [KEY], "left_anti", hot).drop(KEY)
+        if hot == AUTO:
+            hot = find_hot_keys(keyed, [KEY])
+        return join_to_unique(keyed, present.withColumn(KEY, key), [KEY], "left_anti", hot).drop(KEY)
     if hot == AUTO:
         hot = find_hot_keys(source, keys)
     return join_to_unique(source, present, keys, "left_anti", hot)
@@ -68,6 +70,7 @@ def compare_rows(
     ``hot`` takes care of keys repeated many times in the target, see ``missing_records``.
     """
     carry = list(dict.fromkeys([*(carry or ()), *columns]))
+    source, target = same_key_types(source, target, keys)
     src = source.select(*keys, F.struct(*carry).alias("_src"))
     tgt = target.select(*keys, F.struct(*carry).alias("_tgt"))
     if hot == AUTO:

@@ -102,7 +102,25 @@ class SchemaRegistry:
 
     def reader_schema(self, feed: str, observed: StructType, at: datetime) -> StructType:
         """The schema to read with; registers both forms first when ``observed`` is new."""
-        if self.latest(feed, self.OBSERVED) != observed:
-            self.save(feed, self.OBSERVED, observed, at)
-            self.save(feed, self.READER, as_nullable(observed), at)
-        return self.latest(feed, self.READER)
+        reader = as_nullable(observed)
+        if not (self._known(feed, self.OBSERVED, observed) and self._known(feed, self.READER, reader)):
+            self._append(feed, {self.OBSERVED: observed, self.READER: reader}, at)
+        return reader
+
+    def _known(self, feed: str, kind: str, schema: StructType) -> bool:
+        """Whether a schema is among all versions, so that schemas that take turns are not saved again."""
+        try:
+            known = self.spark.read.schema(self.COLUMNS).parquet(self.path)
+        except AnalysisException as error:
+            if _no_data(error):
+                return False
+            raise
+        return not known.filter((F.col("feed") == feed) & (F.col("kind") == kind) & (F.col("schema") == schema.json())).isEmpty()
+
+    def _append(self, feed: str, schemas: dict[str, StructType], at: datetime) -> None:
+        """All of them or none: one file."""
+        rows = []
+        for kind, schema in schemas.items():
+            last = self._latest(feed, kind)
+            rows.append((feed, kind, last["version"] + 1 if last else 1, schema.json(), at))
+        self.spark.createDataFrame(rows, self.COLUMNS).coalesce(1).write.mode("append").parquet(self.path)

@@ -12,15 +12,15 @@ import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DataType, MapType, StructType, VariantType
+from pyspark.sql.types import ArrayType, ByteType, DataType, IntegerType, MapType, ShortType, StringType, StructType, VariantType
 
 SALT = "_salt"
 _HASH = "_key_hash"
 
 # A key is hot from this share of all rows on, so there are at most 1/share hot keys.
-HOT_SHARE = 1 / 2000
+HOT_SHARE = 1 / 10_000
 # Below this many rows a key fits in one task whatever its share.
 HOT_ROWS = 5_000_000
 # First-level sketches, so that no single task merges one sketch per input task.
@@ -38,6 +38,29 @@ class HotKeys:
         return bool(self.salts)
 
 
+def same_key_types(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """Both frames with their keys in the common type, as a plain join would compare them.
+
+    Hashes depend on the type, so keys that are equal but of two types would be salted differently.
+    Text against anything else is refused: which side is to be cast is for the caller to say.
+    """
+    for key in keys:
+        one, other = left.schema[key].dataType, right.schema[key].dataType
+        if one == other:
+            continue
+        if isinstance(one, StringType) != isinstance(other, StringType):
+            raise ValueError(f"key {key} is {one.simpleString()} on one side and {other.simpleString()} on the other")
+        common = left.select(key).union(right.select(key)).schema[key].dataType
+        left, right = left.withColumn(key, F.col(key).cast(common)), right.withColumn(key, F.col(key).cast(common))
+    return left, right
+
+
+def _key_hash(df: DataFrame, keys: Sequence[str]) -> Column:
+    """Equal whole numbers have one hash, whatever their type."""
+    whole = (ByteType, ShortType, IntegerType)
+    return F.xxhash64(*[F.col(k).cast("bigint") if isinstance(df.schema[k].dataType, whole) else F.col(k) for k in keys])
+
+
 def find_hot_keys(
     df: DataFrame, keys: Sequence[str], share: float = HOT_SHARE, min_rows: int = HOT_ROWS
 ) -> HotKeys:
@@ -50,7 +73,7 @@ def find_hot_keys(
     top = math.ceil(1 / share)
     tracked = 10 * top
     groups = (
-        df.select(F.xxhash64(*keys).alias(_HASH), F.pmod(F.spark_partition_id(), F.lit(_SKETCH_GROUPS)).alias("g"))
+        df.select(_key_hash(df, keys).alias(_HASH), F.pmod(F.spark_partition_id(), F.lit(_SKETCH_GROUPS)).alias("g"))
         .groupBy("g")
         .agg(F.count("*").alias("n"), F.expr(f"approx_top_k_accumulate({_HASH}, {tracked})").alias("s"))
     )
@@ -75,7 +98,7 @@ def _salt_counts(df: DataFrame, hot: HotKeys) -> DataFrame:
     """Attach the number of salts of each row's key; the broadcast table has at most 1/share rows."""
     table = df.sparkSession.createDataFrame(list(hot.salts.items()), f"{_HASH} bigint, _salts bigint")
     return (
-        df.withColumn(_HASH, F.xxhash64(*hot.keys))
+        df.withColumn(_HASH, _key_hash(df, hot.keys))
         .join(F.broadcast(table), _HASH, "left")
         .withColumn("_salts", F.coalesce("_salts", F.lit(1)))
         .drop(_HASH)
@@ -116,6 +139,7 @@ def join_to_unique(
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"cannot spread a {how} join")
+    left, right = same_key_types(left, right, keys)
     if not hot:
         return left.join(right, list(keys), how)
     return spread(left, hot).join(replicate(right, hot), [*keys, SALT], how).drop(SALT)

@@ -10,7 +10,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.align import align_names, align_types, normalise_ts, project_exprs, within_window
+from ..functions.align import align_names, align_types, misfit, normalise_ts, project_exprs, within_window
 from ..model import CountReconSpec, ReconSpec
 from ..operators.compare import AUTO, column_diff, compare_rows, missing_records, recon_summary
 from ..operators.counts import count_recon
@@ -21,7 +21,11 @@ from ..operators.stats import counted
 
 @dataclass(frozen=True)
 class RowRecon:
-    """The frames of one reconciliation; each is lazy."""
+    """The frames of one reconciliation.
+
+    ``uncastable`` are the source records with a value that does not fit the target's type. The value is
+    compared as null; where it is a key, each such record is missing in the target.
+    """
 
     spec: ReconSpec
     hot: HotKeys | None
@@ -32,6 +36,7 @@ class RowRecon:
     compared: DataFrame
     differences: DataFrame
     summary: DataFrame
+    uncastable: DataFrame
 
 
 def prepare_source(source: DataFrame, spec: ReconSpec, as_of: datetime) -> DataFrame:
@@ -59,7 +64,17 @@ def row_recon(
     src = prepare_source(source, spec, as_of)
     tgt = prepare_target(target, spec, as_of)
     tgt = normalise_ts(tgt, spec.timestamps)
-    latest = latest_per_key(src, spec.keys, [spec.event_time], spec.tie_break)
+    uncastable = src.filter(misfit(src, tgt, [*spec.keys, *(f for f in spec.source_fields if f not in spec.timestamps)]))
+    # Keys first: two source keys that are one in the target's type are one record.
+    stray, raw = misfit(src, tgt, spec.keys), src
+    src = align_types(raw, tgt, spec.keys)
+    if all(raw.schema[k].dataType == src.schema[k].dataType for k in spec.keys):
+        latest = latest_per_key(src, spec.keys, [spec.event_time], spec.tie_break)
+    else:
+        # Keys that do not fit are null now. They are records of their own and not one key.
+        keyed = align_types(raw.filter(~stray), tgt, spec.keys)
+        latest = latest_per_key(keyed, spec.keys, [spec.event_time], spec.tie_break)
+        latest = latest.unionByName(align_types(raw.filter(stray), tgt, spec.keys))
     latest = normalise_ts(latest, spec.timestamps)
     aligned = align_types(latest, tgt, [*spec.keys, *spec.source_fields])
     columns = spec.compared_columns
@@ -76,6 +91,7 @@ def row_recon(
         compared=compared,
         differences=column_diff(compared, spec.keys, columns),
         summary=recon_summary(compared, src, spec.keys, spec.table, len(aligned.columns), len(tgt.columns)),
+        uncastable=uncastable,
     )
 
 

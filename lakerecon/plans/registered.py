@@ -14,7 +14,7 @@ from ..model import CompactionSpec
 from ..operators.compaction import NOTHING, CompactionResult, compact
 from ..operators.drift import SchemaRegistry
 from ..operators.layout import pending_partitions
-from ..sources.files import read_partitions
+from ..sources.files import MERGEABLE, read_partitions
 from ..sources.listing import list_partitions
 
 # Formats whose files state their own schema, so that one file tells it.
@@ -26,8 +26,8 @@ def observed_schemas(
 ) -> list[tuple[StructType, list[date]]]:
     """The schemas of the given partitions, oldest first, each with its partitions.
 
-    Self-describing files: the newest file of each partition decides. JSON: one inference over all
-    of them, because a single file may lack optional fields.
+    Parquet and ORC: the schemas of all files of a partition are merged, in tasks, and a conflict
+    fails the run. Avro: its newest file decides. JSON: one inference over all partitions.
     """
     if spec.source_format not in SELF_DESCRIBING:
         df = read_partitions(spark, source, days, spec.source_format, None, spec.partition)
@@ -35,7 +35,10 @@ def observed_schemas(
     listed = list_partitions(spark, source, spec.partition, days).select(spec.partition, "newest").collect()
     found: dict[str, list[date]] = defaultdict(list)
     for day, newest in sorted(listed):
-        schema = spark.read.format(spec.source_format).load(newest).schema
+        if spec.source_format in MERGEABLE:
+            schema = read_partitions(spark, source, [day], spec.source_format, None, spec.partition, mergeSchema="true").schema
+        else:
+            schema = spark.read.format(spec.source_format).load(newest).schema
         found[StructType([f for f in schema if f.name != spec.partition]).json()].append(day)
     return [(StructType.fromJson(json.loads(text)), members) for text, members in found.items()]
 

@@ -5,10 +5,12 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from datetime import date
 
-from pyspark import StorageLevel
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.stats import counted
+
 # Text formats write milliseconds unless told otherwise, which would lose digits of the input.
 MICROSECONDS = {
     "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
@@ -57,12 +59,17 @@ def quarantine(df: DataFrame, path: str) -> None:
 
 
 def export_missing(df: DataFrame, path: str) -> int:
-    """Write rows as CSV with a header, unless there are none; returns how many there were."""
-    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        count = kept.count()
-        if count:
-            kept.write.mode("overwrite").options(**MICROSECONDS, header="true").csv(path)
-        return count
-    finally:
-        kept.unpersist()
+    """Write rows as CSV with a header and return how many there were.
+
+    Without rows nothing is written; an export that an earlier run left there is then replaced by an empty one.
+    """
+    if df.isEmpty():
+        try:
+            df.sparkSession.read.format("binaryFile").load(path)
+        except AnalysisException as error:
+            if (error.getCondition() or "").startswith("PATH_NOT_FOUND"):
+                return 0
+            raise
+    kept, seen = counted(df)
+    kept.write.mode("overwrite").options(**MICROSECONDS, header="true").csv(path)
+    return seen.get["rows"]

@@ -2,7 +2,7 @@ from .catalog import catalog_view, table_partitions
 from .files import has_rows, partition_exists, read_calendar, read_events, read_partitions
 from .increments import HighWater, read_increment
 from .jdbc import hash_predicates, read_jdbc, read_jdbc_hashed
-from .listing import list_calendar, list_files, list_partitions
+from .listing import list_calendar, list_files, list_partitions, list_undated
 
 __all__ = [
     "HighWater",
@@ -12,6 +12,7 @@ __all__ = [
     "list_calendar",
     "list_files",
     "list_partitions",
+    "list_undated",
     "partition_exists",
     "read_calendar",
     "read_events",

@@ -14,6 +14,10 @@ from ..functions.schemas import as_struct
 from ..model import PARTITION_COLUMN
 
 
+# Formats whose files may differ in schema and can be read with the union of all.
+MERGEABLE = ("parquet", "orc")
+
+
 def read_events(
     spark: SparkSession,
     paths: str | Sequence[str],

@@ -52,15 +52,24 @@ def list_partitions(
 ) -> DataFrame:
     """One row per ``partition=value`` directory: files, bytes, largest file, latest change, newest file.
 
-    ``values`` narrows the listing to those directories.
+    ``values`` narrows the listing to those directories. Values that are not dates are left out, see
+    ``list_undated``.
     """
     path = root if values is None else partition_glob(root, values, partition)
     value = F.regexp_extract("path", rf"/{partition}=([^/]+)/", 1)
     return _summarise(
-        list_files(spark, path).withColumn(partition, F.nullif(value, F.lit("")).cast(DateType())), partition
+        list_files(spark, path).withColumn(partition, F.nullif(value, F.lit("")).try_cast(DateType())), partition
     )
 
 
+def list_undated(spark: SparkSession, root: str, partition: str = PARTITION_COLUMN) -> DataFrame:
+    """The ``partition=value`` directories whose value is not a date, which listings by date leave out."""
+    value = F.nullif(F.regexp_extract("path", rf"/{partition}=([^/]+)/", 1), F.lit(""))
+    found = list_files(spark, root).withColumn("value", value).filter(F.col("value").isNotNull())
+    undated = found.filter(F.col("value").try_cast(DateType()).isNull())
+    return undated.groupBy("value").agg(F.count("*").alias("files"), F.sum("length").alias("bytes"))
+
+
 def list_calendar(
     spark: SparkSession, root: str, partition: str = PARTITION_COLUMN, values: Iterable[date] | None = None
 ) -> DataFrame:

@@ -119,3 +119,24 @@ def test_columns_without_a_hash_are_left_out_of_the_salt(spark, skewed, users, h
     left = skewed.withColumn("m", F.create_map("event_type", "value"))
     right = users.select("user_id", F.col("value").alias("top"))
     assert join_to_unique(left, right, ["user_id"], "left", hot).count() == left.count()
+
+
+@pytest.mark.parametrize("one, other", [("int", "bigint"), ("bigint", "smallint"), ("decimal(10,2)", "decimal(12,4)"), ("date", "timestamp_ntz"), ("int", "double")])
+def test_keys_of_two_types_are_salted_alike(spark, one, other):
+    value = "date_add(DATE'2024-01-01', CAST(id % 7 AS INT))" if one == "date" else "id % 7"
+    source = spark.range(700).selectExpr(f"CAST({value} AS {one}) AS k", "id AS v")
+    target = spark.range(5).selectExpr(f"CAST({value} AS {other}) AS k", "id AS v")
+    hot = find_hot_keys(source, ["k"], share=0.05, min_rows=50)
+    assert len(hot.salts) == 7
+    for how in (dict(hot=hot), dict(hot=hot, null_safe=True)):
+        assert rows(missing_records(source, target, ["k"], **how)) == rows(missing_records(source, target, ["k"], hot=None))
+        assert missing_records(source, target, ["k"], **how).count() == 200
+    salted, plain = (compare_rows(target, source, ["k"], ["v"], hot=h) for h in (find_hot_keys(source, ["k"], 0.05, 50), None))
+    assert rows(salted) == rows(plain)
+
+
+def test_given_hot_keys_are_used_with_equal_nulls(spark, skewed, users, hot):
+    plan = missing_records(skewed, users, ["user_id"], hot=hot, null_safe=True)._jdf.queryExecution().toString()
+    assert SALT in plan
+    with pytest.raises(ValueError):
+        missing_records(skewed.withColumn("user_id", F.col("user_id").cast("string")), users, ["user_id"])

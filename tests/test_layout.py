@@ -326,3 +326,12 @@ def test_newest_file_decides_the_schema(spark, folder):
     spark.range(1).withColumn("extra", F.lit("x")).coalesce(1).write.json(f"{folder}/b")
     assert latest_schema(spark, folder).names == ["extra", "id"]
     assert latest_schema(spark, f"{folder}/none") is None
+
+
+def test_directories_without_a_date_are_told_and_stop_nothing(spark, folder):
+    from lakerecon.sources import list_partitions, list_undated
+
+    for value in ("initial", "__HIVE_DEFAULT_PARTITION__", "2024-01-01"):
+        spark.range(2).write.json(f"{folder}/feed/event_creation_time={value}")
+    assert [str(r[0]) for r in list_partitions(spark, f"{folder}/feed").collect()] == ["2024-01-01"]
+    assert sorted(r["value"] for r in list_undated(spark, f"{folder}/feed").collect()) == ["__HIVE_DEFAULT_PARTITION__", "initial"]

@@ -324,3 +324,27 @@ def test_schema_texts():
 
 def test_shared_folder_comes_from_the_session(spark):
     assert shared_dir(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
+
+
+def test_rows_without_a_key_are_set_aside_and_never_lost(spark, folder):
+    marks, schema = HighWater(spark, f"{folder}/marks", "j"), "at timestamp_ntz, id bigint, payload string"
+    only = spark.createDataFrame([(None, None, '{"k": 1}'), (None, 5, '{"k": 2}')], schema)
+    got = ingest_history(only, spec(folder), marks, date(2024, 2, 1))
+    assert (got.read, got.written, got.unkeyed) == (2, 2, 0) and marks.load() is None
+    more = only.unionAll(spark.createDataFrame([(datetime(2024, 1, 1), 1, '{"k": 3}'), (datetime(2024, 1, 1), 2, "bad")], schema))
+    got = ingest_history(more, spec(folder), marks, date(2024, 2, 2))
+    assert (got.read, got.written, got.quarantined, got.unkeyed) == (4, 3, 1, 0)
+    last = more.unionAll(spark.createDataFrame([(datetime(2024, 1, 2), None, '{"k": 4}'), (datetime(2024, 1, 2), 1, '{"k": 5}')], schema))
+    got = ingest_history(last, spec(folder), marks, date(2024, 2, 3))
+    assert (got.read, got.written, got.unkeyed) == (1, 1, 3)
+    assert spark.read.json(f"{folder}/err-unkeyed").count() == 3 and spark.read.json(f"{folder}/raw").count() == 4
+
+
+def test_an_old_export_is_replaced(spark, folder):
+    assert export_missing(spark.range(3), f"{folder}/export") == 3
+    assert export_missing(spark.range(0), f"{folder}/export") == 0
+    assert spark.read.schema("id long").csv(f"{folder}/export", header=True).count() == 0
+
+
+def test_loading_nothing_from_nowhere(spark, folder):
+    assert load_history(spark, LoadSpec(f"{folder}/absent", "a int", "SELECT * FROM {input}", "t"), "jdbc:none") == 0

@@ -306,3 +306,9 @@ def test_results_do_not_depend_on_the_session_zone(spark, elsewhere):
     t = spark.createDataFrame([(1,)], "id int")
     row = run_rules(spark, [DQRule("r", "SELECT * FROM {t}", ["id"])], stamp, {"t": t}).first()
     assert (row["job_run_time"], row["job_run_time_est"]) == ("2024-07-01T12:00:00.250000Z", "2024-07-01T08:00:00.250000Z")
+
+
+def test_landing_stats_of_columns_that_end_alike(spark):
+    df = spark.createDataFrame([(("x",), ("y",))], "a struct<n: string>, b struct<n: string>")
+    assert rows(landing_stats(df, ["a.n", "b.n"])) == [("x", "y", 1)]
+    assert landing_stats(df, ["a.n", "b.n"]).columns == ["a_n", "b_n", "rows"]
