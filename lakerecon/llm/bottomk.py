@@ -42,8 +42,8 @@ ANCHORS = 48
 SMALL = 20
 #: Classes from which a list is long, and shingles of a block; a small set counts as LEAST shingles.
 LONG = 256
-BLOCK = 400_000
-LEAST = 200
+BLOCK = 800_000
+LEAST = 400
 #: Shingles in at most so many sets of a block are counted pair by pair, others by matrix products.
 FEW = 12
 
@@ -277,8 +277,8 @@ def _forest(sets: list[np.ndarray], percent: int, k: int = K) -> list[tuple[int,
 def _linked_in_blocks(members: DataFrame, full: DataFrame, percent: int) -> DataFrame:
     """Links (a, b) between the classes that share a list, compared block by block.
 
-    Classes that lists connect are a family. A family is cut into pieces of about BLOCK shingles, and two
-    pieces meet if they share a list; small families share a block. A task compares the full sets of its block by matrix
+    Classes that lists connect are a family. A family is cut into pieces of about BLOCK shingles, and of two pieces those
+    classes meet whose lists reach into the other; small families share a block. A task compares the full sets of its block by matrix
     products and gives links that connect the same classes as all links of the block would.
     """
     near = members.groupBy("value").agg(F.min("node").alias("first"))
@@ -294,11 +294,10 @@ def _linked_in_blocks(members: DataFrame, full: DataFrame, percent: int) -> Data
         ),
         "bottomk-families",
     )
-    lists = members.select("value", "node").join(placed, "node").select("value", "family", "bin", "piece").distinct()
-    other = lists.select("value", "family", F.col("piece").alias("with"))
-    meet = lists.join(other, ["value", "family"]).filter("piece <= with").select("family", "bin", "piece", "with").distinct()
-    sides = meet.select("family", "bin", F.col("piece").alias("i"), F.col("with").alias("j"), F.explode(F.array_distinct(F.array("piece", "with"))).alias("piece"))
-    held = sides.join(placed.select("node", "family", "piece"), ["family", "piece"]).join(full.select("node", "values"), "node")
+    at = members.select("value", "node").join(placed, "node")
+    pieces = at.select("value", "family", F.col("piece").alias("with")).distinct()
+    sides = at.join(pieces, ["value", "family"]).select("family", "bin", F.least("piece", "with").alias("i"), F.greatest("piece", "with").alias("j"), "node")
+    held = sides.distinct().join(full.select("node", "values"), "node")
     whole = F.when((F.col("i") == 0) & (F.col("j") == 0), F.lit(None)).otherwise(F.col("family"))
     keyed = held.select(F.struct("bin", "i", "j", whole.alias("own")).alias("block"), "family", "node", "values")
 
