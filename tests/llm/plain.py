@@ -1,6 +1,7 @@
 """Plain versions of what the operators compute, for small tables."""
 
 import math
+import random
 import re
 from collections import Counter
 
@@ -63,3 +64,11 @@ def quality_numbers(text):
 def contains(text, item):
     plain = lambda t: " " + " ".join(re.sub(r"[\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]", " ", (t or "").lower()).split()) + " "
     return len(plain(item)) > 2 and plain(item) in plain(text)
+
+
+VOCABULARY = [a + b + c for a in ("ka", "to", "mi", "re", "lu", "é") for b in ("n", "s", "lt", "ß") for c in ("a", "o", "ist", "en", "ung")]
+
+
+def prose(seed, n):
+    rng = random.Random(seed)
+    return " ".join(rng.choice(VOCABULARY) + (rng.choice(VOCABULARY) if rng.random() < 0.5 else "") for _ in range(n))
