@@ -48,7 +48,7 @@ def targets(sized: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float =
     level = (F.sum("source_size").over(whole) * F.lit(share) - F.coalesce(F.sum("most").over(rising), F.lit(0.0))) / (
         F.sum("weight").over(whole) - F.coalesce(F.sum("weight").over(rising), F.lit(0.0))
     )
-    found = limited.withColumn("level", level).withColumn("level", F.min(F.when(F.col("level") <= F.col("ratio"), F.col("level"))).over(whole))
+    found = limited.withColumn("level", level).withColumn("level", F.min(F.when(F.col("level") <= F.col("ratio"), F.struct("ratio", "at", "level"))).over(whole)["level"])
     target = F.when(F.col("level").isNull(), F.col("most")).otherwise(F.least("most", F.col("level") * F.col("weight")))
     return found.select("source", "source_size", target.alias("target"), "docs")
 

@@ -161,7 +161,9 @@ SQL: dict[str, str] = {
         ),
         t AS (
             SELECT source, source_size, docs,
-                   least(2.0::DOUBLE * source_size, min(CASE WHEN level <= 2.0::DOUBLE * source_size / weight THEN level END) OVER () * weight) AS target
+                   least(2.0::DOUBLE * source_size, weight * (
+                       SELECT level FROM l WHERE level <= 2.0::DOUBLE * source_size / weight ORDER BY 2.0::DOUBLE * source_size / weight, place LIMIT 1
+                   )) AS target
             FROM l
         ),
         e AS (
