@@ -2,17 +2,18 @@
 
 1. A document's set of word shingles is hashed once; the K smallest hashes are its sketch. Documents
    with equal sets form one class (a digest of the whole set), so copies never meet in pairs.
-2. Inverted lists are kept by three retained values, as single ones are too frequent: each retained value that the
-   hash makes an anchor (a third of them) is joined with the two others that a hash of the pair puts first.
-   Two sets of similarity 0.8 or more have about 19 anchors in common, each with the same two others in 6 of 10
-   cases; that none has is a chance of about 1e-8. Sets of up to 48 shingles have only anchors. Sets of up to SMALL
-   shingles use single values: all but the ceil(0.8 n) - 1 most frequent of the set, one of which similar sets must share.
+2. Inverted lists are kept by three retained values, as single ones are too frequent: each retained value is an anchor
+   and is joined with the two smaller ones that a hash of the pair puts first. Below a value that two sketches retain
+   both are complete, also where one text contains the other, so that the two others agree in 6 of 10 cases at
+   similarity 0.8. Sets of up to WHOLE shingles are complete everywhere and join their anchors with any two others as well.
+   README.md states the simulated chance that no list is common. Sets of up to SMALL shingles use
+   single values: all but the ceil(0.8 n) - 1 most frequent of the set, one of which similar sets must share.
 3. Of a list of LONG or more classes the most central is compared with all others, then the one nearest to
    it, which in a group of edited copies is the original. Union sketches estimate the similarity of such pairs
-   and reject the clearly different; the exact Jaccard similarity of the full sets decides. What is
+   and reject those under 2/5; the exact Jaccard similarity of the full sets decides. What is
    linked by then needs no comparison among itself, and a list of one component is done.
 4. Classes of the lists that are left are compared in blocks of about BLOCK shingles, first by their sketches and
-   then, where these have half their values in common, by their full sets, both as matrix products. A block gives a
+   then, where these have 2/5 of their values in common, by their full sets, both as matrix products. A block gives a
    forest of links, so no group is expanded into its pairs. No list is cut: sets that share one are
    compared, or are in one component already.
 5. Components are found by alternating star contraction on the links.
@@ -36,9 +37,9 @@ from pyspark.sql import types as T
 from lakerecon.llm import texts
 from lakerecon.llm.frames import cut, map_batches, map_groups, small
 
-#: Retained values, those up to which all are anchors, and shingles up to which sets use single values.
+#: Retained values, shingles up to which anchors look for others on both sides, and up to which sets use single values.
 K = 64
-ANCHORS = 48
+WHOLE = 40
 SMALL = 20
 #: Classes from which a list is long, and shingles of a block; a small set counts as LEAST shingles.
 LONG = 256
@@ -67,14 +68,21 @@ def _digest(values: np.ndarray) -> bytes:
 
 
 def _keys(values: np.ndarray) -> np.ndarray:
-    """One hash for each anchor among the retained values and the two values next to it."""
+    """Hashes of each retained value (ascending) and the two smaller ones that go with it; of few, any two as well."""
     if len(values) <= SMALL:
         return values[:0]
-    anchors = values if len(values) <= ANCHORS else values[values % np.uint64(3) == 0]
-    order = texts.mix(anchors[:, None] * np.uint64(0x9E3779B97F4A7C15) ^ values[None, :])
-    order[anchors[:, None] == values[None, :]] = np.uint64(2**64 - 1)
-    two = texts.mix(values[np.argpartition(order, 1, axis=1)[:, :2]])
-    return texts.mix(anchors * np.uint64(0xC2B2AE3D27D4EB4F) + two.sum(1, dtype=np.uint64)) >> np.uint64(1)
+    pairs = texts.mix(values[:, None] * np.uint64(0x9E3779B97F4A7C15) ^ values[None, :])
+    mixed, none = texts.mix(values), np.uint64(2**64 - 1)
+    place = np.arange(len(values))
+
+    def joined(order: np.ndarray, anchors: np.ndarray) -> np.ndarray:
+        two = mixed[np.argpartition(order, 1, axis=1)[:, :2]]
+        return texts.mix(anchors * np.uint64(0xC2B2AE3D27D4EB4F) + two.sum(1, dtype=np.uint64)) >> np.uint64(1)
+
+    found = joined(np.where(place[None, :] < place[:, None], pairs, none)[2:], values[2:])
+    if len(values) <= WHOLE:
+        found = np.concatenate([found, joined(np.where(place[None, :] == place[:, None], none, pairs), values)])
+    return np.unique(found)
 
 
 def _lists(found: list[np.ndarray]) -> pa.ListArray:
@@ -211,13 +219,13 @@ def _nearness(members: DataFrame, pivots: DataFrame, compared: DataFrame) -> Dat
 
 
 def _alike(pairs: DataFrame, full: DataFrame, k: int) -> DataFrame:
-    """Without the pairs whose union sketch has less than half of its values in common."""
+    """Without the pairs whose union sketch has less than 2/5 of its values in common."""
     one = full.select(F.col("node").alias("a"), F.col("sketch").alias("sa"))
     other = full.select(F.col("node").alias("b"), F.col("sketch").alias("sb"))
     both = pairs.join(one, "a").join(other, "b")
     union = F.slice(F.array_sort(F.array_union("sa", "sb")), 1, k)
     common = F.size(F.array_intersect(union, F.array_intersect("sa", "sb")))
-    return both.filter(2 * common >= F.size(union)).select("a", "b")
+    return both.filter(5 * common >= 2 * F.size(union)).select("a", "b")
 
 
 def _components(postings: DataFrame, roots: DataFrame | None) -> DataFrame:
@@ -258,7 +266,7 @@ def _overlaps(sets: list[np.ndarray]) -> np.ndarray:
 def _forest(sets: list[np.ndarray], percent: int, k: int = K) -> list[tuple[int, int]]:
     """Links (positions) that connect what all links between similar sets would connect."""
     kept = np.array([min(k, len(x)) for x in sets])
-    maybe = 2 * _overlaps([x[:k] for x in sets]) >= np.maximum(kept[:, None], kept[None, :])
+    maybe = 5 * _overlaps([x[:k] for x in sets]) >= 2 * np.maximum(kept[:, None], kept[None, :])
     np.fill_diagonal(maybe, False)
     some = np.flatnonzero(maybe.any(1))
     if not len(some):

@@ -67,6 +67,16 @@ def test_forest_connects_what_links_connect():
     assert joined == {frozenset((0, 1)), frozenset((1, 2)), frozenset((4, 5))} or joined == {frozenset((0, 1)), frozenset((0, 2)), frozenset((4, 5))}
 
 
+@pytest.mark.parametrize("small, large", [(21, 26), (40, 50), (80, 100), (400, 500), (1600, 2000)])
+def test_sets_that_contain_each_other_share_a_list(small, large):
+    """At similarity 0.80; with a third of the retained values as anchors 1 in 700 of the largest had none in common."""
+    rng = np.random.default_rng(small)
+    for _ in range(6_000):
+        values = rng.integers(0, 2**63, large, np.uint64)
+        one, other = (bottomk._keys(np.sort(x)[: bottomk.K]) for x in (values, values[:small]))
+        assert len(one) == len(np.unique(one)) and np.isin(one, other).any()
+
+
 def test_less_than_the_bounds_allow_is_refused(odd):
     with pytest.raises(ValueError):
         bottomk.near_duplicates(odd, percent=70)
