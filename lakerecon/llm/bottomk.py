@@ -324,14 +324,8 @@ def _linked_in_blocks(members: DataFrame, full: DataFrame, percent: int) -> Data
     return map_groups(keyed, "block", run, "a binary, b binary")
 
 
-def near_duplicates(
-    documents: DataFrame, id_column: str = "doc_id", text_column: str = "text", width: int = 5, percent: int = 80, k: int = K
-) -> DataFrame:
-    """One row per document: id, n_shingles, component_id (smallest id reachable by links, itself included).
-
-    Documents are linked if 100 * intersection >= percent * union of their sets of ``width``-word shingles;
-    ``percent`` is 80 or more.
-    """
+def _found(documents: DataFrame, id_column: str, text_column: str, width: int, percent: int, k: int) -> DataFrame:
+    """id, n_shingles, node, root (node that stands for the component) and least (smallest id of it) of every document."""
     if percent < 80:
         raise ValueError("sketches find links from 80 per cent on")
     rows = cut(described(documents, id_column, text_column, width, k), "bottomk-described")
@@ -364,26 +358,62 @@ def near_duplicates(
     rest = cut(_components(left, roots), "bottomk-rest")
     if not rest.isEmpty():
         roots = _joined(roots, cut(_linked_in_blocks(rest, full, percent), "bottomk-links"))
-    named = classes.select("node", "rep")
+    named = classes.select("node", "rep", F.col("node").alias("root"))
     if roots is not None:
-        named = named.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        named = named.drop("root").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
         smallest = named.groupBy("root").agg(F.min("rep").alias("least"))
-        named = named.join(smallest, "root").select("node", F.col("least").alias("rep"))
+        named = named.join(smallest, "root").select("node", "root", F.col("least").alias("rep"))
     return rows.join(named, "node", "left").select(
-        F.col("id").alias(id_column), "n_shingles", F.when(F.col("id").isNotNull(), F.coalesce("rep", "id")).alias("component_id")
+        "id", "n_shingles", "node", "root", F.when(F.col("id").isNotNull(), F.coalesce("rep", "id")).alias("least")
     )
 
 
+def near_duplicates(
+    documents: DataFrame, id_column: str = "doc_id", text_column: str = "text", width: int = 5, percent: int = 80, k: int = K
+) -> DataFrame:
+    """One row per document: id, n_shingles, component_id (smallest id reachable by links, itself included).
+
+    Documents are linked if 100 * intersection >= percent * union of their sets of ``width``-word shingles;
+    ``percent`` is 80 or more.
+    """
+    found = _found(documents, id_column, text_column, width, percent, k)
+    return found.select(F.col("id").alias(id_column), "n_shingles", F.col("least").alias("component_id"))
+
+
+def _with_node(rows: DataFrame, text_column: str, width: int, name: str) -> DataFrame:
+    """The rows with the digest of their set, null if it is empty."""
+    at = rows.columns.index(text_column)
+
+    def run(batches):
+        for batch in batches:
+            text = pa.RecordBatch.from_arrays([batch.column(at)], names=["text"])
+            nodes = [None if x is None else _digest(x) for x in _sets(text, width)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(nodes, pa.binary())], names=[*batch.schema.names, name])
+
+    return map_batches(rows, run, T.StructType([*rows.schema.fields, T.StructField(name, T.BinaryType())]))
+
+
 def deduplicate(documents: DataFrame, id_column: str = "doc_id", text_column: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
-    """The documents without those that are not the smallest id of their component; one row of a repeated id with one text stays.
+    """The documents without those that are not the smallest id of their component.
 
-    Rows with a null id all stay. The columns are those of the input.
+    Rows of a repeated id are judged each by its own text: of each component of which the id is the smallest one row stays, and
+    of rows without words one for each text. Rows with a null id all stay. The columns are those of the input.
     """
-    found = cut(near_duplicates(documents, id_column, text_column, width, percent), "bottomk-components")
-    go = found.filter(F.col(id_column) != F.col("component_id")).select(id_column).distinct()
-    twice = found.filter(F.col(id_column) == F.col("component_id")).groupBy(id_column).count().filter("count > 1").select(id_column)
-    stay = documents.join(small(go), id_column, "left_anti").select(*documents.columns)
+    found = cut(_found(documents, id_column, text_column, width, percent, K), "bottomk-components")
+    found = found.filter("id IS NOT NULL")
+    twice = cut(found.groupBy("id").count().filter("count > 1").select(F.col("id").alias(id_column)), "bottomk-repeated")
+    go = found.filter("id <> least").select(F.col("id").alias(id_column)).distinct()
+    names = documents.columns
     if twice.isEmpty():
-        return stay
-    again = stay.join(twice, id_column, "left_semi").select(*documents.columns).dropDuplicates([id_column, text_column])
-    return stay.join(twice, id_column, "left_anti").select(*documents.columns).unionByName(again)
+        return documents.join(small(go), id_column, "left_anti").select(*names)
+    once = documents.join(small(twice), id_column, "left_anti").join(small(go), id_column, "left_anti").select(*names)
+    node = "bottomk_node"
+    while node in names:
+        node += "_"
+    first = found.filter("id = least AND node IS NOT NULL").groupBy("root").agg(F.min(F.struct("id", "node")).alias("x"))
+    first = first.select(F.col("x.id").alias(id_column), F.col("x.node").alias(node))
+    again = _with_node(documents.join(small(twice), id_column, "left_semi").select(*names), text_column, width, node)
+    some = again.filter(F.col(node).isNotNull()).join(small(first.join(small(twice), id_column, "left_semi")), [id_column, node], "left_semi")
+    some = some.select(*names, node).dropDuplicates([id_column, node])
+    none = again.filter(F.col(node).isNull()).dropDuplicates([id_column, text_column])
+    return once.unionByName(some.select(*names)).unionByName(none.select(*names))

@@ -61,6 +61,19 @@ def test_one_of_each_group_stays_once(odd, odd_rows):
     assert sorted(i for i in ids if i is not None) == sorted(alone) and ids.count(None) == 2
 
 
+def test_rows_of_a_repeated_id_are_judged_by_their_own_text(spark):
+    base = prose(1, 120).split()
+    near = [" ".join(base[:i] + ["changed"] + base[i + 1 :]) for i in (0, 119)]
+    rows = [(1, " ".join(base)), (2, near[0]), (2, prose(2, 90)), (2, prose(3, 90)), (2, prose(3, 90) + " "), (3, prose(4, 50)), (4, near[1])]
+    rows += [(5, prose(5, 80)), (5, prose(5, 80) + " end"), (6, ""), (6, ""), (6, None), (None, prose(2, 90)), (None, " ".join(base))]
+    docs = spark.createDataFrame([(t, "x", i) for i, t in rows], "text string, bottomk_node string, doc_id long").repartition(3)
+    kept = bottomk.deduplicate(docs)
+    assert kept.columns == docs.columns
+    got = Counter((r.doc_id, r.text and r.text.strip() if r.doc_id != 5 else None) for r in kept.collect())
+    wanted = [rows[0], rows[2], rows[3], rows[5], (5, None), (6, ""), (6, None), *rows[-2:]]
+    assert got == Counter(wanted)
+
+
 def test_forest_connects_what_links_connect():
     sets = [np.unique(np.array(x, np.uint64)) for x in ([*range(10)], [*range(1, 11)], [*range(2, 12)], [*range(50, 60)], [7], [7])]
     joined = {frozenset(p) for p in bottomk._forest(sets, 80)}
