@@ -3,16 +3,18 @@
 1. Document frequencies of all words over all documents, by hash in SLOTS slots, give the inverse
    document frequencies. A passage is a vector sqrt(tf) * idf.
 2. The benchmark is cut into passages of up to PASSAGE words. A distributed randomised SVD of their matrix (random
-   range finder, one power iteration, tasks add up their share of A'A Q) gives term vectors of rank RANK.
+   range finder, one power iteration, tasks add up their share of A'A Q) gives term vectors. Blocks have at most RANK
+   passages, so that the space is complete and the latent step loses nothing whatever the size of the benchmark.
 3. Every window of WINDOW words, at each STRIDE words of every whole document, is projected and compared with all
-   benchmark passages by cosine. Both norms are those of the full vectors, so the cosine in the latent space
+   benchmark passages by cosine; passages of fewer words than a bound of SHORTER also with the smaller windows that
+   belong to it. Items of fewer than EXACT words that stand in a document word by word are candidates whatever the cosine. Both norms are those of the full vectors, so the cosine in the latent space
    never exceeds what the shared words allow, and windows whose words of the benchmark weigh less than
    COSINE can be left out without a loss before anything is projected.
 4. For each candidate the longest common subsequence of the item's words and the words around the window decides:
    a share of VERBATIM or more is a leak; from PARAPHRASE on it is one if the answer (what follows the
    last question mark or line break of the item, else its last third) is found to at least ANSWER.
 
-Benchmark items are worked off in blocks of ITEMS; up to BLOCKS blocks share one pass over the documents and one
+Benchmark items are worked off in blocks of up to ITEMS; up to BLOCKS blocks share one pass over the documents and one
 broadcast, whose size is bounded by these numbers. Case and ASCII punctuation do not count. Items of fewer than SHORT words must be
 found completely. Null and empty texts and items match nothing; repeated rows and items match as often as
 they occur; null ids are reported as null. Other columns are not looked at, or passed through by ``keep``.
@@ -24,7 +26,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -42,9 +44,15 @@ VERBATIM = 0.8
 PARAPHRASE = 0.6
 ANSWER = 0.5
 SHORT = 8
+#: (words, window): passages of fewer words are also compared with windows of this length, at each half of it.
+SHORTER = ((24, 16), (12, 8))
+#: Items of fewer words are also looked up word by word.
+EXACT = 24
 ITEMS = 512
 BLOCKS = 8
 
+_BASE = 0x9E3779B97F4A7C15
+_INVERSE = pow(_BASE, -1, 1 << 64)
 _PLAIN = bytes(32 if c < 0x80 and not chr(c).isalnum() else c for c in range(256))
 
 
@@ -111,19 +119,26 @@ def _answer(text: bytes) -> int:
 
 @dataclass
 class Index:
-    """One block of the benchmark: sorted term hashes with their vectors, passages with theirs, and the items."""
+    """One block of the benchmark: sorted term hashes with their vectors, passages with theirs, and the items.
+
+    An item of more passages than a space can have is in several blocks, with the same number.
+    """
 
     terms: np.ndarray
     vectors: np.ndarray
     passages: np.ndarray
     owner: np.ndarray
     items: list
+    numbers: list[int]
     masks: list[dict[int, int]]
     sizes: list[int]
     before: list[int]
     marked: np.ndarray
-    #: For each term its largest share in any passage, as the latent space gives it.
-    most: np.ndarray
+    #: (window, stride, passages, for each term its largest share in any of them as the latent space gives it).
+    kinds: list[tuple[int, int, np.ndarray, np.ndarray]]
+    #: Short items by the hash of all their words: lengths, and item positions by (length, hash).
+    seeds: np.ndarray
+    exact: dict[tuple[int, int], list[int]]
 
 
 def _vector(columns: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
@@ -167,49 +182,80 @@ def indexes(benchmark: DataFrame, idf: np.ndarray, id_column: str = "item_id", t
     rows = benchmark.select(F.col(id_column).alias("item"), F.col(text_column).cast("string").alias("text")).filter("text IS NOT NULL")
     blocks = -(-rows.count() // ITEMS)
     rows = cut(rows.withColumn("block", F.pmod(F.xxhash64("item", "text"), F.lit(max(1, blocks))).cast("int")), "lsa-items")
-
-    def run(batches):
-        for batch in batches:
-            words, items = [], []
-            for item, text in zip(batch.column(0).to_pylist(), texts.column(batch, "text"), strict=True):
-                found = _words([text])[0]
-                for at in range(0, max(1, len(found) - PASSAGE // 2), PASSAGE // 2):
-                    if len(found):
-                        words.append(found[at : at + PASSAGE].tobytes())
-                        items.append(item)
-            yield pa.RecordBatch.from_arrays([pa.array(words, pa.binary()), pa.array(items, batch.schema.field(0).type)], names=["words", "item"])
-
-    schema = T.StructType([T.StructField("words", T.BinaryType()), T.StructField("item", rows.schema["item"].dataType)])
-    made = []
+    made, count = [], 0
     for number in range(blocks):
-        block = rows.filter(F.col("block") == number)
-        items = [(r["item"], r["text"].encode()) for r in block.orderBy("item", "text").collect()]
-        if not items:
-            continue
-        hashed = [_words([text])[0] for _, text in items]
-        terms = np.unique(np.concatenate(hashed))
-        if not len(terms):
-            continue
-        weights = idf[_slots(terms)]
-        passages = map_batches(block.select("item", "text").repartition(4), run, schema)
-        vectors = _randomised_svd(passages, terms, weights, min(rank, 2 * len(items)))
-        latent, owner, masks = [], [], []
-        for i, words in enumerate(hashed):
+        items = [(r["item"], r["text"].encode()) for r in rows.filter(F.col("block") == number).orderBy("item", "text").collect()]
+        part: list[tuple] = []
+        for item, text in items:
+            words = _words([text])[0]
+            starts = range(0, max(1, len(words) - PASSAGE // 2), PASSAGE // 2) if len(words) else []
+            for at in starts:
+                if len(part) == rank:
+                    made.append(_index(rows.sparkSession, part, idf))
+                    part = []
+                part.append((count, item, text, words, words[at : at + PASSAGE]))
+            count += 1
+        if part:
+            made.append(_index(rows.sparkSession, part, idf))
+    return made
+
+
+def _index(spark: SparkSession, part: list[tuple], idf: np.ndarray) -> Index:
+    """The index of passages (number of the item, item, its text, its words, words of the passage)."""
+    terms = np.unique(np.concatenate([p[4] for p in part]))
+    weights = idf[_slots(terms)]
+    passages = spark.createDataFrame([(bytearray(p[4].tobytes()),) for p in part], "words binary").repartition(4)
+    vectors = _randomised_svd(passages, terms, weights, len(part))
+    numbers, items, sizes, before, masks, latent, owner = [], [], [], [], [], [], []
+    exact: dict[tuple[int, int], list[int]] = {}
+    for number, item, text, words, passage in part:
+        if not numbers or numbers[-1] != number:
             mask: dict[int, int] = {}
             for j, word in enumerate(words.tolist()):
                 mask[word] = mask.get(word, 0) | (1 << j)
+            if len(words) < EXACT:
+                exact.setdefault((len(words), int(_Spans(words)(0, len(words)))), []).append(len(numbers))
+            numbers.append(number)
+            items.append(item)
+            sizes.append(len(words))
+            before.append(_answer(text))
             masks.append(mask)
-            for at in range(0, max(1, len(words) - PASSAGE // 2), PASSAGE // 2):
-                if len(words):
-                    found, x, norm = _vector(np.searchsorted(terms, words[at : at + PASSAGE]), weights)
-                    latent.append(x @ vectors[found] / np.sqrt(norm))
-                    owner.append(i)
-        marked = np.zeros(SLOTS, bool)
-        marked[_slots(terms)] = True
-        latent = np.array(latent, np.float32)
-        most = np.concatenate([(vectors[i : i + 4096] @ latent.T).max(1) for i in range(0, len(terms), 4096)]).clip(0)
-        made.append(Index(terms, vectors, latent, np.array(owner), [x for x, _ in items], masks, [len(x) for x in hashed], [_answer(t) for _, t in items], marked, most))
-    return made
+        found, x, norm = _vector(np.searchsorted(terms, passage), weights)
+        latent.append(x @ vectors[found] / np.sqrt(norm))
+        owner.append(len(numbers) - 1)
+    marked = np.zeros(SLOTS, bool)
+    marked[_slots(terms)] = True
+    latent, lengths = np.array(latent, np.float32), np.array([len(p[4]) for p in part])
+    kinds = []
+    for bound, window in ((PASSAGE + 1, WINDOW), *SHORTER):
+        some = np.flatnonzero(lengths < bound)
+        if len(some):
+            most = np.concatenate([(vectors[i : i + 4096] @ latent[some].T).max(1) for i in range(0, len(terms), 4096)]).clip(0)
+            kinds.append((window, STRIDE * window // WINDOW, some, most))
+    seeds = np.array(sorted({size for size, _ in exact}), np.int64)
+    return Index(terms, vectors, latent, np.array(owner), items, numbers, masks, sizes, before, marked, kinds, seeds, exact)
+
+
+class _Spans:
+    """One hash for each span of words, which depends on their order but not on where it starts."""
+
+    def __init__(self, hashes: np.ndarray):
+        power, back = (np.cumprod(np.full(len(hashes), x, np.uint64), dtype=np.uint64) for x in (_BASE, _INVERSE))
+        self.sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(hashes * power, dtype=np.uint64)))
+        self.back = back
+
+    def __call__(self, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
+        return (self.sums[stop] - self.sums[start]) * self.back[start]
+
+
+def _windows(bounds: np.ndarray, window: int, stride: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Text, first word and end of every window."""
+    sizes = np.diff(bounds)
+    per_text = np.where(sizes > 0, np.maximum(1, -(-(sizes - window) // stride) + 1), 0)
+    owner = np.repeat(np.arange(len(sizes)), per_text)
+    step = np.arange(len(owner)) - np.repeat(np.cumsum(per_text) - per_text, per_text)
+    start = bounds[:-1][owner] + step * stride
+    return owner, start, np.minimum(start + window, bounds[1:][owner])
 
 
 def _subsequence(mask: dict[int, int], words: list[int], size: int) -> int:
@@ -236,44 +282,73 @@ def _search(piece: list[bytes | None], blocks: list[Index], idf: np.ndarray, cos
     slots = _slots(hashes)
     weight = idf[slots].astype(np.float64)
     all_mass = np.concatenate(([0.0], np.cumsum(weight**2)))
-    sizes = np.diff(bounds)
-    per_text = np.where(sizes > 0, np.maximum(1, -(-(sizes - WINDOW) // STRIDE) + 1), 0)
-    owner = np.repeat(np.arange(len(piece)), per_text)
-    step = np.arange(len(owner)) - np.repeat(np.cumsum(per_text) - per_text, per_text)
-    start = bounds[:-1][owner] + step * STRIDE
-    stop = np.minimum(start + WINDOW, bounds[1:][owner])
+    windows = {x: _windows(bounds, *x) for x in {kind[:2] for block in blocks for kind in block.kinds}}
     found: list[dict] = [{} for _ in piece]
+    spans = None
+
+    def check(block: Index, item: int, text: int, start: int, stop: int, cosine: float) -> None:
+        size = block.sizes[item]
+        around = hashes[max(bounds[text], start - size) : min(bounds[text + 1], stop + size)].tolist()
+        whole, answer = _share(block.masks[item], around, size, block.before[item])
+        leak = whole >= VERBATIM or whole >= PARAPHRASE and answer >= ANSWER
+        if whole == 1.0 if size < SHORT else leak:
+            hit = (whole, cosine, answer, int(start - bounds[text]))
+            key = block.numbers[item]
+            found[text][key] = max(found[text].get(key, (hit,))[0], hit), block.items[item]
+
     for block in blocks:
         column = np.full(len(hashes), -1, np.int64)
         maybe = np.flatnonzero(block.marked[slots])
         at = np.minimum(np.searchsorted(block.terms, hashes[maybe]), len(block.terms) - 1)
         column[maybe] = np.where(block.terms[at] == hashes[maybe], at, -1)
-        gain = np.concatenate(([0.0], np.cumsum(np.where(column >= 0, weight * block.most[column], 0))))
-        hot = np.flatnonzero(gain[stop] - gain[start] >= cosine * np.sqrt(all_mass[stop] - all_mass[start]))
         term_weights = idf[_slots(block.terms)]
-        for lo in range(0, len(hot), 512):
-            some = hot[lo : lo + 512]
-            latent = np.zeros((len(some), block.vectors.shape[1]), np.float32)
-            for i, w in enumerate(some):
-                columns = column[start[w] : stop[w]]
-                terms, x, _ = _vector(columns[columns >= 0], term_weights)
-                latent[i] = x @ block.vectors[terms] / np.sqrt(all_mass[stop[w]] - all_mass[start[w]])
-            close = latent @ block.passages.T
-            for i, p in zip(*np.nonzero(close >= cosine), strict=True):
-                w, item = some[i], int(block.owner[p])
-                size, text = block.sizes[item], int(owner[w])
-                around = hashes[max(bounds[text], start[w] - size) : min(bounds[text + 1], stop[w] + size)].tolist()
-                whole, answer = _share(block.masks[item], around, size, block.before[item])
-                leak = whole >= VERBATIM or whole >= PARAPHRASE and answer >= ANSWER
-                if whole == 1.0 if size < SHORT else leak:
-                    hit = (whole, float(close[i, p]), answer, int(start[w] - bounds[text]))
-                    key = (id(block), item)
-                    found[text][key] = max(found[text].get(key, (hit,))[0], hit), block.items[item]
+
+        def projected(start: int, stop: int, block=block, column=column, term_weights=term_weights) -> np.ndarray:
+            columns = column[start:stop]
+            terms, x, _ = _vector(columns[columns >= 0], term_weights)
+            return x @ block.vectors[terms] / np.sqrt(all_mass[stop] - all_mass[start])
+
+        for window, stride, passages, most in block.kinds:
+            owner, start, stop = windows[window, stride]
+            gain = np.concatenate(([0.0], np.cumsum(np.where(column >= 0, weight * most[column], 0))))
+            hot = np.flatnonzero(gain[stop] - gain[start] >= cosine * np.sqrt(all_mass[stop] - all_mass[start]))
+            vectors = block.passages[passages]
+            for lo in range(0, len(hot), 512):
+                some = hot[lo : lo + 512]
+                latent = np.zeros((len(some), block.vectors.shape[1]), np.float32)
+                for i, w in enumerate(some):
+                    latent[i] = projected(start[w], stop[w])
+                close = latent @ vectors.T
+                for i, p in zip(*np.nonzero(close >= cosine), strict=True):
+                    w = some[i]
+                    check(block, int(block.owner[passages[p]]), int(owner[w]), start[w], stop[w], float(close[i, p]))
+        known = np.concatenate(([0], np.cumsum(column >= 0))) if len(block.seeds) else None
+        for size in block.seeds.tolist():
+            first = np.flatnonzero(known[size:] - known[:-size] == size) if len(hashes) >= size else np.empty(0, np.int64)
+            if not len(first):
+                continue
+            text = np.searchsorted(bounds, first, side="right") - 1
+            inside = first + size <= bounds[text + 1]
+            first, text = first[inside], text[inside]
+            if spans is None:
+                spans = _Spans(hashes)
+            for i, value in enumerate(spans(first, first + size).tolist()):
+                for item in block.exact.get((size, value), ()):
+                    if block.numbers[item] not in found[text[i]]:
+                        passage = block.passages[int(np.flatnonzero(block.owner == item)[0])]
+                        check(block, item, int(text[i]), first[i], first[i] + size, float(projected(first[i], first[i] + size) @ passage))
     return [[(item, hit[1], hit[0], hit[2], hit[3]) for hit, item in x.values()] for x in found]
 
 
 def _passes(blocks: list[Index]) -> list[list[Index]]:
-    return [blocks[i : i + BLOCKS] for i in range(0, len(blocks), BLOCKS)]
+    """Up to BLOCKS blocks; more only where one item goes on from block to block."""
+    groups: list[list[Index]] = []
+    for block in blocks:
+        if groups and (len(groups[-1]) < BLOCKS or groups[-1][-1].numbers[-1] == block.numbers[0]):
+            groups[-1].append(block)
+        else:
+            groups.append([block])
+    return groups
 
 
 def leaks(

@@ -284,6 +284,41 @@ def test_candidates_reach_the_recall_of_exact_cosines(leaky):
     assert exact > 30 and found / exact >= 0.9
 
 
+def _planted(spark, items, length):
+    """A document for each item, with the item word by word in other text."""
+    docs = []
+    for i, text in items:
+        words = prose(50_000 + i, length).split()
+        words[17 + i % 40 : 17 + i % 40] = text.split()
+        docs.append((i, " ".join(words)))
+    return spark.createDataFrame(docs, "doc_id long, text string").repartition(4), docs
+
+
+def test_space_is_complete_for_many_items(spark):
+    items = [(i, prose(90_000 + i, 20 + i % 40)) for i in range(512)]
+    docs, rows = _planted(spark, items, 120)
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    blocks = lsa.indexes(benchmark, lsa.inverse_frequencies(docs))
+    assert all(len(b.passages) <= b.vectors.shape[1] for b in blocks) and sum(len(b.items) for b in blocks) == 512
+    got = Counter((r.doc_id, r.item_id) for r in lsa.leaks(docs, benchmark).collect())
+    assert got == Counter((d, i) for d, t in rows for i, x in items if plain.contains(t, x))
+
+
+def test_an_item_of_many_passages_is_found_once(spark):
+    items = [(1, prose(1, 700)), (2, prose(2, 30))]
+    docs = spark.createDataFrame([(1, items[0][1]), (2, prose(3, 60) + " " + items[1][1])], "doc_id long, text string")
+    found = lsa.leaks(docs, spark.createDataFrame(items, "item_id long, text string"), rank=8)
+    assert sorted((r.doc_id, r.item_id) for r in found.collect()) == [(1, 1), (2, 2)]
+
+
+def test_short_items_are_found(spark):
+    items = [(i, prose(70_000 + i, 1 + i % 23)) for i in range(230)]
+    docs, rows = _planted(spark, items, 120)
+    got = {(r.doc_id, r.item_id) for r in lsa.leaks(docs, spark.createDataFrame(items, "item_id long, text string")).collect()}
+    wanted = {(d, i) for d, t in rows for i, x in items if plain.contains(t, x)}
+    assert {(i, i) for i, _ in items} <= wanted <= got
+
+
 # mixing
 
 
