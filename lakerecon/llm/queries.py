@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakerecon.llm import arc, bottomk, chat, factorisation, lm_scoring, lsa, mixing, rule_ledger, string_kernel, url_filter
+from lakerecon.llm import (
+    arc, bottomk, chat, factorisation, line_dedup, lm_scoring, lsa, mixing, prefix_trie, rule_ledger, string_kernel, url_filter, word_runs
+)
 from lakerecon.llm.frames import cut, remainder
 from lakerecon.session import shared_dir
 
@@ -116,12 +119,50 @@ def op10_minhash_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return found.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
+def op11_periodic_runs(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents, a tenth of which are made periodic from some word on, and their runs."""
+    hashed = F.coalesce(F.crc32(F.col("doc_id").cast("string")), F.lit(1))
+    words = F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))
+    parts = _table(spark, sf, "documents").select(
+        "doc_id", "text", F.floor(hashed / 10).alias("g"), F.when(hashed % 10 == 0, words).alias("words")
+    )
+    n = F.size("words")
+    parts = parts.withColumn("a", F.when(n > 0, F.col("g") % n)).withColumn("p", 1 + F.floor((n - F.col("a")) / (3 + F.col("g") % 8)))
+    source = lambda i: F.when(i < F.col("a"), i).otherwise(F.col("a") + (i - F.col("a")) % F.col("p"))
+    made = F.array_join(F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.get("words", source(i).cast("int"))), " ")
+    found = word_runs.find(parts.select("doc_id", F.when(F.col("a").isNotNull(), made).otherwise(F.col("text")).alias("text")))
+    best = F.col("strongest")
+    lines = F.transform("runs", lambda r: F.concat(r["start"].cast("string"), F.lit(","), r["length"].cast("string"), F.lit(","), r["period"].cast("string"), F.lit("\n")))
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), best["start"].alias("start"), best["length"].alias("length"), best["period"].alias("period"),
+        F.expr("(1000 * strongest.length) div strongest.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def op12_prefix_trie(spark: SparkSession, sf: str) -> DataFrame:
+    """Conversations that begin with turns of the first of each twenty, and their trie."""
+    turns = prefix_trie.digest(_table(spark, sf, "conversations"))
+    placed = cut(prefix_trie.numbered(turns), "op12-turns").withColumnRenamed("place", "turn")
+    first = F.crc32(F.col("conv_id").cast("string")) % 4
+    all_ids = placed.select("conv_id").distinct()
+    opened = all_ids.select("conv_id", first.alias("h"), (F.col("conv_id") - F.col("conv_id") % 20).alias("base"))
+    openings = placed.filter("turn < 3").withColumnRenamed("conv_id", "base").join(opened, "base").filter("turn < h")
+    none = all_ids.select("conv_id", F.lit(None).cast("long").alias("turn"), F.lit(None).cast("binary").alias("id"), F.lit(None).cast("long").alias("tokens"))
+    return prefix_trie.trie(placed.filter(F.col("turn") >= first).unionByName(openings.drop("base", "h")).unionByName(none))
+
+
+def op13_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    kept = line_dedup.drop(_table(spark, sf, "documents").select("doc_id", "text"), least_documents=10, least_chars=1)
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
 def registered() -> dict[str, Query]:
     return {name: f for name, f in globals().items() if name.startswith("op") and name[2].isdigit() and callable(f)}
 
 
 def oracles() -> dict[str, str]:
-    return dict(SQL)
+    return {name: re.sub(r"CRC32\((\w+)\)", lambda m: _CRC32.format(m[1]), sql) for name, sql in SQL.items()}
 
 
 SQL: dict[str, str] = {
@@ -249,4 +290,94 @@ SQL: dict[str, str] = {
                n_repeat_words::BIGINT AS n_repeat_words, fail_bits & 3 <> 0 AS base_failed, fail_bits = 0 AS kept, fail_bits
         FROM b
     """,
+    "op11_periodic_runs": r"""
+        WITH c AS (
+            SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words, CRC32(doc_id) AS h FROM documents
+        ),
+        g AS (
+            SELECT doc_id, words, h, len(words) AS n, CASE WHEN h % 10 = 0 AND len(words) > 0 THEN (h // 10) % len(words) END AS a FROM c
+        ),
+        m AS (
+            SELECT doc_id, n, CASE WHEN a IS NULL THEN words
+                ELSE list_transform(range(n), lambda i: words[1 + CASE WHEN i < a THEN i ELSE a + (i - a) % (1 + (n - a) // (3 + (h // 10) % 8)) END]) END AS words
+            FROM g
+        ),
+        w AS (SELECT doc_id, n, i, array_to_string(words[i + 1:i + 9], ' ') AS nine FROM (SELECT *, unnest(range(n - 8)) AS i FROM m WHERE n >= 24)),
+        p AS (SELECT x.doc_id, x.i, y.i - x.i AS q FROM w AS x JOIN w AS y ON x.doc_id = y.doc_id AND x.nine = y.nine AND x.i < y.i AND 3 * (y.i - x.i) <= x.n),
+        s AS (
+            SELECT doc_id, q, min(i) AS start, count(*) + 8 + q AS length
+            FROM (SELECT *, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS island FROM p) GROUP BY doc_id, q, island
+        ),
+        r AS (
+            SELECT doc_id, start, length, min(q) AS period FROM s WHERE length >= 24 AND length >= 3 * q GROUP BY doc_id, start, length
+        ),
+        b AS (
+            SELECT doc_id, count(*) AS n_runs, sha256(string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period)) AS runs_sha256,
+                   first(struct_pack(start, length, period) ORDER BY length::DOUBLE / period DESC, start, period) AS best
+            FROM r GROUP BY doc_id
+        ),
+        d AS (SELECT DISTINCT doc_id, unnest(range(start + period, start + length)) AS i FROM r),
+        k AS (
+            SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS kept
+            FROM (SELECT doc_id, unnest(words) AS word, unnest(range(n)) AS i FROM m) AS u
+            WHERE NOT EXISTS (FROM d WHERE d.doc_id = u.doc_id AND d.i = u.i) GROUP BY doc_id
+        )
+        SELECT m.doc_id, coalesce(n_runs, 0) AS n_runs, best.start AS start, best.length AS length, best.period AS period,
+               (1000 * best.length) // best.period AS exponent_milli, coalesce(runs_sha256, sha256('')) AS runs_sha256,
+               sha256(coalesce(kept, '')) AS collapsed_sha256
+        FROM m LEFT JOIN b ON m.doc_id = b.doc_id LEFT JOIN k ON m.doc_id = k.doc_id
+    """,
+    "op12_prefix_trie": r"""
+        WITH t AS (
+            SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+                   row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) - 1 AS place
+            FROM conversations WHERE conv_id IS NOT NULL
+        ),
+        c AS (SELECT conv_id, conv_id - conv_id % 20 AS base, CRC32(conv_id) % 4 AS h FROM (SELECT DISTINCT conv_id FROM t)),
+        r AS (
+            SELECT c.conv_id, 0 AS own, place, role, text FROM c JOIN t ON t.conv_id = c.base WHERE place < h
+            UNION ALL SELECT c.conv_id, 1, place, role, text FROM c JOIN t ON t.conv_id = c.conv_id WHERE place >= h
+        ),
+        s AS (
+            SELECT c.conv_id, coalesce(list(md5(length(role) || ':' || role || text) ORDER BY own, place) FILTER (WHERE role IS NOT NULL), []) AS ids,
+                   list(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) ORDER BY own, place) AS words
+            FROM c LEFT JOIN r ON r.conv_id = c.conv_id GROUP BY c.conv_id
+        ),
+        m AS (
+            SELECT conv_id, depth, array_to_string(ids[:depth], '') AS prefix, CASE WHEN depth > 0 THEN words[depth] ELSE 0 END AS words, depth = len(ids) AS ends
+            FROM (SELECT *, unnest(range(len(ids) + 1)) AS depth FROM s)
+        ),
+        n AS (
+            SELECT prefix, depth, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(words) AS words,
+                   sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (WHERE ends), '')) AS ends_sha256
+            FROM m GROUP BY prefix, depth
+        ),
+        k AS (SELECT left(prefix, 32 * (depth - 1)::INT) AS prefix, count(*) AS n_children FROM n WHERE depth > 0 GROUP BY 1),
+        x AS (SELECT n.*, coalesce(n_children, 0) AS n_children FROM n LEFT JOIN k ON k.prefix = n.prefix),
+        u AS (
+            SELECT left(prefix, 32 * up::INT) AS prefix, count(*) FILTER (WHERE n_children = 0) AS n_leaves, sum((n_convs - 1) * words)::BIGINT AS saved_tokens
+            FROM (SELECT *, unnest(range(depth + 1)) AS up FROM x) GROUP BY 1
+        )
+        SELECT x.conv_id, x.depth, n.conv_id AS parent_conv_id, x.n_convs, x.n_children, n_leaves, saved_tokens, x.ends_sha256
+        FROM x JOIN u ON u.prefix = x.prefix LEFT JOIN n ON n.depth = x.depth - 1 AND n.prefix = left(x.prefix, 32 * (x.depth - 1)::INT)
+    """,
+    "op13_line_dedup": r"""
+        WITH l AS (
+            SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS n
+            FROM documents
+        ),
+        k AS (
+            SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+            FROM l
+        ),
+        s AS (SELECT key FROM k WHERE length(key) >= 1 GROUP BY key HAVING count(DISTINCT doc_id) >= 10)
+        SELECT doc_id, count(*) AS n_lines, count(s.key) AS n_dropped, sha256(coalesce(string_agg(line, chr(10) ORDER BY n) FILTER (WHERE s.key IS NULL), '')) AS kept_sha256
+        FROM k LEFT JOIN s ON s.key = k.key GROUP BY doc_id
+    """,
 }
+
+#: DuckDB has no crc32: one byte after the other, eight divisions each, by the reversed polynomial 0xEDB88320.
+_CRC32 = """(xor(list_reduce(
+    list_concat([4294967295::BIGINT], list_transform(string_split({}::VARCHAR, ''), lambda x: ascii(x)::BIGINT)),
+    lambda crc, byte: list_reduce(list_concat([xor(crc, byte)], [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]), lambda x, _: xor(x >> 1, (x & 1) * 3988292384))
+), 4294967295))"""

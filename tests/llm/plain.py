@@ -72,3 +72,57 @@ VOCABULARY = [a + b + c for a in ("ka", "to", "mi", "re", "lu", "é") for b in (
 def prose(seed, n):
     rng = random.Random(seed)
     return " ".join(rng.choice(VOCABULARY) + (rng.choice(VOCABULARY) if rng.random() < 0.5 else "") for _ in range(n))
+
+
+def runs(words, least=24, times=3):
+    """(start, length, period) of all runs, by trying every period."""
+    found, spans = [], set()
+    for q in range(1, len(words) // times + 1):
+        i = 0
+        while i + q < len(words):
+            j = i
+            while j + q < len(words) and words[j] == words[j + q]:
+                j += 1
+            span = (i, j - i + q)
+            if j > i and span[1] >= max(least, times * q) and span not in spans:
+                spans.add(span)
+                found.append((*span, q))
+            i = j + 1
+    return sorted(found, key=lambda r: (r[0], r[2]))
+
+
+def collapsed(words, found):
+    gone = {i for start, length, period in found for i in range(start + period, start + length)}
+    return [w for i, w in enumerate(words) if i not in gone]
+
+
+def trie(conversations):
+    """{(smallest member, depth): (parent, members, children, leaves, saved words, ends)} of {id: [(role, text), ...]}."""
+    members, children = {}, {}
+    for key, turns in conversations.items():
+        for d in range(len(turns) + 1):
+            members.setdefault(tuple(turns[:d]), []).append(key)
+    for prefix in members:
+        if prefix:
+            children.setdefault(prefix[:-1], []).append(prefix)
+    leaves, saved = {}, {}
+    for prefix in sorted(members, key=len, reverse=True):
+        below = children.get(prefix, [])
+        leaves[prefix] = sum(leaves[c] for c in below) or 1
+        saved[prefix] = sum(saved[c] for c in below) + (len(members[prefix]) - 1) * (len(words(prefix[-1][1])) if prefix else 0)
+    return {
+        (min(keys), len(p)): (
+            min(members[p[:-1]]) if p else None, len(keys), len(children.get(p, [])), leaves[p], saved[p],
+            ",".join(map(str, sorted(k for k in keys if len(conversations[k]) == len(p)))),
+        )
+        for p, keys in members.items()
+    }
+
+
+def without_shared_lines(rows, least_documents=10, least_chars=1):
+    """(n_lines, n_dropped, kept text) of each text."""
+    key = lambda line: "".join(c.lower() if "A" <= c <= "Z" else c for c in line.strip(" \t\n\x0b\x0c\r"))
+    counts = Counter(k for t in rows for k in {key(line) for line in (t or "").split("\n")})
+    stays = lambda line: len(key(line)) < least_chars or counts[key(line)] < least_documents
+    found = [((t or "").split("\n"), [line for line in (t or "").split("\n") if stays(line)]) for t in rows]
+    return [(len(a), len(a) - len(b), "\n".join(b)) for a, b in found]
