@@ -166,7 +166,7 @@ def test_trie_is_that_of_all_prefixes(spark, band, tree):
     random.Random(1).shuffle(rows)
     table = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string, place int, id string").repartition(5)
     turns = prefix_trie.digest(table)
-    none = spark.createDataFrame([(c, None, None, None) for c in made], turns.schema)
+    none = spark.createDataFrame([(c, None, None, None) for c in made], "conv_id long, turn long, id binary, tokens long")
     got = prefix_trie.trie(turns.unionByName(none), band, tree).collect()
     wanted = {k: (*v[:5], hashlib.sha256(v[5].encode()).hexdigest()) for k, v in plain.trie(made).items()}
     assert len(got) == len(wanted)
