@@ -57,8 +57,8 @@ _PLAIN = bytes(32 if c < 0x80 and not chr(c).isalnum() else c for c in range(256
 
 
 def _words(found: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
-    """Words in lower case, whatever the alphabet, without ASCII punctuation."""
-    return texts.tokens([None if t is None else t.decode(errors="replace").lower().encode().translate(_PLAIN) for t in found], lower=False)
+    """Words with case folded, whatever the alphabet, without ASCII punctuation."""
+    return texts.tokens([None if t is None else t.decode(errors="replace").casefold().encode().translate(_PLAIN) for t in found], lower=False)
 
 
 def _slots(hashes: np.ndarray) -> np.ndarray:

@@ -62,7 +62,7 @@ def quality_numbers(text):
 
 
 def contains(text, item):
-    plain = lambda t: " " + " ".join(re.sub(r"[\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]", " ", (t or "").lower()).split()) + " "
+    plain = lambda t: " " + " ".join(re.sub(r"[\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]", " ", (t or "").casefold()).split()) + " "
     return len(plain(item)) > 2 and plain(item) in plain(text)
 
 
