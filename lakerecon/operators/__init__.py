@@ -1,6 +1,7 @@
 from .compaction import compact, compact_calendar, rekey_calendar_paths
 from .compare import column_diff, compare_rows, diff_text, missing_records, recon_summary
 from .counts import count_recon, failed_groups, recon_alerts
+from .digest import DigestRecon, recon_by_digest
 from .drift import SchemaRegistry, latest_schema, payload_schema, schema_diff
 from .hotkeys import HotKeys, find_hot_keys, join_to_unique
 from .latest import latest_per_key
@@ -9,6 +10,8 @@ from .quality import append_failures, rule_summary, run_rules
 from .stats import counted, distinct_keys, landing_stats, row_count
 
 __all__ = [
+    "DigestRecon",
+    "recon_by_digest",
     "HotKeys",
     "SchemaRegistry",
     "append_failures",

@@ -3,8 +3,11 @@ from .ingest import IngestResult, ingest_history
 from .load import load_frame, load_history
 from .registered import compact_registered
 from .reconcile import PublishedRecon, RowRecon, prepare_source, prepare_target, publish_recon, row_recon, run_count_controls
+from .state import BucketedTable, recon_tables
 
 __all__ = [
+    "BucketedTable",
+    "recon_tables",
     "PublishedRecon",
     "compact_registered",
     "publish_recon",
