@@ -1,3 +1,4 @@
+from .bitmaps import bitmap_cost, count_keys, key_bitmaps, merge_bitmaps, missing_keys, missing_records_bitmap
 from .compaction import compact, compact_calendar, rekey_calendar_paths
 from .compare import column_diff, compare_rows, diff_text, missing_records, recon_summary
 from .counts import count_recon, failed_groups, recon_alerts
@@ -11,6 +12,12 @@ from .stats import counted, distinct_keys, landing_stats, row_count
 
 __all__ = [
     "DigestRecon",
+    "bitmap_cost",
+    "count_keys",
+    "key_bitmaps",
+    "merge_bitmaps",
+    "missing_keys",
+    "missing_records_bitmap",
     "recon_by_digest",
     "HotKeys",
     "SchemaRegistry",

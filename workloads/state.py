@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lakerecon import BucketedTable, recon_by_digest, recon_tables, shared_dir
+from lakerecon import BucketedTable, count_keys, key_bitmaps, missing_records_bitmap, recon_by_digest, recon_tables, shared_dir
 
 from . import pairs
 from .registry import as_text, query, table
@@ -70,3 +70,19 @@ def recon_bucketed_events(spark, sf):
     counts = [("all", "counts", *(str(found.counts[f"{side}_row_count"]) for side in ("source", "target")), None, None)]
     rows = as_text(_exceptions(found), "event_id").select("event_id", "present_in", "src_user", "tgt_user", "src_amount", "tgt_amount")
     return rows.unionAll(spark.createDataFrame(counts, rows.schema))
+
+
+@query("""
+SELECT * FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem WHERE l_quantity < 30 AND l_orderkey IS NOT NULL)
+""")
+def missing_orders_bitmap(spark, sf):
+    """Orders none of whose lines is small, by bitmaps of their keys."""
+    small = table(spark, sf, "lineitem").filter("l_quantity < 30").withColumnRenamed("l_orderkey", "o_orderkey")
+    return missing_records_bitmap(table(spark, sf, "orders"), small, "o_orderkey")
+
+
+@query("SELECT 'orders' AS feed, count(DISTINCT o_orderkey) AS keys FROM orders UNION ALL SELECT 'lineitem', count(DISTINCT l_orderkey) FROM lineitem")
+def distinct_keys_bitmap(spark, sf):
+    feeds = {"orders": "o_orderkey", "lineitem": "l_orderkey"}
+    one, other = (count_keys(key_bitmaps(table(spark, sf, f), k)).select(F.lit(f).alias("feed"), "keys") for f, k in feeds.items())
+    return one.unionAll(other)
