@@ -19,8 +19,11 @@ __all__ = [
     "IngestSpec",
     "LoadSpec",
     "PARTITION_COLUMN",
+    "OrphanRule",
     "ROWS_PER_FILE",
     "ReconSpec",
+    "RowRule",
+    "UniqueRule",
 ]
 
 PARTITION_COLUMN = "event_creation_time"
@@ -89,6 +92,41 @@ class DQRule:
             raise ValueError(f"rule {self.name} names no fields to keep")
 
 
+@dataclass(frozen=True)
+class RowRule:
+    """Rows of ``table`` for which the SQL expression ``violated`` is true; ``fields`` of them are reported."""
+
+    name: str
+    table: str
+    violated: str
+    fields: Sequence[str]
+
+
+@dataclass(frozen=True)
+class OrphanRule:
+    """Rows of ``table`` whose ``keys`` are not among ``parent_keys`` of ``parent``; a null in a key has no parent."""
+
+    name: str
+    table: str
+    keys: Sequence[str]
+    parent: str
+    parent_keys: Sequence[str]
+    fields: Sequence[str]
+
+    def __post_init__(self):
+        if len(self.keys) != len(self.parent_keys):
+            raise ValueError(f"rule {self.name}: keys and parent_keys must pair up")
+
+
+@dataclass(frozen=True)
+class UniqueRule:
+    """``keys`` that more than one row of ``table`` has, reported with their number ``n``; nulls are equal."""
+
+    name: str
+    table: str
+    keys: Sequence[str]
+
+
 @dataclass(frozen=True)
 class CompactionSpec:
     """How a dated directory is rewritten into fewer files.

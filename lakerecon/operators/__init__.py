@@ -7,7 +7,7 @@ from .drift import SchemaRegistry, latest_schema, payload_schema, schema_diff
 from .hotkeys import HotKeys, find_hot_keys, join_to_unique
 from .latest import latest_per_key
 from .layout import cap_partitions, compaction_plan, grow_partitions, pending_partitions
-from .quality import append_failures, rule_summary, run_rules
+from .quality import append_failures, rule_summary, run_fused, run_rules
 from .stats import counted, distinct_keys, landing_stats, row_count
 
 __all__ = [
@@ -47,6 +47,7 @@ __all__ = [
     "rekey_calendar_paths",
     "row_count",
     "rule_summary",
+    "run_fused",
     "run_rules",
     "schema_diff",
 ]

@@ -10,7 +10,10 @@ from lakerecon import (
     AuditStamp,
     CountReconSpec,
     DQRule,
+    OrphanRule,
     ReconSpec,
+    RowRule,
+    UniqueRule,
     align_names,
     align_types,
     append_audit,
@@ -33,6 +36,7 @@ from lakerecon import (
     row_recon,
     rule_summary,
     run_count_controls,
+    run_fused,
     run_rules,
     shared_dir,
     tag,
@@ -426,6 +430,31 @@ def dq_failures(spark, sf):
     return _failures(spark, sf)
 
 
+FUSED = [
+    OrphanRule("order_without_lines", "orders", ["o_orderkey"], "lineitem", ["l_orderkey"], ["o_orderkey", "o_custkey"]),
+    OrphanRule("order_without_customer", "orders", ["o_custkey"], "customer", ["c_custkey"], ["o_orderkey"]),
+    RowRule("negative_balance", "customer", "c_acctbal < 0", ["c_custkey", "c_name"]),
+    UniqueRule("duplicate_line", "lineitem", ["l_orderkey", "l_linenumber"]),
+]
+
+
+@query(_FAILURES + """
+, g AS (
+  SELECT * FROM f
+  UNION ALL SELECT 'cheap_order', json_object('o_orderkey', o_orderkey) FROM orders WHERE o_totalprice < 2000
+  UNION ALL SELECT 'open_order', json_object('o_orderkey', o_orderkey, 'o_orderstatus', o_orderstatus) FROM orders WHERE o_orderstatus = 'O' AND o_totalprice < 5000)
+SELECT rule_name, CAST(record AS VARCHAR) AS record, '2024-01-15T17:00:00.123456Z' AS job_run_time,
+       '2024-01-15T12:00:00.123456Z' AS job_run_time_est, 'r1' AS run_id FROM g
+""")
+def dq_fused(spark, sf):
+    """The rules of ``dq_failures`` and two more on orders, which are read once for four rules."""
+    more = [
+        RowRule("cheap_order", "orders", "o_totalprice < 2000", ["o_orderkey"]),
+        RowRule("open_order", "orders", "o_orderstatus = 'O' AND o_totalprice < 5000", ["o_orderkey", "o_orderstatus"]),
+    ]
+    return run_fused(FUSED + more, {n: table(spark, sf, n) for n in ("orders", "lineitem", "customer")}, STAMP)
+
+
 @query(_FAILURES + """
 SELECT r.rule_name, count(f.rule_name) AS failed_rows, CASE WHEN count(f.rule_name) > 0 THEN 'failed' ELSE 'passed' END AS status
 FROM (VALUES ('order_without_lines'), ('order_without_customer'), ('negative_balance'), ('duplicate_line')) r(rule_name)
