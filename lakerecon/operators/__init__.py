@@ -7,11 +7,13 @@ from .drift import SchemaRegistry, latest_schema, payload_schema, schema_diff
 from .hotkeys import HotKeys, find_hot_keys, join_to_unique
 from .latest import latest_per_key
 from .layout import cap_partitions, compaction_plan, grow_partitions, pending_partitions
+from .packing import PackedResult, compact_packed, pack_files
 from .quality import append_failures, rule_summary, run_fused, run_rules
 from .stats import counted, distinct_keys, landing_stats, row_count
 
 __all__ = [
     "DigestRecon",
+    "PackedResult",
     "bitmap_cost",
     "count_keys",
     "key_bitmaps",
@@ -26,6 +28,7 @@ __all__ = [
     "column_diff",
     "compact",
     "compact_calendar",
+    "compact_packed",
     "compaction_plan",
     "compare_rows",
     "count_recon",
@@ -41,6 +44,7 @@ __all__ = [
     "latest_schema",
     "missing_records",
     "payload_schema",
+    "pack_files",
     "pending_partitions",
     "recon_alerts",
     "recon_summary",

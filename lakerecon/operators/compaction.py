@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable, Iterable, Iterator, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass
 from datetime import date, timedelta
 from functools import reduce
@@ -48,12 +49,15 @@ class PartitionPlan:
 
 @dataclass(frozen=True)
 class CompactionResult:
+    """``files`` are there after the run, by a listing of the target; ``planned`` were wanted."""
+
     partitions: tuple[date, ...]
     rows: int
     files: int
+    planned: int = 0
 
 
-NOTHING = CompactionResult((), 0, 0)
+NOTHING = CompactionResult((), 0, 0, 0)
 
 
 def _distinct_roots(source: str, target: str) -> None:
@@ -136,11 +140,27 @@ def spread_over_files(df: DataFrame, plan: Sequence[PartitionPlan], partition: s
     return numbered.select(*df.columns, task).repartitionById(offset, F.col("_task")).drop("_task")
 
 
+@contextmanager
+def own_tasks(spark: SparkSession) -> Iterator[None]:
+    """Scans that are put together keep their tasks; Spark 4.1 and later would run scans of one task each in a single task."""
+    name = "spark.sql.unionOutputPartitioning"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "false")
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
 Reader = Callable[[Sequence[date], StructType | str | None], DataFrame]
 
 
 def _rewrite(
-    read: Reader, sizes: Callable[[Sequence[date]], DataFrame], values: Sequence[date], target: str, spec: CompactionSpec
+    read: Reader,
+    sizes: Callable[[Sequence[date]], DataFrame],
+    values: Sequence[date],
+    target: str,
+    spec: CompactionSpec,
 ) -> CompactionResult:
     """Count per partition, then write the partitions, each of them once and whole.
 
@@ -161,15 +181,19 @@ def _rewrite(
         written += seen.get["rows"]
 
     for job in _jobs([p for p in plan if p.whole], MAX_SCANS):
-        write(reduce(DataFrame.unionAll, [read([p.value], schema).coalesce(p.files) for p in job]))
+        with own_tasks(df.sparkSession):
+            write(reduce(DataFrame.unionAll, [read([p.value], schema).coalesce(p.files) for p in job]))
     for job in _jobs([p for p in plan if not p.whole], MAX_BROADCAST_PARTITIONS):
         files = sum(p.files for p in job)
         per_task, limit = math.ceil(files / MAX_TASKS), {}
-        if per_task > 1 and job[0].rows is not None:
+        if per_task > 1:
             # Only a partition with more files than a job has tasks gets here, and it is alone.
-            limit["maxRecordsPerFile"] = str(math.ceil(job[0].rows / files))
+            rows = job[0].rows or read([job[0].value], schema).count()
+            limit["maxRecordsPerFile"] = str(max(1, math.ceil(rows / files)))
         write(spread_over_files(read([p.value for p in job], schema), job, spec.partition, per_task), **limit)
-    return CompactionResult(tuple(p.value for p in plan), written, sum(p.files for p in plan))
+    there = list_partitions(df.sparkSession, target, spec.partition, values)
+    files = there.agg(F.coalesce(F.sum("files"), F.lit(0))).first()[0]
+    return CompactionResult(tuple(p.value for p in plan), written, files, sum(p.files for p in plan))
 
 
 def compact(
@@ -233,11 +257,11 @@ def _compact_full(spark: SparkSession, source: str, target: str, spec: Compactio
     fmt = spec.target_format or spec.source_format
     options = {**(MICROSECONDS if fmt in ("json", "csv") else {}), **spec.write_options}
     tasks = min(files, MAX_TASKS)
-    if tasks < files and rows is not None:
-        options["maxRecordsPerFile"] = str(math.ceil(rows / files))
+    if tasks < files:
+        options["maxRecordsPerFile"] = str(max(1, math.ceil((df.count() if rows is None else rows) / files)))
     sized, seen = counted(df.coalesce(tasks) if whole else df.repartition(tasks))
     sized.drop(*spec.drop).write.mode("overwrite").options(**options).format(fmt).save(target)
-    return CompactionResult((), seen.get["rows"], files)
+    return CompactionResult((), seen.get["rows"], list_files(spark, target).count(), files)
 
 
 def rekey_calendar_paths(

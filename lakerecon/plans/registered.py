@@ -63,5 +63,7 @@ def compact_registered(
     for schema, members in observed_schemas(spark, source, spec, days) if days else []:
         reader = registry.reader_schema(feed, schema, at)
         part = compact(spark, source, target, replace(spec, schema=reader), partitions=members)
-        done = CompactionResult(done.partitions + part.partitions, done.rows + part.rows, done.files + part.files)
+        done = CompactionResult(
+            done.partitions + part.partitions, done.rows + part.rows, done.files + part.files, done.planned + part.planned
+        )
     return done

@@ -1,0 +1,101 @@
+"""Bins of whole files, and compaction by them."""
+
+import glob
+import os
+import random
+from datetime import date
+
+import pytest
+from pyspark.sql import functions as F
+
+from lakerecon import PARTITION_COLUMN, CompactionSpec, compact, compact_packed, pack_files
+from lakerecon.operators import compaction, packing
+
+
+def test_bins_are_balanced():
+    rng = random.Random(1)
+    for _ in range(200):
+        lengths = [rng.choice((1, 5, rng.randrange(1, 1000))) for _ in range(rng.randrange(1, 60))]
+        bins = rng.randrange(1, len(lengths) + 1)
+        found = packing.pack(lengths, bins)
+        loads = [sum(n for n, b in zip(lengths, found) if b == k) for k in range(bins)]
+        assert max(loads) - min(loads) <= max(lengths) and min(loads) > 0 and len(found) == len(lengths)
+    assert packing.pack([9, 1, 1, 1, 9], 3) == [0, 2, 2, 2, 1] and packing.pack([], 2) == []
+
+
+def test_packing_does_not_depend_on_the_order_of_the_listing(spark):
+    rng = random.Random(2)
+    files = [(f"/p/{i:03}", rng.randrange(1, 100), date(2024, 1, 1 + i % 3), 2 + i % 3) for i in range(90)]
+    schema = "path string, length long, day date, bins int"
+    one = pack_files(spark.createDataFrame(files, schema).repartition(7), "day").collect()
+    two = pack_files(spark.createDataFrame(files[::-1], schema).coalesce(1), "day").collect()
+    assert sorted(one) == sorted(two) and {(r.day, r.bin) for r in one} == {(date(2024, 1, 1 + d), b) for d in range(3) for b in range(2 + d)}
+
+
+@pytest.fixture(scope="module")
+def raw(spark, tmp_path_factory):
+    """Days of 12, 1 and 3 files, one of them large; an empty file; a directory that is no day."""
+    root = str(tmp_path_factory.mktemp("raw"))
+    for day, parts, rows in (("2024-01-01", 12, 600), ("2024-01-02", 1, 3), ("2024-01-03", 3, 100)):
+        spark.range(rows).withColumn("v", F.repeat(F.lit("x"), (F.col("id") % 7).cast("int"))).repartition(parts).write.json(f"{root}/{PARTITION_COLUMN}={day}")
+    spark.range(5000).withColumn("v", F.lit("large")).coalesce(1).write.mode("append").json(f"{root}/{PARTITION_COLUMN}=2024-01-01")
+    open(f"{root}/{PARTITION_COLUMN}=2024-01-02/part-empty.json", "w").close()
+    spark.range(2).write.json(f"{root}/{PARTITION_COLUMN}=unknown")
+    return root
+
+
+def files_of(root):
+    return sorted(os.path.basename(os.path.dirname(f))[-10:] for f in glob.glob(f"{root}/{PARTITION_COLUMN}=*/part-*"))
+
+
+def rows_of(spark, root, fmt="json"):
+    df = spark.read.format(fmt).schema(f"id long, v string, {PARTITION_COLUMN} date").option("basePath", root).load(f"{root}/{PARTITION_COLUMN}=2024-*")
+    return sorted(map(str, df.collect()))
+
+
+@pytest.mark.parametrize("scans", [64, 2])
+@pytest.mark.parametrize("fmt", ["json", "parquet"])
+def test_every_bin_is_one_file(spark, raw, folder, monkeypatch, scans, fmt):
+    monkeypatch.setattr(packing, "MAX_SCANS", scans)
+    spec = CompactionSpec(schema="id long, v string", target_format=fmt, rows_per_file=1400)
+    done = compact_packed(spark, raw, folder, spec)
+    assert [(str(p.value), p.planned, p.written) for p in done.partitions] == [("2024-01-01", 4, 4), ("2024-01-02", 1, 1), ("2024-01-03", 1, 1)]
+    assert done.files == len(files_of(folder)) == 6 and done.rows == 5703
+    assert all(p.largest_bin - p.smallest_bin <= p.largest_input for p in done.partitions)
+    assert rows_of(spark, folder, fmt) == rows_of(spark, raw)
+    assert compact_packed(spark, raw, folder, spec).partitions == done.partitions[1:]
+    assert rows_of(spark, folder, fmt) == rows_of(spark, raw)
+
+
+def test_bins_by_bytes_and_without_a_schema(spark, raw, folder):
+    done = compact_packed(spark, raw, folder, CompactionSpec(bytes_per_file=20_000, drop=["v"]), [date(2024, 1, 1), date(2031, 1, 1)])
+    (part,) = done.partitions
+    assert part.planned == part.written > 3 and set(files_of(folder)) == {"2024-01-01"}
+    assert spark.read.json(folder).columns == ["id", PARTITION_COLUMN]
+    assert compact_packed(spark, raw, folder, CompactionSpec(), []).files == compact_packed(spark, f"{folder}/no", f"{folder}/out").files == 0
+    with pytest.raises(ValueError):
+        compact_packed(spark, raw, raw)
+
+
+def test_no_row_is_shuffled(spark, raw, folder, monkeypatch):
+    plans = []
+    write = packing.write_history
+
+    def seen(df, *args, **options):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        write(df, *args, **options)
+
+    monkeypatch.setattr(packing, "write_history", seen)
+    compact_packed(spark, raw, folder, CompactionSpec(schema="id long, v string", rows_per_file=1400))
+    assert len(plans) == 1 and "Exchange" not in plans[0] and plans[0].count("Coalesce 1") == 6
+
+
+@pytest.mark.parametrize("plan", [{"rows_per_file": 100}, {"tiers": ((200, 3), (None, 9))}, {"bytes_per_file": 10_000}])
+def test_files_reported_are_files_written(spark, raw, folder, monkeypatch, plan):
+    """Also where a partition has more files than a job may have tasks."""
+    monkeypatch.setattr(compaction, "MAX_TASKS", 5)
+    for name, extra in (("spread", {"shuffle": True}), ("full", {"mode": "full", "shuffle": True})):
+        spec = CompactionSpec(schema="id long, v string", **plan, **extra)
+        done = compact(spark, f"{raw}/{PARTITION_COLUMN}=2024-01-01" if name == "full" else raw, f"{folder}/{name}", spec)
+        there = len(glob.glob(f"{folder}/{name}/**/part-*", recursive=True))
+        assert done.files == there and done.planned <= there <= done.planned * 1.2 + 1

@@ -15,6 +15,7 @@ from lakerecon import (
     catalog_view,
     compact,
     compact_calendar,
+    compact_packed,
     compact_registered,
     compaction_plan,
     grow_partitions,
@@ -141,6 +142,47 @@ def compact_registered_feed(spark, sf):
     return out.withColumn(PARTITION_COLUMN, F.col(PARTITION_COLUMN).cast("string"))
 
 
+_PER_DAY = "SELECT count(*) AS n FROM events GROUP BY CAST(ts AS DATE)"
+
+
+@query(f"""
+SELECT 'rows' AS plan, CAST(sum(ceil(n / 100)) AS BIGINT) AS planned, true AS as_planned, CAST(sum(n) AS BIGINT) AS rows FROM ({_PER_DAY})
+UNION ALL
+SELECT 'tiers', CAST(sum(CASE WHEN n <= 100 THEN 2 WHEN n <= 200 THEN 4 ELSE 6 END) AS BIGINT), true, CAST(sum(n) AS BIGINT) FROM ({_PER_DAY})
+UNION ALL
+SELECT 'bytes', 0, true, CAST(sum(n) AS BIGINT) FROM ({_PER_DAY})
+""")
+def compact_files(spark, sf):
+    """Files planned by rows, by tiers and by bytes, against the files that a listing finds afterwards."""
+    plans = {
+        "rows": {"rows_per_file": 100},
+        "tiers": {"tiers": ((100, 2), (200, 4), (None, 6))},
+        "bytes": {"bytes_per_file": 20_000},
+    }
+    told = []
+    for name, plan in plans.items():
+        out = shared_dir(spark, f"files-{name}")
+        done = compact(spark, landing.raw_events(spark, sf), out, CompactionSpec(schema=landing.EVENT_SCHEMA, shuffle=True, **plan))
+        there = list_partitions(spark, out).agg(F.sum("files")).first()[0]
+        told.append((name, 0 if name == "bytes" else done.planned, done.planned == done.files == there, done.rows))
+    return spark.createDataFrame(told, "plan string, planned bigint, as_planned boolean, rows bigint")
+
+
+@query(f"""
+SELECT strftime(day, '%Y-%m-%d') AS {PARTITION_COLUMN}, CASE WHEN n <= 150 THEN 2 ELSE 4 END AS planned, CASE WHEN n <= 150 THEN 2 ELSE 4 END AS written,
+       n AS rows, true AS balanced
+FROM (SELECT CAST(ts AS DATE) AS day, count(*) AS n FROM events GROUP BY 1)
+""", name="compact_packed")
+def compact_packed_days(spark, sf):
+    """Ten small files a day, put together whole: files per day as planned, no two bins further apart than the largest file."""
+    raw, out = shared_dir(spark, "small"), shared_dir(spark, "packed")
+    write_raw(landing.dated(spark, sf).repartition(10), raw, [PARTITION_COLUMN])
+    done = compact_packed(spark, raw, out, CompactionSpec(schema=landing.EVENT_SCHEMA, tiers=((150, 2), (None, 4))))
+    told = [(str(p.value), p.planned, p.written, p.largest_bin - p.smallest_bin <= p.largest_input) for p in done.partitions]
+    told = spark.createDataFrame(told, f"{PARTITION_COLUMN} string, planned int, written int, balanced boolean")
+    return told.join(read_dated(spark, out).groupBy(PARTITION_COLUMN).agg(F.count("*").alias("rows")), PARTITION_COLUMN)
+
+
 @query(_EVENTS.replace(", props", ""))
 def compact_full(spark, sf):
     out = shared_dir(spark, "full")
