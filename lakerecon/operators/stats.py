@@ -8,14 +8,18 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 
+def group_names(columns: Sequence[str]) -> list[str]:
+    """A nested column is named by its last part, or by its whole path with underscores where two end alike."""
+    names = [c.split(".")[-1] for c in columns]
+    return [c.replace(".", "_") if names.count(n) > 1 else n for c, n in zip(columns, names)]
+
+
 def landing_stats(df: DataFrame, columns: Sequence[str], total: bool = False) -> DataFrame:
     """Rows per group of (possibly nested) columns; ``total`` adds one grand-total row.
 
-    A nested column is named by its last part, or by its whole path with underscores where two end alike.
-    The total is taken from the group counts, not from the rows, so the rows are not doubled.
+    Columns are named as ``group_names`` says. The total is taken from the group counts, not from the rows, so the rows are not doubled.
     """
-    names = [c.split(".")[-1] for c in columns]
-    names = [c.replace(".", "_") if names.count(n) > 1 else n for c, n in zip(columns, names)]
+    names = group_names(columns)
     grouped = df.groupBy(*[F.col(c).alias(n) for c, n in zip(columns, names)]).agg(F.count("*").alias("rows"))
     if not total:
         return grouped

@@ -5,12 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import DateType, StructField, StructType
 
-from ..functions.schemas import as_struct
 from ..model import CompactionSpec
 from ..operators.compaction import compact, due_partitions
 
+# The columns of Spark's binaryFile source, of which a stream must be told.
+_FILES = "path string, modificationTime timestamp, length long, content binary"
+
 
 def compact_stream(
     spark: SparkSession,
@@ -22,17 +23,16 @@ def compact_stream(
 ) -> StreamingQuery:
     """Rewrite, from the full source, every partition that received files since the last run.
 
-    Late files are handled whatever their age. A repeated batch rewrites the same partitions.
+    Late files are handled whatever their age. A repeated batch rewrites the same partitions. The stream is one of file
+    names: which dates are touched is seen from the paths, and files are read by the compaction alone.
     """
     if spec.schema is None:
         raise ValueError("a stream needs a declared schema")
-    schema = as_struct(spec.schema)
-    if spec.partition not in schema.names:
-        schema = StructType([*schema.fields, StructField(spec.partition, DateType())])
-    reader = spark.readStream.format(spec.source_format).schema(schema)
+    reader = spark.readStream.format("binaryFile").schema(_FILES)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    arrived = reader.load(source).select(spec.partition)
+    value = F.regexp_extract("path", rf"/{spec.partition}=([^/]+)/", 1)
+    arrived = reader.load(source).select(F.nullif(value, F.lit("")).try_cast("date").alias(spec.partition))
 
     def rewrite(batch: DataFrame, number: int) -> None:
         days = due_partitions(batch.filter(F.col(spec.partition).isNotNull()), spec.partition)
