@@ -1,7 +1,7 @@
 from .bitmaps import bitmap_cost, count_keys, key_bitmaps, merge_bitmaps, missing_keys, missing_records_bitmap
 from .compaction import compact, compact_calendar, rekey_calendar_paths
 from .compare import column_diff, compare_rows, diff_text, missing_records, recon_summary
-from .counts import count_recon, failed_groups, recon_alerts
+from .counts import count_recon, drill_counts, failed_groups, recon_alerts
 from .digest import DigestRecon, recon_by_digest
 from .drift import SchemaRegistry, latest_schema, payload_schema, schema_diff
 from .hotkeys import HotKeys, find_hot_keys, join_to_unique
@@ -35,6 +35,7 @@ __all__ = [
     "counted",
     "diff_text",
     "distinct_keys",
+    "drill_counts",
     "failed_groups",
     "find_hot_keys",
     "grow_partitions",

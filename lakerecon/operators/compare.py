@@ -148,18 +148,30 @@ def diff_text(
     )
 
 
+#: A boolean column beside the keys: the key did not fit the target's type, so the row is a record of its own.
+STRAY = "_stray"
+
+
+def records_and_rows(source: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One row: how many records, and how many rows ``latest_per_key`` makes of them.
+
+    Both come from one count per key, which combines before the shuffle. Rows marked STRAY count one by one.
+    """
+    by = [*keys, STRAY] if STRAY in source.columns else list(keys)
+    per_key = source.groupBy(*by).agg(F.count("*").alias("n"))
+    rows = F.sum(F.when(F.col(STRAY), F.col("n")).otherwise(1)) if STRAY in source.columns else F.count("*")
+    zero = F.lit(0).cast("long")
+    return per_key.agg(F.coalesce(F.sum("n"), zero).alias("source_record_count"), F.coalesce(rows, zero).alias("source_row_count"))
+
+
 def recon_summary(
     compared: DataFrame, source: DataFrame, keys: Sequence[str], table: str, source_columns: int, target_columns: int
 ) -> DataFrame:
     """One row: how many rows and columns each side has, and how many rows are missing or differ.
 
-    ``source`` is the source before ``latest_per_key``; its records and distinct keys come from one
-    count per key, which combines before the shuffle.
+    ``source`` is the source before ``latest_per_key``, see ``records_and_rows``.
     """
-    per_key = source.groupBy(*keys).agg(F.count("*").alias("n"))
-    left = per_key.agg(
-        F.coalesce(F.sum("n"), F.lit(0)).alias("source_record_count"), F.count("*").alias("source_row_count")
-    )
+    left = records_and_rows(source, keys)
     right = compared.agg(
         F.count_if(F.col("present_in") != "source").alias("target_row_count"),
         F.count_if(F.col("present_in") == "source").alias("missing_record_count"),

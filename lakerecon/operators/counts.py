@@ -2,20 +2,26 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType
 
 from ..functions.schemas import wall_clock
 from ..functions.times import eastern_text
 from ..model import AuditStamp
+from ..session import materialise
 
 # The two results of a control.
 SUCCESS = "success"
 FAILURE = "Failure"
 
+#: Groups up to which those to be opened are broadcast, and values up to which the scan is told of the first column's.
+MAX_OPEN = 100_000
+MAX_PUSHED = 1_000
+
 
 def count_recon(
     left: DataFrame,
@@ -53,6 +59,71 @@ def count_recon(
     )
 
 
+def drill_counts(left: DataFrame, right: DataFrame, columns: Sequence[str], control: str, table: str) -> DataFrame:
+    """Counts of rows from the total down to groups of all ``columns``, opening only those groups that differ.
+
+    ``columns`` go from coarse to fine. The total and all groups of the first column are counted; a group whose counts differ is
+    counted by the next column, the others are not looked at again. So with a directory's value as the first column, later levels read only directories that
+    differ, and no level shuffles more than partial counts. Groups that differ by as many rows to either side cancel out
+    above: counts of a level prove nothing about the levels below where they agree. Nulls form a group like others.
+
+    One row per group looked at: ``level`` (0 for the total), the columns (null below the level), both counts (0 where a side
+    has no such group), ``differences``, ``run_status`` and ``present_in``.
+    """
+    levels, opened = [], None
+    for depth in range(len(columns) + 1):
+        keys = list(columns[:depth])
+        sides = [_opened(side, opened, keys[:-1]).groupBy(*keys).agg(F.count("*").alias("n")) for side in (left, right)]
+        below = {c: left.schema[c].dataType for c in columns[depth:]}
+        level = materialise(_level(*sides, keys, below, control, table), "drill")
+        levels.append(level)
+        opened = failed_groups(level).select(*keys)
+        if keys and opened.isEmpty():
+            break
+    return reduce(DataFrame.unionByName, levels)
+
+
+def _same(keys: Sequence[str], other: str) -> Column:
+    return reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"{other}{k}")) for k in keys], F.lit(True))
+
+
+def _opened(df: DataFrame, groups: DataFrame | None, keys: Sequence[str]) -> DataFrame:
+    """The rows of ``groups``; a plain filter for the scan too where the first column has few values."""
+    if groups is None or not keys:
+        return df
+    first = [r[0] for r in groups.select(keys[0]).distinct().limit(MAX_PUSHED + 1).collect()]
+    if len(first) <= MAX_PUSHED:
+        wanted = F.col(keys[0]).isin([v for v in first if v is not None])
+        df = df.filter(wanted | F.col(keys[0]).isNull() if None in first else wanted)
+        if len(keys) == 1:
+            return df
+    groups = groups.select(*(F.col(k).alias(f"_open_{k}") for k in keys))
+    few = groups.limit(MAX_OPEN + 1).count() <= MAX_OPEN
+    return df.join(F.broadcast(groups) if few else groups, _same(keys, "_open_"), "left_semi")
+
+
+def _level(left: DataFrame, right: DataFrame, keys: Sequence[str], below: Mapping[str, DataType], control: str, table: str) -> DataFrame:
+    other = right.select(*(F.col(k).alias(f"_r_{k}") for k in keys), F.col("n").alias("_r_n"))
+    if keys:
+        both = left.join(other, _same(keys, "_r_"), "full_outer")
+    else:
+        both = left.crossJoin(other)  # one row each
+    a, b = F.coalesce("n", F.lit(0)), F.coalesce("_r_n", F.lit(0))
+    mine, theirs = F.col("n") > 0, F.col("_r_n") > 0
+    return both.select(
+        F.lit(len(keys)).alias("level"),
+        *(F.when(F.col("n").isNotNull(), F.col(k)).otherwise(F.col(f"_r_{k}")).alias(k) for k in keys),
+        *(F.lit(None).cast(kind).alias(c) for c, kind in below.items()),
+        a.alias("left_count"),
+        b.alias("right_count"),
+        (a - b).alias("differences"),
+        F.when(a == b, SUCCESS).otherwise(FAILURE).alias("run_status"),
+        F.when(mine & theirs, "both").when(mine, "left").when(theirs, "right").otherwise("neither").alias("present_in"),
+        F.lit(control).alias("ctrl_name"),
+        F.lit(table).alias("table_name"),
+    )
+
+
 def _join_on_shared(left: DataFrame, right: DataFrame, key: str, null_safe: bool) -> DataFrame:
     if not null_safe:
         return left.join(right, key, "full_outer")

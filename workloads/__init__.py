@@ -1,4 +1,4 @@
-from . import layout, movement, state, streams, verification  # noqa: F401
+from . import layout, movement, recon_runs, state, streams, verification  # noqa: F401
 from .registry import oracles, registered
 
 __all__ = ["oracles", "registered"]
