@@ -9,10 +9,14 @@ from .align import (
     timestamps_as_text,
     within_window,
 )
+from .lattice import Join, join_types, reader_lattice
 from .payload import extract_keys, flatten_payload, rows_as_json, split_payload, unbox
 from .times import eastern_text, eastern_time, recon_dates, recon_window
 
 __all__ = [
+    "Join",
+    "join_types",
+    "reader_lattice",
     "align_names",
     "align_types",
     "as_local_timestamp",

@@ -3,7 +3,7 @@ from .compaction import compact, compact_calendar, rekey_calendar_paths
 from .compare import column_diff, compare_rows, diff_text, missing_records, recon_summary
 from .counts import count_recon, drill_counts, failed_groups, recon_alerts
 from .digest import DigestRecon, recon_by_digest
-from .drift import SchemaRegistry, latest_schema, payload_schema, schema_diff
+from .drift import SchemaRegistry, latest_schema, payload_schema, schema_diff, schemas_by_partition
 from .hotkeys import HotKeys, find_hot_keys, join_to_unique
 from .latest import latest_per_key
 from .layout import cap_partitions, compaction_plan, grow_partitions, pending_partitions
@@ -55,4 +55,5 @@ __all__ = [
     "run_fused",
     "run_rules",
     "schema_diff",
+    "schemas_by_partition",
 ]

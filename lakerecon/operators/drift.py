@@ -62,6 +62,15 @@ def payload_schema(df: DataFrame, column: str) -> StructType:
     return StructType.fromDDL(f"payload {found.replace('OBJECT<', 'STRUCT<')}")["payload"].dataType
 
 
+def schemas_by_partition(lines: DataFrame, column: str, by: str) -> DataFrame:
+    """``by`` and ``schema``, the DDL that covers the JSON objects in a text column, found for all partitions in one pass.
+
+    Text that is not a JSON object does not contribute; partitions without one are left out.
+    """
+    found = lines.groupBy(by).agg(F.schema_of_variant_agg(F.try_parse_json(column)).alias("s"))
+    return found.filter(F.startswith("s", F.lit("OBJECT<"))).select(by, F.regexp_replace("s", "OBJECT<", "STRUCT<").alias("schema"))
+
+
 class SchemaRegistry:
     """Versions of each feed's schema, in an append-only Parquet table.
 
@@ -93,6 +102,11 @@ class SchemaRegistry:
     def versions(self, feed: str) -> DataFrame:
         return self.spark.read.schema(self.COLUMNS).parquet(self.path).filter(F.col("feed") == feed)
 
+    def observed(self, feed: str) -> list[StructType]:
+        """All versions that were observed, oldest first."""
+        rows = self.versions(feed).filter(F.col("kind") == self.OBSERVED).orderBy("version").collect()
+        return [StructType.fromJson(json.loads(r["schema"])) for r in rows]
+
     def save(self, feed: str, kind: str, schema: StructType, at: datetime) -> int:
         row = self._latest(feed, kind)
         version = row["version"] + 1 if row else 1

@@ -1,7 +1,7 @@
 from .batch import run_batch, run_sql_step
 from .ingest import IngestResult, ingest_history
 from .load import load_frame, load_history
-from .registered import compact_registered
+from .registered import compact_evolved, compact_registered
 from .reconcile import (
     PublishedRecon,
     ReconRun,
@@ -23,6 +23,7 @@ __all__ = [
     "ReconRun",
     "publish_count_control",
     "recon_run",
+    "compact_evolved",
     "compact_registered",
     "publish_recon",
     "IngestResult",

@@ -8,11 +8,13 @@ from dataclasses import replace
 from datetime import date, datetime
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from ..functions.lattice import reader_lattice
 from ..model import CompactionSpec
 from ..operators.compaction import NOTHING, CompactionResult, compact
-from ..operators.drift import SchemaRegistry
+from ..operators.drift import SchemaRegistry, schemas_by_partition
 from ..operators.layout import pending_partitions
 from ..sources.files import MERGEABLE, read_partitions
 from ..sources.listing import list_partitions
@@ -67,3 +69,33 @@ def compact_registered(
             done.partitions + part.partitions, done.rows + part.rows, done.files + part.files, done.planned + part.planned
         )
     return done
+
+
+def compact_evolved(
+    spark: SparkSession,
+    source: str,
+    target: str,
+    registry: SchemaRegistry,
+    feed: str,
+    at: datetime,
+    spec: CompactionSpec = CompactionSpec(),
+) -> tuple[CompactionResult, tuple[str, ...]]:
+    """Compact JSON partitions that are due, all of them by the least schema that reads every version of the feed.
+
+    The schemas of all due partitions are observed in one pass and registered where they are new; those of earlier runs are
+    taken in. So a column that was a whole number, then a fraction, then text, is read as text throughout, and none is lost.
+    Partitions written by earlier runs keep the narrower types they were written with. Also gives the paths at which
+    versions conflict: their values are kept as JSON text.
+    """
+    if spec.source_format != "json":
+        raise ValueError("files of other formats state their own schema, see compact_registered")
+    due = pending_partitions(list_partitions(spark, source, spec.partition), list_partitions(spark, target, spec.partition), spec.strategy, spec.partition)
+    days = sorted(r[0] for r in due.select(spec.partition).collect())
+    if not days:
+        return NOTHING, ()
+    lines = read_partitions(spark, source, days, "text", "value STRING", spec.partition)
+    seen = schemas_by_partition(lines, "value", spec.partition).groupBy("schema").agg(F.min(spec.partition).alias("first"))
+    for row in seen.orderBy("first", "schema").collect():
+        registry.reader_schema(feed, StructType.fromDDL(f"payload {row['schema']}")["payload"].dataType, at)
+    joined = reader_lattice(registry.observed(feed))
+    return compact(spark, source, target, replace(spec, schema=joined.type), partitions=days), joined.conflicts

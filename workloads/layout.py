@@ -15,6 +15,7 @@ from lakerecon import (
     catalog_view,
     compact,
     compact_calendar,
+    compact_evolved,
     compact_packed,
     compact_registered,
     compaction_plan,
@@ -142,6 +143,30 @@ def compact_registered_feed(spark, sf):
     return out.withColumn(PARTITION_COLUMN, F.col(PARTITION_COLUMN).cast("string"))
 
 
+@query(f"""
+SELECT event_id, CASE day % 4 WHEN 0 THEN CAST(k AS VARCHAR) WHEN 1 THEN k || '.5' WHEN 2 THEN 'x' || k ELSE '{{"inner":' || k || '}}' END AS k,
+       CASE WHEN day % 4 < 2 THEN CAST(k AS DOUBLE) + CASE WHEN day % 4 = 1 THEN 0.25 ELSE 0 END END AS n_a,
+       CASE WHEN day % 4 = 3 THEN CAST(k AS VARCHAR) END AS n_b, strftime(ts, '%Y-%m-%d') AS {PARTITION_COLUMN}, 'k' AS conflicts
+FROM (SELECT event_id, ts, event_id % 10 AS k, day(ts) AS day FROM events)
+""")
+def schema_lattice(spark, sf):
+    """Days in which one column is a whole number, a fraction, text or an object: one reader schema, found in one pass."""
+    root = shared_dir(spark, "lattice")
+    day, k = F.dayofmonth("ts") % 4, F.col("event_id") % 10
+    events = landing.dated(spark, sf)
+    kinds = [k, k + 0.5, F.concat(F.lit("x"), k.cast("string")), F.struct(k.alias("inner"))]
+    nested = [F.struct(k.alias("a")), F.struct((k + 0.25).alias("a")), F.lit(None).cast("struct<a int>"), F.struct(k.alias("b"))]
+    for rest, (kind, inner) in enumerate(zip(kinds, nested)):
+        part = events.filter(day == rest).select("event_id", kind.alias("k"), inner.alias("n"), PARTITION_COLUMN)
+        write_raw(part, f"{root}/in", [PARTITION_COLUMN])
+    registry = SchemaRegistry(spark, f"{root}/schemas")
+    _, conflicts = compact_evolved(spark, f"{root}/in", f"{root}/out", registry, "events", pairs.AS_OF)
+    schema = f"event_id BIGINT, k STRING, n STRUCT<a: DOUBLE, b: STRING>, {PARTITION_COLUMN} DATE"
+    out = read_events(spark, f"{root}/out", schema=schema)
+    return out.select("event_id", "k", F.col("n.a").alias("n_a"), F.col("n.b").alias("n_b"), F.col(PARTITION_COLUMN).cast("string").alias(PARTITION_COLUMN),
+                      F.lit(",".join(conflicts)).alias("conflicts"))
+
+
 _PER_DAY = "SELECT count(*) AS n FROM events GROUP BY CAST(ts AS DATE)"
 
 
