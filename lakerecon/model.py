@@ -161,7 +161,9 @@ class IngestSpec:
     """Incremental ingest of rows whose payload column is a JSON string.
 
     Each run writes a sub-partition ``batch_column`` of its own, so that a repeated run replaces its
-    files. None appends plainly instead; a repeated run then doubles its rows.
+    files. None appends plainly instead; a repeated run then doubles its rows. ``set_aside_unkeyed`` has runs after the first
+    look through the whole source for rows with a null bookmark key, which no mark covers; without it these rows are not
+    looked for, and a run costs what is new.
     """
 
     job: str
@@ -175,6 +177,7 @@ class IngestSpec:
     min_partitions: int | None = None
     files: int | None = None
     batch_column: str | None = "ingest_batch"
+    set_aside_unkeyed: bool = True
 
 
 @dataclass(frozen=True)

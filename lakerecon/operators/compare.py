@@ -18,6 +18,8 @@ KEY = "_key"
 SOURCE_WORD = "src1"
 TARGET_WORD = "tgt1"
 
+_SIDES = (("_src", "src_value"), ("_tgt", "tgt_value"))
+
 
 def missing_records(
     source: DataFrame, target: DataFrame, keys: Sequence[str], hot: HotKeys | str | None = AUTO, null_safe: bool = False
@@ -95,24 +97,15 @@ def compare_rows(
     )
 
 
+def _entries(columns: Sequence[str], null_safe: bool) -> Column:
+    """The columns in which a paired row differs: an array of name and both values as text."""
+    both = [F.struct(F.lit(c).alias("column_name"), *(F.col(f"{side}.{c}").cast("string").alias(name) for side, name in _SIDES)) for c in columns]
+    return F.array_compact(F.array(*(F.when(_differs(c, null_safe), entry) for c, entry in zip(columns, both, strict=True))))
+
+
 def column_diff(compared: DataFrame, keys: Sequence[str], columns: Sequence[str], null_safe: bool = True) -> DataFrame:
     """One row per differing column of a paired row: keys, column name, both values as text."""
-    entries = [
-        F.when(
-            _differs(c, null_safe),
-            F.struct(
-                F.lit(c).alias("column_name"),
-                F.col(f"_src.{c}").cast("string").alias("src_value"),
-                F.col(f"_tgt.{c}").cast("string").alias("tgt_value"),
-            ),
-        )
-        for c in columns
-    ]
-    return (
-        compared.filter("is_mismatch")
-        .select(*keys, F.explode(F.array_compact(F.array(*entries))).alias("d"))
-        .select(*keys, "d.column_name", "d.src_value", "d.tgt_value")
-    )
+    return compared.filter("is_mismatch").select(*keys, F.inline(_entries(columns, null_safe)))
 
 
 def diff_text(
@@ -123,29 +116,14 @@ def diff_text(
     day: date,
     null_safe: bool = False,
 ) -> DataFrame:
-    """One row per paired row with differences, all of them in a single text."""
-    parts = [
-        F.when(
-            _differs(c, null_safe),
-            F.concat_ws(
-                " ",
-                F.lit(c),
-                F.lit(SOURCE_WORD),
-                F.col(f"_src.{c}").cast("string"),
-                F.lit(TARGET_WORD),
-                F.col(f"_tgt.{c}").cast("string"),
-            ),
-        )
-        for c in columns
-    ]
-    return compared.filter("is_mismatch").select(
-        F.concat_ws(" ", *parts).alias("difference"),
-        *keys,
-        F.lit(table).alias("table_name"),
-        F.lit(",".join(keys)).alias("primary_key"),
-        F.concat_ws(",", *[F.col(k).cast("string") for k in keys]).alias("primary_key_id"),
-        F.lit(str(day)).alias("date"),
+    """The differences of ``column_diff`` with those of a row in a single text, a value that is null left out."""
+    told = F.transform(
+        _entries(columns, null_safe),
+        lambda e: F.concat_ws(" ", e["column_name"], F.lit(SOURCE_WORD), e["src_value"], F.lit(TARGET_WORD), e["tgt_value"]),
     )
+    key_text = F.array_join(F.array(*(F.col(k).cast("string") for k in keys)), ",")
+    named = {"table_name": F.lit(table), "primary_key": F.lit(",".join(keys)), "primary_key_id": key_text, "date": F.lit(str(day))}
+    return compared.filter("is_mismatch").select(F.array_join(told, " ").alias("difference"), *keys, *(c.alias(n) for n, c in named.items()))
 
 
 #: A boolean column beside the keys: the key did not fit the target's type, so the row is a record of its own.

@@ -108,11 +108,7 @@ class SchemaRegistry:
         return [StructType.fromJson(json.loads(r["schema"])) for r in rows]
 
     def save(self, feed: str, kind: str, schema: StructType, at: datetime) -> int:
-        row = self._latest(feed, kind)
-        version = row["version"] + 1 if row else 1
-        rows = [(feed, kind, version, schema.json(), at)]
-        self.spark.createDataFrame(rows, self.COLUMNS).coalesce(1).write.mode("append").parquet(self.path)
-        return version
+        return self._append(feed, {kind: schema}, at)[kind]
 
     def reader_schema(self, feed: str, observed: StructType, at: datetime) -> StructType:
         """The schema to read with; registers both forms first when ``observed`` is new."""
@@ -131,10 +127,11 @@ class SchemaRegistry:
             raise
         return not known.filter((F.col("feed") == feed) & (F.col("kind") == kind) & (F.col("schema") == schema.json())).isEmpty()
 
-    def _append(self, feed: str, schemas: dict[str, StructType], at: datetime) -> None:
-        """All of them or none: one file."""
+    def _append(self, feed: str, schemas: dict[str, StructType], at: datetime) -> dict[str, int]:
+        """All of them or none: one file. Gives the version of each kind."""
         rows = []
         for kind, schema in schemas.items():
             last = self._latest(feed, kind)
             rows.append((feed, kind, last["version"] + 1 if last else 1, schema.json(), at))
         self.spark.createDataFrame(rows, self.COLUMNS).coalesce(1).write.mode("append").parquet(self.path)
+        return {kind: version for _, kind, version, *_ in rows}

@@ -33,7 +33,7 @@ def ingest_history(source: DataFrame, spec: IngestSpec, marks: HighWater, run_da
     """Land everything beyond the last mark, quarantine what does not parse, then move the mark.
 
     The first run takes rows with a null bookmark key like others. No mark covers them, so later runs set aside
-    all such rows that they find, beside the quarantine and each time anew. A mark with a null is not
+    all such rows that they find, beside the quarantine and each time anew (see ``IngestSpec.set_aside_unkeyed``). A mark with a null is not
     kept: the next run then repeats the batch. One pass over the source: the counts and the new mark are observed while the files are written.
     A second pass happens only if there are rows to quarantine, and is bounded by the new mark so
     that it sees the same rows. The mark moves last.
@@ -41,7 +41,7 @@ def ingest_history(source: DataFrame, spec: IngestSpec, marks: HighWater, run_da
     keys = list(spec.bookmark_keys)
     after, unkeyed = marks.load(), 0
     if after is not None:
-        unkeyed = _set_aside(source, spec, keys)
+        unkeyed = _set_aside(source, spec, keys) if spec.set_aside_unkeyed else 0
         source = source.na.drop(subset=keys)
     fresh = read_increment(source, keys, after)
     if not has_rows(fresh):

@@ -1,6 +1,7 @@
 """Ingest, loading, SQL steps, audit, schema registry. No database is involved."""
 
 import glob
+from dataclasses import replace
 from datetime import date, datetime
 
 import pytest
@@ -338,6 +339,8 @@ def test_rows_without_a_key_are_set_aside_and_never_lost(spark, folder):
     got = ingest_history(last, spec(folder), marks, date(2024, 2, 3))
     assert (got.read, got.written, got.unkeyed) == (1, 1, 3)
     assert spark.read.json(f"{folder}/err-unkeyed").count() == 3 and spark.read.json(f"{folder}/raw").count() == 4
+    again = ingest_history(last, replace(spec(folder), set_aside_unkeyed=False), marks, date(2024, 2, 4))
+    assert (again.read, again.unkeyed) == (0, 0)
 
 
 def test_an_old_export_is_replaced(spark, folder):
