@@ -111,6 +111,17 @@ def test_urls_without_rules_or_pages(spark):
     assert url_filter.judge(pages.limit(0), rules).count() == 0
 
 
+def test_long_urls_cost_no_more_than_the_deepest_rule(spark):
+    rules = spark.createDataFrame([("x.org", "/a/b/c", "block"), ("y.x.org", "/", "allow")], "host string, path string, verdict string")
+    deep, wide = "/a/b/" + "c/" * 100_000, "w." * 20_000 + "x.org"
+    urls = [f"http://x.org{deep}", f"http://x.org/b{deep}", f"http://{wide}/a/b/c", f"http://{wide}/a/b", "http://x.org/a/b/cd", "http://v.y.x.org" + deep]
+    assert url_filter.depth(rules) == (3, 3) and url_filter.depth(rules.limit(0)) == (1, 0)
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    got = {r.page_id: (r.rule, r.verdict) for r in url_filter.judge(pages, rules).collect()}
+    block = ("x.org/a/b/c", "block")
+    assert got == {0: block, 1: (None, "allow"), 2: block, 3: (None, "allow"), 4: block, 5: block}
+
+
 def plain_rotation(rows, perspective):
     text, spans = "", []
     for turn, role, said in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1] or "unknown", r[2] or "")):
