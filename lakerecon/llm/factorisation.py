@@ -164,7 +164,11 @@ def fit(
     documents: DataFrame, labels: DataFrame, label_column: str = "quality", id_column: str = "doc_id", text_column: str = "text",
     meta_column: str | None = "n_chars", sample: int = SAMPLE, seed: int = 7,
 ) -> Model:
-    """Fit on at most ``sample`` rows of ``labels`` (id, 0/1) whose documents are in ``documents``."""
+    """Fit on at most ``sample`` rows of ``labels`` (id, 0/1) whose documents are in ``documents``.
+
+    An id that several documents have brings all of them; of what then is more than ``sample`` rows, those with the
+    smallest hashes of id and features are taken.
+    """
     known = labels.select(F.col(id_column).alias("id"), F.col(label_column).cast("double").alias("label")).filter("id IS NOT NULL AND label IS NOT NULL")
     ids = documents.select(F.col(id_column).alias("id"))
     chosen = known.join(ids, "id", "left_semi").orderBy(F.xxhash64("id"), "id", "label").limit(sample)
@@ -183,7 +187,8 @@ def fit(
                 names=["id", "buckets", "value", "dense", "label"],
             )
 
-    found = map_batches(rows.withColumn("id", F.col("id").cast("string")), run, "id string, buckets binary, value binary, dense binary, label double").collect()
+    featured = map_batches(rows.withColumn("id", F.col("id").cast("string")), run, "id string, buckets binary, value binary, dense binary, label double")
+    found = featured.orderBy(F.xxhash64("id", "buckets", "dense"), "id", "label").limit(sample).collect()
     found.sort(key=lambda r: (r.id, r.label, r.buckets))
     return _fit([(np.frombuffer(r.buckets, np.int32), np.frombuffer(r.value, np.float32), np.frombuffer(r.dense, np.float32), r.label) for r in found], seed)
 

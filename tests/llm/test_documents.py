@@ -376,3 +376,19 @@ def test_empty_tables(spark, nothing):
     assert lm_scoring.score(nothing, lm_scoring.train(nothing)).count() == 0
     assert lsa.leaks(nothing, items).count() == 0 and lsa.leaks(nothing, some).count() == 0 and lsa.keep(nothing, some).count() == 0
     assert mixing.mixture(nothing).count() == 0
+
+
+def test_samples_stay_bounded_whatever_is_repeated(spark, monkeypatch):
+    """One label for a thousand documents of one id, and null ids and copies in the sample of languages."""
+    seen = {}
+    for module in (factorisation, string_kernel):
+        fitted = module._fit
+        monkeypatch.setattr(module, "_fit", lambda found, *a, m=module, f=fitted: seen.__setitem__(m, len(found)) or f(found, *a))
+    rows = [(1, prose(i, 30), "de", "s", i) for i in range(600)] + [(2, prose(5, 40), "de", "s", 1)] * 400
+    rows += [(None, prose(2000 + i, 30), "fr", "s", 1) for i in range(500)] + [(3, prose(9, 40), "fr", "s", 1)] * 500
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").repartition(4)
+    labels = spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, quality int")
+    factorisation.fit(docs, labels, sample=50)
+    assert seen[factorisation] == 50
+    string_kernel.fit(docs, key=F.col("doc_id"), sample=80)
+    assert 20 <= seen[string_kernel] <= 160
