@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakerecon.llm import texts
-from lakerecon.llm.frames import map_batches
+from lakerecon.llm.frames import map_batches, small
 
 LONGEST = 3
 GRAMS = 1 << 18
@@ -107,15 +107,18 @@ def _fit(sample: list[tuple[str, np.ndarray]]) -> Model:
 
 
 def fit(documents: DataFrame, text_column: str = "text", lang_column: str = "lang", key: Column | None = None, sample: int = SAMPLE) -> Model:
-    """Learn from the documents with a non-null language; ``key`` decides which fall into the sample."""
-    key = F.xxhash64(F.col(text_column)) if key is None else F.xxhash64(key)
+    """Learn from the documents with a non-null language; ``key`` and the text decide which fall into the sample.
+
+    Rows that agree in both count once in the sample, so it stays as small as stated whatever is repeated.
+    """
+    key = F.xxhash64(F.col(text_column)) if key is None else F.xxhash64(key, F.col(text_column))
     rows = documents.select(F.col(text_column).cast("string").alias("text"), F.col(lang_column).cast("string").alias("lang"), key.alias("key"))
     rows = rows.filter("lang IS NOT NULL AND text IS NOT NULL")
     counted = rows.groupBy("lang").count()
     languages = max(1, counted.count())
     each = max(20, sample // languages)
     chance = F.pmod(F.col("key"), F.lit(1 << 30)) / float(1 << 30)
-    chosen = rows.join(F.broadcast(counted), "lang").filter(chance * F.col("count") < each).select("lang", "key", "text")
+    chosen = rows.join(small(counted), "lang").filter(chance * F.col("count") < each).select("lang", "key", "text").dropDuplicates(["lang", "key"])
 
     def run(batches):
         for batch in batches:
