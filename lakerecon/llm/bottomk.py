@@ -2,18 +2,20 @@
 
 1. A document's set of word shingles is hashed once; the K smallest hashes are its sketch. Documents
    with equal sets form one class (a digest of the whole set), so copies never meet in pairs.
-2. Inverted lists are kept by three retained values, as single ones are too frequent: each retained value is an anchor
-   and is joined with the two smaller ones that a hash of the pair puts first. Below a value that two sketches retain
-   both are complete, also where one text contains the other, so that the two others agree in 6 of 10 cases at
-   similarity 0.8. Sets of up to WHOLE shingles are complete everywhere and join their anchors with any two others as well.
-   README.md states the simulated chance that no list is common. Sets of up to SMALL shingles use
+2. Inverted lists are kept by four retained values, as single ones are too frequent: each retained value is an anchor
+   and is joined with the three smaller ones that a hash of the pair puts first. Below a value that two sketches retain
+   both are complete, also where one text contains the other, so that the three others agree in 5 of 10 cases at
+   similarity 0.8. Sets of up to WHOLE shingles are complete everywhere and join their anchors with any three others as well.
+   README.md states the measured chance that no list is common. Sets of up to SMALL shingles use
    single values: all but the ceil(0.8 n) - 1 most frequent of the set, one of which similar sets must share.
-3. Of a list of LONG or more classes the most central is compared with all others, then the one nearest to
-   it, which in a group of edited copies is the original. Union sketches estimate the similarity of such pairs
-   and reject those under 2/5; the exact Jaccard similarity of the full sets decides. What is
-   linked by then needs no comparison among itself, and a list of one component is done.
-4. Classes of the lists that are left are compared in blocks of about BLOCK shingles, first by their sketches and
-   then, where these have 2/5 of their values in common, by their full sets, both as matrix products. A block gives a
+   Lists with the same members are one list.
+3. The most central class of a list is compared with all others, then the one nearest to it, which in a group of edited
+   copies is the original. Union sketches estimate the similarity of such pairs and reject those under 2/5; the exact
+   Jaccard similarity of the full sets decides. What is linked by then needs no comparison among itself, and a list of
+   one component is done.
+4. Classes of the lists that are left are compared in blocks by their sketches as matrix products, those of one component
+   not with each other. Full sets move only for classes that have 2/5 of their sketch in common with one of another
+   component: such classes are compared, again in blocks, by their full sets. A block gives a
    forest of links, so no group is expanded into its pairs. No list is cut: sets that share one are
    compared, or are in one component already.
 5. Components are found by alternating star contraction on the links.
@@ -41,8 +43,8 @@ from lakerecon.llm.frames import cut, map_batches, map_groups, small
 K = 64
 WHOLE = 40
 SMALL = 20
-#: Classes from which a list is long, and shingles of a block; a small set counts as LEAST shingles.
-LONG = 256
+#: Sketches of a piece, and shingles of a piece of full sets, of which a small one counts as LEAST; a block has two pieces at most.
+SKETCHES = 1_024
 BLOCK = 800_000
 LEAST = 400
 #: Shingles in at most so many sets of a block are counted pair by pair, others by matrix products.
@@ -68,7 +70,7 @@ def _digest(values: np.ndarray) -> bytes:
 
 
 def _keys(values: np.ndarray) -> np.ndarray:
-    """Hashes of each retained value (ascending) and the two smaller ones that go with it; of few, any two as well."""
+    """Hashes of each retained value (ascending) and the three smaller ones that go with it; of few, any three as well."""
     if len(values) <= SMALL:
         return values[:0]
     pairs = texts.mix(values[:, None] * np.uint64(0x9E3779B97F4A7C15) ^ values[None, :])
@@ -76,10 +78,10 @@ def _keys(values: np.ndarray) -> np.ndarray:
     place = np.arange(len(values))
 
     def joined(order: np.ndarray, anchors: np.ndarray) -> np.ndarray:
-        two = mixed[np.argpartition(order, 1, axis=1)[:, :2]]
-        return texts.mix(anchors * np.uint64(0xC2B2AE3D27D4EB4F) + two.sum(1, dtype=np.uint64)) >> np.uint64(1)
+        three = mixed[np.argpartition(order, 2, axis=1)[:, :3]]
+        return texts.mix(anchors * np.uint64(0xC2B2AE3D27D4EB4F) + three.sum(1, dtype=np.uint64)) >> np.uint64(1)
 
-    found = joined(np.where(place[None, :] < place[:, None], pairs, none)[2:], values[2:])
+    found = joined(np.where(place[None, :] < place[:, None], pairs, none)[3:], values[3:])
     if len(values) <= WHOLE:
         found = np.concatenate([found, joined(np.where(place[None, :] == place[:, None], none, pairs), values)])
     return np.unique(found)
@@ -91,22 +93,22 @@ def _lists(found: list[np.ndarray]) -> pa.ListArray:
 
 
 def described(documents: DataFrame, id_column: str, text_column: str, width: int, k: int = K) -> DataFrame:
-    """id, n_shingles, node (digest of the set, null if empty), keys and singles (of inverted lists) of every document."""
+    """id, n_shingles, node (digest of the set, null if empty), sketch, and singles (of inverted lists) of every document."""
     rows = documents.select(F.col(id_column).alias("id"), F.col(text_column).cast("string").alias("text"))
     none = np.empty(0, np.uint64)
 
     def run(batches):
         for batch in batches:
-            sizes, nodes, keys, singles = [], [], [], []
+            sizes, nodes, sketches, singles = [], [], [], []
             for values in _sets(batch, width):
                 size = 0 if values is None else len(values)
                 sizes.append(size)
                 nodes.append(_digest(values) if size else None)
-                keys.append(_keys(values[:k]) if size else none)
+                sketches.append(values[:k] if size else none)
                 singles.append(values if 0 < size <= SMALL * 5 // 4 else none)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(nodes, pa.binary()), _lists(keys), _lists(singles)],
-                names=["id", "n_shingles", "node", "keys", "singles"],
+                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(nodes, pa.binary()), _lists(sketches), _lists(singles)],
+                names=["id", "n_shingles", "node", "sketch", "singles"],
             )
 
     schema = T.StructType(
@@ -114,29 +116,24 @@ def described(documents: DataFrame, id_column: str, text_column: str, width: int
             T.StructField("id", rows.schema["id"].dataType),
             T.StructField("n_shingles", T.LongType()),
             T.StructField("node", T.BinaryType()),
-            T.StructField("keys", T.ArrayType(T.LongType())),
+            T.StructField("sketch", T.ArrayType(T.LongType())),
             T.StructField("singles", T.ArrayType(T.LongType())),
         ]
     )
     return map_batches(rows, run, schema)
 
 
-def _full_sets(rows: DataFrame, width: int, k: int) -> DataFrame:
-    """(node, sketch, values): the k smallest and all hashes of each document's set, ascending."""
+def _full_sets(rows: DataFrame, width: int) -> DataFrame:
+    """(node, values): all hashes of each document's set, ascending."""
 
     def run(batches):
         for batch in batches:
             found = [x for x in _sets(batch, width) if x is not None]
             yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([_digest(x) for x in found], pa.binary()),
-                    pa.array([x[:k].view(np.int64) for x in found], pa.list_(pa.int64())),
-                    pa.array([x.tobytes() for x in found], pa.binary()),
-                ],
-                names=["node", "sketch", "values"],
+                [pa.array([_digest(x) for x in found], pa.binary()), pa.array([x.tobytes() for x in found], pa.binary())], names=["node", "values"]
             )
 
-    return map_batches(rows, run, "node binary, sketch array<long>, values binary")
+    return map_batches(rows, run, "node binary, values binary")
 
 
 def _compared(pairs: DataFrame, percent: int) -> DataFrame:
@@ -158,17 +155,36 @@ def _compared(pairs: DataFrame, percent: int) -> DataFrame:
     return map_batches(pairs, run, "a binary, b binary, similarity double, linked boolean")
 
 
+def _keyed(classes: DataFrame) -> DataFrame:
+    """(value, node, n): the keys of each class."""
+
+    def run(batches):
+        for batch in batches:
+            sketches = batch.column(2)
+            values, ends = sketches.values.to_numpy().view(np.uint64), sketches.offsets.to_numpy()
+            keys = [_keys(values[lo:hi]) for lo, hi in zip(ends[:-1], ends[1:], strict=True)]
+            of = pa.array(np.repeat(np.arange(len(keys)), [len(x) for x in keys]))
+            flat = np.concatenate([np.empty(0, np.uint64), *keys]).view(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(flat), batch.column(0).take(of), batch.column(1).take(of)], names=["value", "node", "n"])
+
+    return map_batches(classes.select("node", "n", "sketch"), run, "value long, node binary, n long")
+
+
 def postings(classes: DataFrame) -> DataFrame:
-    """(value, node, n, weight): the inverted lists of two or more classes; weight is the length of all lists of a class."""
-    every = classes.select("node", "n", F.explode("keys").alias("value"), F.lit(False).alias("single")).union(
-        classes.select("node", "n", F.explode("singles").alias("value"), F.lit(True))
-    )
+    """(value, node, n, weight): the inverted lists of two or more classes, each set of members once.
+
+    ``weight`` is the length of all lists of a class.
+    """
+    every = _keyed(classes).withColumn("single", F.lit(False)).union(classes.select(F.explode("singles").alias("value"), "node", "n", F.lit(True)))
     common = cut(every.groupBy("value").count().filter("count > 1"), "bottomk-values")
     mine = cut(every.join(small(common), "value"), "bottomk-common")
     needed = F.ceil(F.col("n") * 0.8).cast("int")
     few = mine.filter("single").groupBy("node", "n").agg(F.array_sort(F.collect_list(F.struct("count", "value"))).alias("v")).filter(F.size("v") >= needed)
-    few = few.select("node", "n", F.explode(F.slice("v", F.lit(1), F.size("v") - needed + 1)).alias("v")).select("v.value", "node", "n", "v.count")
-    lists = mine.filter("NOT single").select("value", "node", "n", "count").union(few)
+    few = few.select("node", "n", F.explode(F.slice("v", F.lit(1), F.size("v") - needed + 1)).alias("v")).select("v.value", "node", "n")
+    lists = mine.filter("NOT single").select("value", "node", "n").union(few)
+    members = [F.count("*").alias("count"), F.bit_xor(F.xxhash64("node")).alias("x"), F.bit_xor(F.xxhash64(F.lit(1), "node")).alias("y")]
+    once = lists.groupBy("value").agg(*members).filter("count > 1").groupBy("count", "x", "y").agg(F.min("value").alias("value"))
+    lists = cut(lists.join(small(cut(once.select("value", "count"), "bottomk-once")), "value"), "bottomk-lists")
     return lists.join(lists.groupBy("node").agg(F.sum("count").alias("weight")), "node").select("value", "node", "n", "weight")
 
 
@@ -218,10 +234,10 @@ def _nearness(members: DataFrame, pivots: DataFrame, compared: DataFrame) -> Dat
     return met.select("value", "node", "n", "weight", F.coalesce("similarity", "near").alias("near"))
 
 
-def _alike(pairs: DataFrame, full: DataFrame, k: int) -> DataFrame:
+def _alike(pairs: DataFrame, sketches: DataFrame, k: int) -> DataFrame:
     """Without the pairs whose union sketch has less than 2/5 of its values in common."""
-    one = full.select(F.col("node").alias("a"), F.col("sketch").alias("sa"))
-    other = full.select(F.col("node").alias("b"), F.col("sketch").alias("sb"))
+    one = sketches.select(F.col("node").alias("a"), F.col("sketch").alias("sa"))
+    other = sketches.select(F.col("node").alias("b"), F.col("sketch").alias("sb"))
     both = pairs.join(one, "a").join(other, "b")
     union = F.slice(F.array_sort(F.array_union("sa", "sb")), 1, k)
     common = F.size(F.array_intersect(union, F.array_intersect("sa", "sb")))
@@ -263,10 +279,25 @@ def _overlaps(sets: list[np.ndarray]) -> np.ndarray:
     return common
 
 
+def _trees(linked: np.ndarray) -> list[tuple[int, int]]:
+    """Each position that is not the first of its component, with the first."""
+    np.fill_diagonal(linked, True)
+    labels, before = np.arange(len(linked)), None
+    while before is None or (labels != before).any():
+        before = labels
+        labels = np.where(linked, labels[None, :], len(linked)).min(1)
+    return [(i, int(x)) for i, x in enumerate(labels) if i != x]
+
+
+def _alike_sketches(sketches: list[np.ndarray]) -> np.ndarray:
+    """Which sketches have 2/5 of the longer one in common."""
+    kept = np.array([len(x) for x in sketches])
+    return 5 * _overlaps(sketches) >= 2 * np.maximum(kept[:, None], kept[None, :])
+
+
 def _forest(sets: list[np.ndarray], percent: int, k: int = K) -> list[tuple[int, int]]:
     """Links (positions) that connect what all links between similar sets would connect."""
-    kept = np.array([min(k, len(x)) for x in sets])
-    maybe = 5 * _overlaps([x[:k] for x in sets]) >= 2 * np.maximum(kept[:, None], kept[None, :])
+    maybe = _alike_sketches([x[:k] for x in sets])
     np.fill_diagonal(maybe, False)
     some = np.flatnonzero(maybe.any(1))
     if not len(some):
@@ -274,49 +305,49 @@ def _forest(sets: list[np.ndarray], percent: int, k: int = K) -> list[tuple[int,
     sizes = np.array([len(sets[i]) for i in some])
     common = _overlaps([sets[i] for i in some])
     linked = 100 * common >= percent * (sizes[:, None] + sizes[None, :] - common)
-    np.fill_diagonal(linked, True)
-    labels, before = np.arange(len(some)), None
-    while before is None or (labels != before).any():
-        before = labels
-        labels = np.where(linked, labels[None, :], len(some)).min(1)
-    return [(int(some[i]), int(some[x])) for i, x in enumerate(labels) if i != x]
+    return [(int(some[i]), int(some[x])) for i, x in _trees(linked)]
+
 
+def _sketch_forest(sketches: list[np.ndarray], components: list[bytes]) -> list[tuple[int, int]]:
+    """Positions connected as by all alike sketches of different components."""
+    comp = np.unique(np.array(components, object), return_inverse=True)[1]
+    return _trees(_alike_sketches(sketches) & (comp[:, None] != comp[None, :])) if comp.max() else []
 
-def _linked_in_blocks(members: DataFrame, full: DataFrame, percent: int) -> DataFrame:
-    """Links (a, b) between the classes that share a list, compared block by block.
 
-    Classes that lists connect are a family. A family is cut into pieces of about BLOCK shingles, and of two pieces those
-    classes meet whose lists reach into the other; small families share a block. A task compares the full sets of its block by matrix
-    products and gives links that connect the same classes as all links of the block would.
+def _in_blocks(members: DataFrame, sets: DataFrame, size, limit: int, forest) -> DataFrame:
+    """Links (a, b) that ``forest`` finds between the classes that share a list; ``members``: value, node, n.
+
+    Classes that lists connect are a family. A family is cut into pieces of about ``limit`` by ``size``, and of two pieces those
+    classes meet whose lists reach into the other; small families share a block. A task gives the ``values`` and ``comp`` of
+    ``sets`` in a family of its block to ``forest``.
     """
     near = members.groupBy("value").agg(F.min("node").alias("first"))
     edges = members.join(near, "value").filter("node <> first").select(F.col("node").alias("a"), F.col("first").alias("b")).distinct()
     nodes = members.select("node", "n").distinct()
     families = nodes.join(stars(cut(edges, "bottomk-edges")), "node", "left").select("node", "n", F.coalesce("root", "node").alias("family"))
-    size = F.greatest("n", F.lit(LEAST))
-    sums = families.groupBy("family").agg(F.sum(size).alias("shingles"))
-    blocks = F.greatest(F.lit(1), F.ceil(F.lit(nodes.agg(F.coalesce(F.sum(size), F.lit(0))).first()[0] / BLOCK)))
+    sums = families.groupBy("family").agg(F.sum(size).alias("all"))
+    blocks = F.greatest(F.lit(1), F.ceil(F.lit(nodes.agg(F.coalesce(F.sum(size), F.lit(0))).first()[0] / limit)))
     placed = cut(
         families.join(sums, "family").select(
-            "node", "family", F.pmod(F.xxhash64("family"), blocks).alias("bin"), F.pmod(F.xxhash64("node"), F.ceil(F.col("shingles") / BLOCK)).alias("piece")
+            "node", "family", F.pmod(F.xxhash64("family"), blocks).alias("bin"), F.pmod(F.xxhash64("node"), F.ceil(F.col("all") / limit)).alias("piece")
         ),
         "bottomk-families",
     )
     at = members.select("value", "node").join(placed, "node")
     pieces = at.select("value", "family", F.col("piece").alias("with")).distinct()
     sides = at.join(pieces, ["value", "family"]).select("family", "bin", F.least("piece", "with").alias("i"), F.greatest("piece", "with").alias("j"), "node")
-    held = sides.distinct().join(full.select("node", "values"), "node")
+    held = sides.distinct().join(sets.select("node", "comp", "values"), "node")
     whole = F.when((F.col("i") == 0) & (F.col("j") == 0), F.lit(None)).otherwise(F.col("family"))
-    keyed = held.select(F.struct("bin", "i", "j", whole.alias("own")).alias("block"), "family", "node", "values")
+    keyed = held.select(F.struct("bin", "i", "j", whole.alias("own")).alias("block"), "family", "node", "comp", "values")
 
     def run(table: pa.Table) -> pa.Table:
         one, two = [], []
         by: dict[bytes, list[int]] = {}
         for i, family in enumerate(table.column("family").to_pylist()):
             by.setdefault(family, []).append(i)
-        node, values = table.column("node").to_pylist(), table.column("values").to_pylist()
+        node, comp, values = (table.column(c).to_pylist() for c in ("node", "comp", "values"))
         for rows in by.values():
-            for x, y in _forest([np.frombuffer(values[i], np.uint64) for i in rows], percent):
+            for x, y in forest([np.frombuffer(values[i], np.uint64) for i in rows], [comp[i] for i in rows]):
                 one.append(node[rows[x]])
                 two.append(node[rows[y]])
         return pa.table({"a": pa.array(one, pa.binary()), "b": pa.array(two, pa.binary())})
@@ -324,6 +355,33 @@ def _linked_in_blocks(members: DataFrame, full: DataFrame, percent: int) -> Data
     return map_groups(keyed, "block", run, "a binary, b binary")
 
 
+def _binary(sketches: DataFrame) -> DataFrame:
+    """(node, values) with the sketch as bytes."""
+
+    def run(batches):
+        for batch in batches:
+            values, ends = batch.column(1).values.to_numpy(), batch.column(1).offsets.to_numpy()
+            packed = [values[lo:hi].tobytes() for lo, hi in zip(ends[:-1], ends[1:], strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(packed, pa.binary())], names=["node", "values"])
+
+    return map_batches(sketches.select("node", "sketch"), run, "node binary, values binary")
+
+
+def _linked_in_blocks(members: DataFrame, sketches: DataFrame, full: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) between classes of different components that share a list: first by sketches, then by the full sets of those alike.
+
+    Classes that alike sketches connect are a list of the second step, in which all of them are compared.
+    """
+    comps = members.select("node", "comp").distinct()
+    alike = cut(_in_blocks(members, _binary(sketches).join(comps, "node"), F.lit(1), SKETCHES, _sketch_forest), "bottomk-alike")
+    groups = stars(alike)
+    groups = cut(groups.select(F.col("root").alias("value"), "node").union(groups.select("root", "root")).distinct(), "bottomk-groups")
+    again = groups.join(members.select("node", "n").distinct(), "node")
+    return _in_blocks(
+        again, full.withColumn("comp", F.col("node")), F.greatest("n", F.lit(LEAST)), BLOCK, lambda sets, _: _forest(sets, percent)
+    )
+
+
 def _found(documents: DataFrame, id_column: str, text_column: str, width: int, percent: int, k: int) -> DataFrame:
     """id, n_shingles, node, root (node that stands for the component) and least (smallest id of it) of every document."""
     if percent < 80:
@@ -332,32 +390,33 @@ def _found(documents: DataFrame, id_column: str, text_column: str, width: int, p
     classes = cut(
         rows.filter("node IS NOT NULL AND id IS NOT NULL")
         .groupBy("node")
-        .agg(F.min("id").alias("rep"), F.first("n_shingles").alias("n"), F.first("keys").alias("keys"), F.first("singles").alias("singles")),
+        .agg(F.min("id").alias("rep"), F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch"), F.first("singles").alias("singles")),
         "bottomk-classes",
     )
     left = cut(postings(classes).withColumn("near", F.lit(0.0)), "bottomk-postings")
     nodes = cut(left.select("node").distinct(), "bottomk-nodes")
     wanted = cut(classes.select("node", "rep").join(small(nodes), "node").select(F.col("rep").alias("id")).distinct(), "bottomk-wanted")
     sources = documents.select(F.col(id_column).alias("id"), F.col(text_column).cast("string").alias("text"))
-    full = _full_sets(sources.join(small(wanted), "id", "left_semi"), width, k)
+    sketches = cut(classes.select("node", "sketch").join(small(nodes), "node", "left_semi"), "bottomk-sketches")
+    full = _full_sets(sources.join(small(wanted), "id", "left_semi"), width)
     full = cut(full.join(small(nodes), "node", "left_semi").dropDuplicates(["node"]), "bottomk-sets")
     roots = None
     for step in range(2):
-        members = cut(_components(left, roots).filter(F.col("size") >= LONG), "bottomk-members")
+        members = cut(_components(left, roots), "bottomk-members")
         if members.isEmpty():
             break
         pivots = cut(_pivots(members, step).select("value", F.col("node").alias("p_node"), F.col("n").alias("p_n"), F.col("comp").alias("p_comp")), "bottomk-pivots")
-        pairs = cut(_alike(_pairs(members, pivots, percent), full, k), "bottomk-pairs")
+        pairs = cut(_alike(_pairs(members, pivots, percent), sketches, k), "bottomk-pairs")
         filled = pairs.join(full.select(F.col("node").alias("b"), F.col("values").alias("vb")), "b").join(
             full.select(F.col("node").alias("a"), F.col("values").alias("va")), "a"
         )
         compared = cut(_compared(filled.select("a", "b", "va", "vb"), percent), "bottomk-compared")
         roots = _joined(roots, compared.filter("linked").select("a", "b"))
-        left = left.join(pivots.select("value", F.col("p_node").alias("node")), ["value", "node"], "left_anti").select("value", "node", "n", "weight", "near")
+        left = members.join(pivots.select("value", F.col("p_node").alias("node")), ["value", "node"], "left_anti").select("value", "node", "n", "weight", "near")
         left = cut(_nearness(left, pivots, compared) if step == 0 else left, "bottomk-left")
     rest = cut(_components(left, roots), "bottomk-rest")
     if not rest.isEmpty():
-        roots = _joined(roots, cut(_linked_in_blocks(rest, full, percent), "bottomk-links"))
+        roots = _joined(roots, cut(_linked_in_blocks(rest, sketches, full, percent), "bottomk-links"))
     named = classes.select("node", "rep", F.col("node").alias("root"))
     if roots is not None:
         named = named.drop("root").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))

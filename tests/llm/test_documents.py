@@ -45,8 +45,8 @@ def test_components_are_those_of_all_pairs(odd, odd_rows, width):
     assert got == wanted
 
 
-def test_long_lists_and_blocks_give_the_same(odd, odd_rows, monkeypatch):
-    monkeypatch.setattr(bottomk, "LONG", 2)
+def test_small_blocks_give_the_same(odd, odd_rows, monkeypatch):
+    monkeypatch.setattr(bottomk, "SKETCHES", 2)
     monkeypatch.setattr(bottomk, "BLOCK", 300)
     wanted = {key: found[1] for (key, _), found in zip(odd_rows, plain.components(odd_rows, 2, 80).values())}
     assert {r.doc_id: r.component_id for r in bottomk.near_duplicates(odd, width=2).collect()} == wanted
