@@ -2,8 +2,9 @@
 
 Counts of n-grams (n from 2 to ORDER, those seen LEAST times or more) are quantised on a logarithmic scale: level
 q = 1 + floor(log_BASE(count / LEAST)). The filter holds (n-gram, 1) ... (n-gram, q). A lookup asks for level 1, 2,
-... until one is missing; the last one found gives the count up to a factor of BASE. Counts of single
-words are exact. Probabilities are smoothed with Dirichlet priors, from short histories to long ones:
+... until one is missing; the last one found gives the count up to a factor of BASE, of which the least is taken for
+what is seen and the most for its history, so that the probabilities after a history never add up to more than 1. Counts
+of single words are exact, in 64 bits. Probabilities are smoothed with Dirichlet priors, from short histories to long ones:
 
     p(w) = (c(w) + A) / (N + A (V + 1)),    p(w | h) = (c(h w) + MU p(w | shorter h)) / (c(h) + MU)
 
@@ -108,12 +109,10 @@ def _bucket_counts(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     return _merged(hashes, counts)
 
 
-def _positions(hashes: np.ndarray, level: int, bits: np.ndarray | np.uint64):
-    """The filter's bits for (hash, level), one array for each probe."""
+def _probes(hashes: np.ndarray, level: int) -> tuple[np.ndarray, np.ndarray]:
+    """Start and step of the probes for (hash, level): probe i is bit (start + i * step) modulo the bits of the segment."""
     mixed = texts.mix(hashes ^ np.uint64(level * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF))
-    low, high = mixed & np.uint64(0xFFFFFFFF), (mixed >> np.uint64(32)) | np.uint64(1)
-    for i in range(PROBES):
-        yield (low + np.uint64(i) * high) % bits
+    return mixed & np.uint64(0xFFFFFFFF), (mixed >> np.uint64(32)) | np.uint64(1)
 
 
 def _segment(hashes: np.ndarray, counts: np.ndarray) -> tuple[int, bytes]:
@@ -123,8 +122,9 @@ def _segment(hashes: np.ndarray, counts: np.ndarray) -> tuple[int, bytes]:
     size = max(8, -(-BITS * int(levels.sum()) // 8) * 8)
     bits = np.zeros(size, bool)
     for level in range(1, int(levels.max(initial=0)) + 1):
-        for at in _positions(hashes[levels >= level], level, np.uint64(size)):
-            bits[at] = True
+        low, high = _probes(hashes[levels >= level], level)
+        for i in range(PROBES):
+            bits[(low + np.uint64(i) * high) % np.uint64(size)] = True
     return len(hashes), np.packbits(bits, bitorder="little").tobytes()
 
 
@@ -155,12 +155,13 @@ class Part:
         level = 1
         while len(active):
             own = at[active]
-            live, first, size, mine = active, starts[own], sizes[own], hashes[active]
-            keep = np.ones(len(live), bool)
-            for position in _positions(mine, level, size):
-                byte = first + (position >> np.uint64(3)).astype(np.int64)
-                keep &= (bits[byte] >> (position & np.uint64(7)).astype(np.uint8)) & 1 == 1
-            active = live[keep]
+            first, size = starts[own], sizes[own]
+            low, high = _probes(hashes[active], level)
+            for i in range(PROBES):
+                position = (low + np.uint64(i) * high) % size
+                keep = (bits[first + (position >> np.uint64(3)).astype(np.int64)] >> (position & np.uint64(7)).astype(np.uint8)) & 1 == 1
+                if not keep.all():
+                    active, first, size, low, high = active[keep], first[keep], size[keep], low[keep], high[keep]
             found[active] = level
             level += 1
         return found
@@ -187,7 +188,7 @@ class Model:
         inside = lambda buckets: (F.floor(F.col("bucket") * self.parts() / buckets) == number)
         rows = sorted(self.words.filter(inside(self.word_buckets)).select("bucket", "hashes", "counts").collect())
         words = np.concatenate([np.empty(0, np.uint64), *(np.frombuffer(r.hashes, np.uint64) for r in rows)])
-        counts = np.concatenate([np.empty(0, np.uint32), *(np.frombuffer(r["counts"], np.uint32) for r in rows)])
+        counts = np.concatenate([np.empty(0, np.int64), *(np.frombuffer(r["counts"], np.int64) for r in rows)])
         loaded = np.zeros(self.word_buckets, bool)
         loaded[[r.bucket for r in rows]] = True
         grams = {}
@@ -234,7 +235,7 @@ def train(documents: DataFrame, text_column: str = "text", order: int = ORDER, p
         return pa.table(
             {
                 "bucket": table.column("bucket").slice(0, 1), "hashes": pa.array([hashes.tobytes()], pa.binary()),
-                "counts": pa.array([np.minimum(counts, 2**32 - 1).astype(np.uint32).tobytes()], pa.binary()),
+                "counts": pa.array([counts.astype(np.int64).tobytes()], pa.binary()),
                 "distinct": pa.array([len(hashes)], pa.int64()), "tokens": pa.array([int(counts.sum())], pa.int64()),
             }
         )
@@ -245,7 +246,7 @@ def train(documents: DataFrame, text_column: str = "text", order: int = ORDER, p
     )
     seen = words.agg(F.coalesce(F.sum("tokens"), F.lit(0)).alias("tokens"), F.coalesce(F.sum("distinct"), F.lit(0)).alias("distinct")).first()
     gram_buckets = max(16, -(-seen.tokens // _BUCKET))
-    model = Model(words, {}, word_buckets, gram_buckets, seen.tokens, seen.distinct, 12 * seen.distinct, part_bytes)
+    model = Model(words, {}, word_buckets, gram_buckets, seen.tokens, seen.distinct, 16 * seen.distinct, part_bytes)
 
     def merge_grams(table: pa.Table) -> pa.Table:
         kept, bits = _segment(*_bucket_counts(table))
@@ -281,26 +282,37 @@ def train(documents: DataFrame, text_column: str = "text", order: int = ORDER, p
 
 
 def _estimates(levels: np.ndarray) -> np.ndarray:
-    return np.where(levels > 0, LEAST * BASE ** (levels - 0.5), 0.0)
+    """The least count that has the level."""
+    return np.where(levels > 0, np.ceil(LEAST * BASE ** (levels - 1) - 1e-6), 0.0)
 
 
-def _scores(counts: np.ndarray, levels: dict[int, np.ndarray], bounds: np.ndarray, tokens: int, distinct: int) -> tuple:
-    """n_tokens, n_known, base_score and score of each text from what was found for each position."""
-    firsts = bounds[:-1]
-    start = np.zeros(len(counts), bool)
-    start[firsts] = True
+def _most(levels: np.ndarray) -> np.ndarray:
+    """The largest count that has the level; 0 if there is none."""
+    return np.where(levels > 0, np.ceil(LEAST * BASE**levels - 1e-6) - 1, 0.0)
+
+
+def _probabilities(counts: np.ndarray, levels: dict[int, np.ndarray], bounds: np.ndarray, tokens: int, distinct: int) -> tuple[np.ndarray, np.ndarray]:
+    """The base's and the model's probability of the token at each position; that of the opening edge has no meaning."""
     base = (counts + A) / (tokens + A * (distinct + 1))
     p = base.copy()
     history = np.zeros(len(counts))
     history[1:] = counts[:-1]
-    place = np.arange(len(counts)) - np.repeat(firsts, np.diff(bounds))
+    place = np.arange(len(counts)) - np.repeat(bounds[:-1], np.diff(bounds))
     for n, found in levels.items():
-        long_enough = place >= n - 1
-        seen = np.minimum(_estimates(found.astype(np.float64)), history)
-        p = np.where(long_enough, (seen + MU * p) / (history + MU), p)
+        found = found.astype(np.float64)
+        p = np.where(place >= n - 1, (np.minimum(_estimates(found), history) + MU * p) / (history + MU), p)
+        most = np.minimum(_most(found), history)
         history = np.zeros(len(counts))
-        history[1:] = seen[:-1]
-    log_base, log_p = np.log10(base), np.log10(p)
+        history[1:] = most[:-1]
+    return base, p
+
+
+def _scores(counts: np.ndarray, levels: dict[int, np.ndarray], bounds: np.ndarray, tokens: int, distinct: int) -> tuple:
+    """n_tokens, n_known, base_score and score of each text from what was found for each position."""
+    firsts = bounds[:-1]
+    start = np.zeros(len(counts), bool)
+    start[firsts] = True
+    log_base, log_p = (np.log10(x) for x in _probabilities(counts, levels, bounds, tokens, distinct))
     log_base[start] = log_p[start] = 0
     known = (counts > 0) & ~start
     total = lambda x: np.add.reduceat(x, firsts) if len(firsts) else x[:0]

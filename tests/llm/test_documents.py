@@ -148,6 +148,51 @@ def test_filter_holds_every_count_within_its_base(spark):
     assert 60 / 1.5 <= estimates[2] <= 60 * 1.5 and 30 / 1.5 <= estimates[6] <= 30 * 1.5 and estimates[10] == 0
 
 
+def test_probabilities_after_a_history_add_up_to_one_at_most(spark):
+    from lakerecon.llm import texts
+
+    follow = [f"w{i}" for i in range(100)]
+    rows = [f"h {w}" for w in follow for _ in range(2)] + [f"k h {w}" for w in follow[:30] for _ in range(5)] + ["k k k"] * 7
+    model = lm_scoring.train(spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string"))
+    part = model.part(0)
+    vocabulary = [*follow, "h", "k", "unknown"]
+    assert model.distinct == len(vocabulary)
+    for history in ("h", "k h", "k k", "k"):
+        probes = [f"{history} {w}".encode() for w in vocabulary] + [history.encode()]
+        hashes, bounds = texts.tokens(probes, edge=lm_scoring.EDGE)
+        levels = {n: part.levels(n, lm_scoring._grams(hashes, bounds, n)) for n in model.grams}
+        _, p = lm_scoring._probabilities(part.word_counts(hashes), levels, bounds, model.tokens, model.distinct)
+        last = len(history.split()) + 1
+        total = sum(p[lo + last] for lo in bounds[:-1])
+        assert 0.5 < total <= 1.001
+
+
+def test_scores_are_near_those_of_exact_counts(spark):
+    from collections import defaultdict
+
+    docs = [prose(i % 9, 60) for i in range(45)]
+    model = lm_scoring.train(spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string"))
+    found = {r.doc_id: r.score for r in lm_scoring.score(spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string"), model).collect()}
+    edge, counts = lm_scoring.EDGE.decode(), defaultdict(int)
+    lists = [[edge, *d.lower().split(), edge] for d in docs]
+    for words in lists:
+        for n in (1, 2, 3):
+            for i in range(n == 1, len(words) - n + 1):
+                counts[tuple(words[i : i + n])] += 1
+    total = sum(c for k, c in counts.items() if len(k) == 1)
+    distinct = sum(len(k) == 1 for k in counts)
+    for i, words in enumerate(lists):
+        low = high = 0.0
+        for at in range(1, len(words)):
+            p = q = (counts[(words[at],)] + 0.1) / (total + 0.1 * (distinct + 1))
+            for n in (2, 3):
+                if at >= n - 1:
+                    gram, before = counts[tuple(words[at - n + 1 : at + 1])], counts[tuple(words[at - n + 1 : at])]
+                    p, q = (gram / 1.5 + 8 * p) / (before * 1.5 + 8), (gram + 8 * q) / (before + 8)
+            low, high = low + np.log10(p), high + np.log10(q)
+        assert low - 0.01 <= found[i] <= high + 0.01
+
+
 def test_likelier_text_scores_higher(spark):
     docs = spark.createDataFrame([(i, prose(i % 7, 200)) for i in range(40)], "doc_id long, text string")
     model = lm_scoring.train(docs)
