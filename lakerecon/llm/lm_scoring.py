@@ -157,11 +157,17 @@ class Part:
             own = at[active]
             first, size = starts[own], sizes[own]
             low, high = _probes(hashes[active], level)
-            for i in range(PROBES):
+
+            def set_(i):
                 position = (low + np.uint64(i) * high) % size
-                keep = (bits[first + (position >> np.uint64(3)).astype(np.int64)] >> (position & np.uint64(7)).astype(np.uint8)) & 1 == 1
-                if not keep.all():
-                    active, first, size, low, high = active[keep], first[keep], size[keep], low[keep], high[keep]
+                return (bits[first + (position >> np.uint64(3)).astype(np.int64)] >> (position & np.uint64(7)).astype(np.uint8)) & 1 == 1
+
+            some = np.flatnonzero(set_(0) & set_(1))
+            active, first, size, low, high = active[some], first[some], size[some], low[some], high[some]
+            keep = np.ones(len(active), bool)
+            for i in range(2, PROBES):
+                keep &= set_(i)
+            active = active[keep]
             found[active] = level
             level += 1
         return found
