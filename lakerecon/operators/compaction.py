@@ -27,6 +27,8 @@ from .stats import counted
 
 # Write tasks per job: the blocks of a shuffle grow with the product of its two sides.
 MAX_TASKS = 20_000
+# Write tasks that a job has at least if it has as many files; what a task tells the driver takes some 13 KB.
+LEAST_TASKS = 256
 # Partitions per job when whole files are put together, each being a scan of its own.
 MAX_SCANS = 64
 # The per-partition plan of a job is broadcast up to this many partitions (about 4 MB).
@@ -101,15 +103,20 @@ def _plan(df: DataFrame, sizes: DataFrame, spec: CompactionSpec) -> list[Partiti
     return sorted(plan, key=lambda p: p.value)
 
 
+def _shared_tasks(most: int, files: int) -> int:
+    """Tasks for partitions of ``most`` and fewer files, ``files`` together, if a task writes one file in each of many."""
+    return max(most, min(files, LEAST_TASKS))
+
+
 def _jobs(plan: Sequence[PartitionPlan], most_partitions: int) -> Iterator[list[PartitionPlan]]:
     """Group partitions into jobs of bounded size; a partition is never divided."""
-    job, tasks = [], 0
+    job, most, files = [], 0, 0
     for part in plan:
-        if job and (tasks + part.files > MAX_TASKS or len(job) == most_partitions):
+        most, files = max(most, part.files), files + part.files
+        if job and ((files if part.whole else _shared_tasks(most, files)) > MAX_TASKS or len(job) == most_partitions):
             yield job
-            job, tasks = [], 0
+            job, most, files = [], part.files, part.files
         job.append(part)
-        tasks += part.files
     if job:
         yield job
 
@@ -120,24 +127,27 @@ def _days_from_mark(done: DataFrame, spec: CompactionSpec, until: date) -> list[
 
 
 def spread_over_files(df: DataFrame, plan: Sequence[PartitionPlan], partition: str, per_task: int = 1) -> DataFrame:
-    """Send each row to one of its partition's files, one task per file (or per ``per_task`` files).
+    """Send each row to one of its partition's files, of which a task writes one (or ``per_task``).
 
-    Every partition owns a range of task numbers; rows take the numbers of their range in turn, so
-    a partition holding most of the rows, or many copies of one row, is spread as evenly as any.
+    A task writes a file in each of many partitions: there are as many tasks as the partition with the most files
+    needs, or ``LEAST_TASKS`` if there are that many files. Every partition owns a range of task numbers, the next
+    one going on where it ends; rows take the numbers of their range in turn, so a partition holding most of the
+    rows, or many copies of one row, is spread as evenly as any.
     """
+    wanted = [math.ceil(part.files / per_task) for part in plan]
+    number = _shared_tasks(max(wanted), sum(wanted))
     ranges, offset = [], 0
-    for part in plan:
-        tasks = math.ceil(part.files / per_task)
+    for part, tasks in zip(plan, wanted, strict=True):
         ranges.append((part.value, offset, tasks))
-        offset += tasks
+        offset = (offset + tasks) % number
     schema = f"`{partition}` {df.schema[partition].dataType.simpleString()}, _offset bigint, _tasks bigint"
     lookup = df.sparkSession.createDataFrame(ranges, schema)
     if len(ranges) <= MAX_BROADCAST_PARTITIONS:
         lookup = F.broadcast(lookup)
     # The row number inside an input split is the same when the split is read again.
     numbered = df.withColumn("_turn", F.monotonically_increasing_id()).join(lookup, partition)
-    task = (F.col("_offset") + F.pmod("_turn", "_tasks")).cast("int").alias("_task")
-    return numbered.select(*df.columns, task).repartitionById(offset, F.col("_task")).drop("_task")
+    task = ((F.col("_offset") + F.pmod("_turn", "_tasks")) % number).cast("int").alias("_task")
+    return numbered.select(*df.columns, task).repartitionById(number, F.col("_task")).drop("_task")
 
 
 @contextmanager
@@ -184,7 +194,7 @@ def _rewrite(
         with own_tasks(df.sparkSession):
             write(reduce(DataFrame.unionAll, [read([p.value], schema).coalesce(p.files) for p in job]))
     for job in _jobs([p for p in plan if not p.whole], MAX_BROADCAST_PARTITIONS):
-        files = sum(p.files for p in job)
+        files = max(p.files for p in job)
         per_task, limit = math.ceil(files / MAX_TASKS), {}
         if per_task > 1:
             # Only a partition with more files than a job has tasks gets here, and it is alone.

@@ -184,6 +184,26 @@ def test_large_plans_are_not_broadcast(spark, raw, monkeypatch):
     assert data(spread_over_files(df, plan, PARTITION_COLUMN)) == want
 
 
+def test_a_task_writes_files_of_many_partitions(spark, raw, folder, monkeypatch):
+    """Tasks follow the partition with the most files and not the number of all files."""
+    monkeypatch.setattr(compaction, "LEAST_TASKS", 2)
+    tasks, spread = [], compaction.spread_over_files
+
+    def seen(*args, **kwargs):
+        df = spread(*args, **kwargs)
+        tasks.append(df.rdd.getNumPartitions())
+        return df
+
+    monkeypatch.setattr(compaction, "spread_over_files", seen)
+    done = compact(spark, raw, folder, CompactionSpec(schema=SCHEMA, rows_per_file=100, shuffle=True))
+    counts = {r[0]: r[1] for r in read(spark, raw).groupBy(PARTITION_COLUMN).count().collect()}
+    wanted = {day: math.ceil(n / 100) for day, n in counts.items()}
+    assert tasks == [max(wanted.values())]
+    assert done.files == done.planned == sum(wanted.values()) > tasks[0]
+    assert {r[0]: r["files"] for r in list_partitions(spark, folder).collect()} == wanted
+    assert data(read(spark, folder)) == data(read(spark, raw))
+
+
 def test_jobs_are_bounded(spark, raw, folder, monkeypatch):
     """Several jobs, and a partition with more files than a job may have tasks."""
     monkeypatch.setattr(compaction, "MAX_TASKS", 4)
