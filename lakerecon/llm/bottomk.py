@@ -49,6 +49,9 @@ BLOCK = 800_000
 LEAST = 400
 #: Shingles in at most so many sets of a block are counted pair by pair, others by matrix products.
 FEW = 12
+#: Cells of such a matrix, and rows of what is as large as all pairs that are worked off at a time.
+MATRIX = 1 << 22
+ROWS = 256
 
 
 def _sets(batch: pa.RecordBatch, width: int) -> Iterator[np.ndarray | None]:
@@ -255,44 +258,57 @@ def _components(postings: DataFrame, roots: DataFrame | None) -> DataFrame:
 
 def _overlaps(sets: list[np.ndarray]) -> np.ndarray:
     """Sizes of the intersections of all sets; those with themselves may be too low."""
-    owner = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
-    elements, column, seen = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    elements = np.concatenate(sets)
+    order = np.argsort(elements, kind="stable")
+    elements = elements[order]
+    # The owners of one element stand together.
+    owner = np.repeat(np.arange(len(sets), dtype=np.int32), [len(x) for x in sets])[order]
+    del order
+    starts = np.flatnonzero(np.concatenate(([True], elements[1:] != elements[:-1])))
+    seen = np.diff(starts, append=len(elements))
+    del elements
     common = np.zeros((len(sets), len(sets)), np.float32)
-    order = np.argsort(column, kind="stable")
-    starts = np.cumsum(seen) - seen
     for times in range(2, FEW + 1):
-        rows = owner[order[starts[seen == times][:, None] + np.arange(times)]]
+        rows = owner[starts[seen == times][:, None] + np.arange(times)]
         for i in range(times):
             for j in range(i + 1, times):
                 np.add.at(common, (rows[:, i], rows[:, j]), 1)
-    common += common.T
+    for low in range(0, len(sets), ROWS):
+        part = common[low : low + ROWS, low:]
+        part += common[low:, low : low + ROWS].T.copy()
+        common[low:, low : low + ROWS] = part.T
     usual = np.flatnonzero(seen > FEW)
-    place = np.full(len(elements), -1)
-    place[usual] = np.arange(len(usual))
-    at = place[column]
-    step = max(1, (1 << 24) // max(1, len(sets)))
+    step = max(1, MATRIX // len(sets))
     for low in range(0, len(usual), step):
-        mine = (at >= low) & (at < low + step)
-        matrix = np.zeros((len(sets), min(step, len(usual) - low)), np.float32)
-        matrix[owner[mine], at[mine] - low] = 1
-        common += matrix @ matrix.T
+        first, times = starts[usual[low : low + step]], seen[usual[low : low + step]]
+        column = np.repeat(np.arange(len(first)), times)
+        at = np.arange(len(column)) + np.repeat(first - (np.cumsum(times) - times), times)
+        matrix = np.zeros((len(sets), len(first)), np.float32)
+        matrix[owner[at], column] = 1
+        for row in range(0, len(sets), ROWS):
+            common[row : row + ROWS] += matrix[row : row + ROWS] @ matrix.T
     return common
 
 
 def _trees(linked: np.ndarray) -> list[tuple[int, int]]:
     """Each position that is not the first of its component, with the first."""
     np.fill_diagonal(linked, True)
-    labels, before = np.arange(len(linked)), None
+    labels, before = np.arange(len(linked), dtype=np.int32), None
     while before is None or (labels != before).any():
         before = labels
-        labels = np.where(linked, labels[None, :], len(linked)).min(1)
+        labels = np.concatenate(
+            [np.where(linked[low : low + ROWS], before[None, :], np.int32(len(linked))).min(1) for low in range(0, len(linked), ROWS)]
+        )
     return [(i, int(x)) for i, x in enumerate(labels) if i != x]
 
 
 def _alike_sketches(sketches: list[np.ndarray]) -> np.ndarray:
     """Which sketches have 2/5 of the longer one in common."""
-    kept = np.array([len(x) for x in sketches])
-    return 5 * _overlaps(sketches) >= 2 * np.maximum(kept[:, None], kept[None, :])
+    kept, common = np.array([len(x) for x in sketches], np.float32), _overlaps(sketches)
+    alike = np.empty(common.shape, bool)
+    for low in range(0, len(kept), ROWS):
+        alike[low : low + ROWS] = 5 * common[low : low + ROWS] >= 2 * np.maximum(kept[low : low + ROWS, None], kept[None, :])
+    return alike
 
 
 def _forest(sets: list[np.ndarray], percent: int, k: int = K) -> list[tuple[int, int]]:
@@ -304,7 +320,11 @@ def _forest(sets: list[np.ndarray], percent: int, k: int = K) -> list[tuple[int,
         return []
     sizes = np.array([len(sets[i]) for i in some])
     common = _overlaps([sets[i] for i in some])
-    linked = 100 * common >= percent * (sizes[:, None] + sizes[None, :] - common)
+    linked = np.empty(common.shape, bool)
+    for low in range(0, len(some), ROWS):
+        mine = common[low : low + ROWS].astype(np.int64)
+        linked[low : low + ROWS] = 100 * mine >= percent * (sizes[low : low + ROWS, None] + sizes[None, :] - mine)
+    del common
     return [(int(some[i]), int(some[x])) for i, x in _trees(linked)]
 
 
@@ -334,9 +354,12 @@ def _in_blocks(members: DataFrame, sets: DataFrame, size, limit: int, forest) ->
         "bottomk-families",
     )
     at = members.select("value", "node").join(placed, "node")
-    pieces = at.select("value", "family", F.col("piece").alias("with")).distinct()
-    sides = at.join(pieces, ["value", "family"]).select("family", "bin", F.least("piece", "with").alias("i"), F.greatest("piece", "with").alias("j"), "node")
-    held = sides.distinct().join(sets.select("node", "comp", "values"), "node")
+    # The lists of a family reach into few sets of pieces, so a class has few such sets however many lists it is in.
+    reach = at.groupBy("value").agg(F.array_sort(F.collect_set("piece")).alias("reach"))
+    at = at.join(reach, "value").select("family", "bin", "piece", "node", "reach").distinct()
+    at = at.groupBy("family", "bin", "piece", "node").agg(F.array_distinct(F.flatten(F.collect_list("reach"))).alias("reach"))
+    sides = at.withColumn("with", F.explode("reach")).select("family", "bin", F.least("piece", "with").alias("i"), F.greatest("piece", "with").alias("j"), "node")
+    held = sides.join(sets.select("node", "comp", "values"), "node")
     whole = F.when((F.col("i") == 0) & (F.col("j") == 0), F.lit(None)).otherwise(F.col("family"))
     keyed = held.select(F.struct("bin", "i", "j", whole.alias("own")).alias("block"), "family", "node", "comp", "values")
 
