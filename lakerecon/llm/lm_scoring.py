@@ -146,31 +146,31 @@ class Part:
         at = np.minimum(np.searchsorted(self.words, some), len(self.words) - 1)
         return np.where(self.words[at] == some, self.counts[at], 0).astype(np.int64)[back]
 
-    def levels(self, n: int, hashes: np.ndarray) -> np.ndarray:
-        """Levels of the n-grams, 0 for those of other parts and those not in the filter."""
+    def levels(self, n: int, hashes: np.ndarray, most: int = 255) -> np.ndarray:
+        """Levels of the n-grams up to ``most``, 0 for those of other parts and those not in the filter."""
         buckets, bits, starts, sizes = self.grams[n]
-        found = np.zeros(len(hashes), np.uint8)
-        at = _bucket(hashes, buckets)
+        # Frequent n-grams have the most levels, so each is looked for once; in order, those of a segment come together.
+        some, back = np.unique(hashes, return_inverse=True)
+        found = np.zeros(len(some), np.uint8)
+        at = _bucket(some, buckets)
         active = np.flatnonzero(sizes[at] > 0)
         level = 1
-        while len(active):
+        while len(active) and level <= most:
             own = at[active]
             first, size = starts[own], sizes[own]
-            low, high = _probes(hashes[active], level)
-
-            def set_(i):
-                position = (low + np.uint64(i) * high) % size
-                return (bits[first + (position >> np.uint64(3)).astype(np.int64)] >> (position & np.uint64(7)).astype(np.uint8)) & 1 == 1
-
-            some = np.flatnonzero(set_(0) & set_(1))
-            active, first, size, low, high = active[some], first[some], size[some], low[some], high[some]
-            keep = np.ones(len(active), bool)
-            for i in range(2, PROBES):
-                keep &= set_(i)
-            active = active[keep]
+            low, high = _probes(some[active], level)
+            position, step = low % size, high % size
+            for i in range(PROBES):
+                if i:
+                    position = position + step
+                    position = np.where(position >= size, position - size, position)
+                byte = bits[first + (position >> np.uint64(3)).astype(np.int64)]
+                set_ = np.flatnonzero(byte >> (position & np.uint64(7)).astype(np.uint8) & 1)
+                if len(set_) < len(active):
+                    active, first, size, position, step = (x[set_] for x in (active, first, size, position, step))
             found[active] = level
             level += 1
-        return found
+        return found[back]
 
 
 @dataclass
@@ -273,7 +273,7 @@ def train(documents: DataFrame, text_column: str = "text", order: int = ORDER, p
                     found = _grams(hashes, bounds, n)
                     keep = found > 0
                     if shorter is not None:
-                        known = shorter.value.levels(n - 1, _grams(hashes, bounds, n - 1)) > 0
+                        known = shorter.value.levels(n - 1, _grams(hashes, bounds, n - 1), most=1) > 0
                         keep &= known
                         keep[1:] &= known[:-1]
                     yield from counts.add(found[keep])

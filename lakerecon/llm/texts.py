@@ -13,24 +13,12 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 
-#: Bytes of text that are tokenised at a time, and words whose hashes a worker remembers.
+#: Bytes of text that are tokenised at a time.
 PIECE_BYTES = 1 << 21
-REMEMBERED = 1 << 18
 
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
 
-class _Hashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= REMEMBERED:
-            self.clear()
-        value = self[word] = xxhash.xxh3_64_intdigest(word)
-        return value
-
-
-_hashes = _Hashes()
-
-
 def column(batch: pa.RecordBatch, name: str) -> list[bytes | None]:
     return batch.column(batch.schema.get_field_index(name)).cast(pa.binary()).to_pylist()
 
@@ -50,7 +38,7 @@ def pieces(texts: list[bytes | None]) -> Iterator[list[bytes | None]]:
 
 
 def word_hashes(words: list[bytes]) -> np.ndarray:
-    return np.fromiter(map(_hashes.__getitem__, words), np.uint64, len(words))
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
 
 
 def tokens(texts: list[bytes | None], lower: bool = True, edge: bytes | None = None) -> tuple[np.ndarray, np.ndarray]:

@@ -74,6 +74,35 @@ def test_rows_of_a_repeated_id_are_judged_by_their_own_text(spark):
     assert got == Counter(wanted)
 
 
+def test_overlaps_of_many_sets_take_little_more_than_their_result():
+    import tracemalloc
+
+    rng = np.random.default_rng(5)
+    core = rng.integers(0, 2**60, 560, dtype=np.uint64)
+    sets = [np.unique(np.concatenate([rng.choice(core, 400, replace=False), rng.integers(0, 300, 80, dtype=np.uint64)])) for _ in range(1500)]
+    tracemalloc.start()
+    common = bottomk._overlaps(sets)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    for i, j in rng.integers(0, len(sets), (200, 2)):
+        assert i == j or common[i, j] == len(np.intersect1d(sets[i], sets[j]))
+    assert peak < 45 << 20
+
+
+def test_lists_of_a_family_do_not_multiply_its_classes(spark, monkeypatch):
+    """Forty lists of the same classes meet in the blocks as one list would."""
+    monkeypatch.setattr(bottomk, "SKETCHES", 20)
+    names = [bytes([i, 7]) for i in range(100)]
+    rows = [(v, n, 50) for v in range(40) for n in names]
+    members = spark.createDataFrame(rows, "value long, node binary, n long")
+    sets = spark.createDataFrame([(n, n, np.arange(50 * (n[0] // 2), 50 * (n[0] // 2) + 50, dtype=np.uint64).tobytes()) for n in names], "node binary, comp binary, values binary")
+    plans, group = [], bottomk.map_groups
+    monkeypatch.setattr(bottomk, "map_groups", lambda df, *a: (plans.append(df), group(df, *a))[1])
+    links = bottomk._in_blocks(members, sets, F.lit(1), 20, bottomk._sketch_forest).collect()
+    assert {frozenset((r.a[0], r.b[0])) for r in links} == {frozenset((i, i + 1)) for i in range(0, 100, 2)}
+    assert "Generate" in plans[0]._jdf.queryExecution().executedPlan().toString()
+
+
 def test_forest_connects_what_links_connect():
     sets = [np.unique(np.array(x, np.uint64)) for x in ([*range(10)], [*range(1, 11)], [*range(2, 12)], [*range(50, 60)], [7], [7])]
     joined = {frozenset(p) for p in bottomk._forest(sets, 80)}
@@ -148,6 +177,20 @@ def test_filter_holds_every_count_within_its_base(spark):
     assert 60 / 1.5 <= estimates[2] <= 60 * 1.5 and 30 / 1.5 <= estimates[6] <= 30 * 1.5 and estimates[10] == 0
 
 
+def test_frequent_grams_are_looked_for_once_and_at_one_level_only_where_asked(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, "a b c d") for i in range(400)], "doc_id long, text string")
+    part = lm_scoring.train(docs).part(0)
+    from lakerecon.llm import texts
+
+    hashes, bounds = texts.tokens([b"a b c d"] * 500 + [b"e f"], edge=lm_scoring.EDGE)
+    grams, asked, probes = lm_scoring._grams(hashes, bounds, 2), [], lm_scoring._probes
+    monkeypatch.setattr(lm_scoring, "_probes", lambda h, level: (asked.append((len(h), level)), probes(h, level))[1])
+    every = part.levels(2, grams)
+    assert asked[0][0] <= len(np.unique(grams)) < 20 and asked[-1][1] > 5
+    asked.clear()
+    assert (part.levels(2, grams, most=1) == np.minimum(every, 1)).all() and len(asked) == 1
+
+
 def test_probabilities_after_a_history_add_up_to_one_at_most(spark):
     from lakerecon.llm import texts
 
