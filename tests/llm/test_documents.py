@@ -86,7 +86,7 @@ def test_overlaps_of_many_sets_take_little_more_than_their_result():
     tracemalloc.stop()
     for i, j in rng.integers(0, len(sets), (200, 2)):
         assert i == j or common[i, j] == len(np.intersect1d(sets[i], sets[j]))
-    assert peak < 45 << 20
+    assert peak < 38 << 20
 
 
 def test_lists_of_a_family_do_not_multiply_its_classes(spark, monkeypatch):
